@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripkpi import fixtures
 from tripkpi.fixtures import GREEN, YELLOW
@@ -57,9 +56,9 @@ def sample_hash(spark, sf_dir):
 
 
 def row_counts(spark, sf_dir):
-    return _trips(spark, sf_dir).agg(
-        F.count("*").alias("raw_rows"),
-        F.count(F.when(in_hash_sample("trip_id", 0.10), 1)).alias("sampled_rows"),
+    sampled = in_hash_sample("trip_id", 0.10)
+    return _trips(spark, sf_dir).selectExpr(
+        "count(*) AS raw_rows", f"count(CASE WHEN {sampled} THEN 1 END) AS sampled_rows"
     )
 
 
@@ -207,7 +206,7 @@ def run_batch_quality(spark, sf_dir):
     sources = [YELLOW.source_uri(root)]
     job.run_batch(spark, YELLOW, sources, YELLOW.clean_uri(root), report)
     facts = bundle.section(bundle.read_bundle(spark, report), "kpi_calidad")
-    return facts.filter(F.col("value").isNotNull()).select("metric", "value")
+    return facts.filter("value IS NOT NULL").select("metric", "value")
 
 
 def run_for_request(spark, sf_dir):

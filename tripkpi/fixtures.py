@@ -7,8 +7,7 @@ amounts, impossible passenger counts. Which rows get which dirt follows from the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tripkpi.spec import TripSpec
 
@@ -16,39 +15,40 @@ YELLOW = TripSpec("yellow", 2024, 1)
 GREEN = TripSpec("green", 2025, 1)
 
 
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
+def _every(n: int) -> str:
+    return f"event_id % {n} = 0"
 
 
 def trips_from_events(events: DataFrame, spec: TripSpec = YELLOW) -> DataFrame:
-    shift = F.expr("INTERVAL '366' DAY" if spec.color == "green" else "INTERVAL '0' DAY")
-    ts = F.col("ts") + shift
-    strayed = ts - F.expr("INTERVAL '40' DAY")
-    ride = F.expr("INTERVAL '1' SECOND * CAST(60 + (event_id * 37) % 3541 AS INT)")
-    cents = F.round(F.col("value") * 100).cast("long")
-    copies = F.when(_every(101), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    arrived = events.select("event_id", "ts", "user_id", "event_type", "value", F.explode(copies))
-    return arrived.withColumn("cents", cents).select(
-        F.col("event_id").alias("trip_id"),
-        F.col("event_type").alias("channel"),
-        F.when(_every(107), None).when(_every(97), strayed).otherwise(ts).alias(spec.pickup_column),
-        F.when(_every(89), None)
-        .when(_every(97), strayed + F.expr("INTERVAL '7' MINUTE"))
-        .when(_every(79), ts - F.expr("INTERVAL '5' MINUTE"))
-        .when(_every(73), ts + F.expr("INTERVAL '25' HOUR"))
-        .otherwise(ts + ride)
-        .alias(spec.dropoff_column),
-        F.when(~_every(53), F.col("event_id") % 8).alias("passenger_count"),
-        F.when(_every(71), 0.0)
-        .otherwise(F.floor(F.col("cents") / 3) / F.lit(100.0))
-        .alias("trip_distance"),
-        (F.when(_every(83), -F.col("cents")).otherwise(F.col("cents")) / 100.0).alias("fare_amount"),
-        (F.floor(F.col("cents") * (F.col("user_id") % 5) / 20) / F.lit(100.0)).alias("tip_amount"),
-        (
-            F.when(_every(67), -(F.col("cents") + 350)).otherwise(F.col("cents") + 350) / 100.0
-        ).alias("total_amount"),
-        F.when(F.col("event_id") % 11 != 7, F.col("event_id") % 7).alias("payment_type"),
-        (F.col("user_id") % 40 + 1).alias("PULocationID"),
+    shift = 366 if spec.color == "green" else 0
+    arrived = events.selectExpr(
+        "event_id",
+        "event_type",
+        "user_id",
+        f"ts + INTERVAL '{shift}' DAY AS ts" if shift else "ts",
+        "CAST(rint(value * 100) AS BIGINT) AS cents",
+        f"explode(CASE WHEN {_every(101)} THEN array(1, 2) ELSE array(1) END) AS copy",
+    )
+    return arrived.selectExpr(
+        "event_id AS trip_id",
+        "event_type AS channel",
+        f"""CASE WHEN {_every(107)} THEN NULL
+            WHEN {_every(97)} THEN ts - INTERVAL '40' DAY
+            ELSE ts END AS {spec.pickup_column}""",
+        f"""CASE WHEN {_every(89)} THEN NULL
+            WHEN {_every(97)} THEN ts - INTERVAL '40' DAY + INTERVAL '7' MINUTE
+            WHEN {_every(79)} THEN ts - INTERVAL '5' MINUTE
+            WHEN {_every(73)} THEN ts + INTERVAL '25' HOUR
+            ELSE ts + INTERVAL '1' SECOND * CAST(60 + (event_id * 37) % 3541 AS INT)
+            END AS {spec.dropoff_column}""",
+        f"CASE WHEN {_every(53)} THEN NULL ELSE event_id % 8 END AS passenger_count",
+        f"CASE WHEN {_every(71)} THEN 0D ELSE floor(cents / 3) / 100D END AS trip_distance",
+        f"(CASE WHEN {_every(83)} THEN -cents ELSE cents END) / 100D AS fare_amount",
+        "floor(cents * (user_id % 5) / 20) / 100D AS tip_amount",
+        f"""(CASE WHEN {_every(67)} THEN -(cents + 350) ELSE cents + 350 END) / 100D
+            AS total_amount""",
+        "CASE WHEN event_id % 11 = 7 THEN NULL ELSE event_id % 7 END AS payment_type",
+        "user_id % 40 + 1 AS PULocationID",
     )
 
 

@@ -4,35 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripkpi.functions.text import literal
 from tripkpi.spec import OTHER_PAYMENT, TripSpec
 
 
-def trip_columns(spec: TripSpec) -> dict[str, Column]:
+def trip_columns(spec: TripSpec) -> dict[str, str]:
     """The derived columns, each written over raw columns only.
 
     Filters and rules use these expressions in place of the derived columns, so that cleaning can
     run before anything is added to the rows. Duration is the difference of whole seconds.
     """
-    pickup = F.col(spec.pickup_column).cast("timestamp")
-    dropoff = F.col(spec.dropoff_column).cast("timestamp")
+    pickup = f"CAST({spec.pickup_column} AS TIMESTAMP)"
+    dropoff = f"CAST({spec.dropoff_column} AS TIMESTAMP)"
     return {
         "pickup_ts": pickup,
         "dropoff_ts": dropoff,
-        "duration_min": (dropoff.cast("long") - pickup.cast("long")) / 60,
-        "pickup_date": F.to_date(pickup),
-        "pickup_hour": F.hour(pickup),
+        "duration_min": f"(CAST({dropoff} AS BIGINT) - CAST({pickup} AS BIGINT)) / 60",
+        "pickup_date": f"to_date({pickup})",
+        "pickup_hour": f"hour({pickup})",
     }
 
 
 def derive(df: DataFrame, spec: TripSpec) -> DataFrame:
-    return df.withColumns(trip_columns(spec))
+    return df.withColumns({name: F.expr(sql) for name, sql in trip_columns(spec).items()})
 
 
-def payment_label(code: Column, labels: Mapping[int, str]) -> Column:
-    names = F.lit(OTHER_PAYMENT)
-    for value, name in labels.items():
-        names = F.when(code == value, name).otherwise(names)
-    return names
+def payment_label(labels: Mapping[int, str], code: str = "payment_type") -> str:
+    cases = " ".join(f"WHEN {value} THEN {literal(name)}" for value, name in labels.items())
+    return f"CASE {code} {cases} ELSE {literal(OTHER_PAYMENT)} END"

@@ -14,11 +14,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Above this many units a double no longer tells neighbouring values apart well enough.
-MAX_UNITS = 1e15
+MAX_UNITS = 10**15
+
+
+def _decimal(whole: str) -> str:
+    return f"CAST({whole} AS DECIMAL(20, 0))"
+
+
+def _two_places(exact: str) -> str:
+    return f"CAST(round({exact}, 2) AS DOUBLE)"
 
 
 @dataclass(frozen=True)
@@ -41,48 +46,51 @@ class Measure:
     def rest(self) -> str:
         return f"{self.name}_rest"
 
-    def parts(self) -> list[Column]:
+    def parts(self) -> list[str]:
         """Per row: units, 1 if there is a value at all, and a value that units cannot hold."""
-        value = F.col(self.column).cast("double")
-        countable = F.abs(value) <= F.lit(MAX_UNITS / self.per_one)
-        units = F.when(countable, F.rint(value * self.per_one).cast("long"))
+        value = f"CAST({self.column} AS DOUBLE)"
+        countable = f"abs({value}) <= {MAX_UNITS // self.per_one}D"
+        units = f"CAST(rint({value} * {self.per_one}D) AS BIGINT)"
         return [
-            F.coalesce(units, F.lit(0).cast("long")).alias(self.units),
-            value.isNotNull().cast("long").alias(self.seen),
-            F.when(~countable, value).alias(self.rest),
+            f"CASE WHEN {countable} THEN {units} ELSE 0L END AS {self.units}",
+            f"CAST({self.column} IS NOT NULL AS BIGINT) AS {self.seen}",
+            f"CASE WHEN NOT ({countable}) THEN {value} END AS {self.rest}",
         ]
 
-    def sums(self) -> list[Column]:
-        return [F.sum(c).alias(c) for c in (self.units, self.seen, self.rest)]
+    def sums(self) -> list[str]:
+        return [f"sum({c}) AS {c}" for c in (self.units, self.seen, self.rest)]
 
-    def total(self) -> Column:
+    def total(self) -> str:
         """Sum rounded to two places; null where no row has a value."""
-        exact = F.col(self.units).cast("decimal(20,0)") / F.lit(self.per_one)
-        loose = F.col(self.units) / self.per_one + F.col(self.rest)
-        return self._pick(exact, loose)
+        exact = f"{_decimal(self.units)} / {self.per_one}"
+        return self._pick(exact, self.loose_sum())
 
-    def mean(self) -> Column:
+    def mean(self) -> str:
         """Mean of the values that are there, rounded to two places."""
-        count = F.col(self.seen) * F.lit(self.per_one)
-        exact = F.col(self.units).cast("decimal(20,0)") / count.cast("decimal(20,0)")
-        loose = (F.col(self.units) / self.per_one + F.col(self.rest)) / F.col(self.seen)
-        return self._pick(exact, loose)
-
-    def _pick(self, exact: Column, loose: Column) -> Column:
-        rounded = F.when(F.col(self.rest).isNull(), F.round(exact, 2).cast("double"))
-        return F.when(F.col(self.seen) > 0, rounded.otherwise(F.round(loose, 2)))
-
-
-def percent_of(part: Measure, whole: Measure) -> Column:
-    """100 x sum of ``part`` / sum of ``whole``, two places; 0 unless the whole is positive."""
-    exact = F.round(
-        F.lit(100) * F.col(part.units).cast("decimal(20,0)") / F.col(whole.units).cast("decimal(20,0)"),
-        2,
-    ).cast("double")
-    part_sum, whole_sum = (
-        F.col(m.units) / m.per_one + F.coalesce(F.col(m.rest), F.lit(0.0)) for m in (part, whole)
+        exact = f"{_decimal(self.units)} / {_decimal(f'{self.seen} * {self.per_one}L')}"
+        return self._pick(exact, f"({self.loose_sum()}) / {self.seen}")
+
+    def loose_sum(self) -> str:
+        return f"{self.units} / {self.per_one}D + coalesce({self.rest}, 0D)"
+
+    def _pick(self, exact: str, loose: str) -> str:
+        return (
+            f"CASE WHEN {self.seen} > 0 THEN "
+            f"CASE WHEN {self.rest} IS NULL THEN {_two_places(exact)} "
+            f"ELSE round({loose}, 2) END END"
+        )
+
+
+def percent_of(part: Measure, whole: Measure) -> str:
+    """100 x sum of ``part`` / sum of ``whole``, two places; 0 unless the whole is positive.
+
+    Both have to be counted in the same units.
+    """
+    exact = f"100 * {_decimal(part.units)} / {_decimal(whole.units)}"
+    loose = f"100 * ({part.loose_sum()}) / ({whole.loose_sum()})"
+    return (
+        f"CASE WHEN {whole.loose_sum()} > 0 THEN CASE "
+        f"WHEN {part.seen} = 0 THEN NULL "
+        f"WHEN {part.rest} IS NULL AND {whole.rest} IS NULL THEN {_two_places(exact)} "
+        f"ELSE round({loose}, 2) END ELSE 0D END"
     )
-    loose = F.round(F.lit(100) * part_sum / whole_sum, 2)
-    all_exact = F.col(part.rest).isNull() & F.col(whole.rest).isNull()
-    share = F.when(all_exact, exact).otherwise(loose)
-    return F.when(whole_sum > 0, F.when(F.col(part.seen) > 0, share)).otherwise(F.lit(0.0))

@@ -6,57 +6,62 @@ by the exact binary value, which format_number does as well.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripkpi.functions.text import literal, record, rows
+
 # Fixed value: length of the zone table on the dashboard.
 DASHBOARD_ZONES = 10
 
 
-def _grouped(value: Column, digits: int) -> Column:
-    return F.format_number(value, digits)
+def _grouped(number: str, digits: int) -> str:
+    return f"format_number({number}, {digits})"
+
+
+def _plain(number: str, digits: int) -> str:
+    return f"translate(format_number({number}, {digits}), ',', '')"
 
 
-def _plain(value: Column, digits: int) -> Column:
-    return F.translate(F.format_number(value, digits), ",", "")
+# Card titles and formats (title, value, small figure beside it).
 
+_FIRST_CARDS = (
+    ("Total Viajes", _grouped("total_trips", 0), "NULL"),
+    ("Ingresos Totales", f"'$' || {_grouped('total_revenue', 2)}", "NULL"),
+    ("Ticket Promedio", f"'$' || {_plain('avg_ticket', 2)}", "NULL"),
+)
+_SUMMARY_CARDS = (
+    *_FIRST_CARDS,
+    ("Propina Promedio", f"'$' || {_plain('avg_tip', 2)}", "CAST(avg_tip_pct AS STRING) || '%'"),
+    ("Distancia Promedio", f"{_plain('avg_trip_distance', 2)} || ' mi'", "NULL"),
+    ("Duración Promedio", f"{_plain('avg_duration_min', 1)} || ' min'", "NULL"),
+    ("Pasajeros Promedio", _plain("avg_passenger_count", 1), "NULL"),
+)
+_RUN_CARDS = (
+    *_FIRST_CARDS,
+    ("Calidad", f"{_plain('quality_score * 100', 1)} || '%'", "NULL"),
+)
 
-def _dollars(number: Column) -> Column:
-    return F.concat(F.lit("$"), number)
+# End of fixed values.
 
 
-def _cards(rows: list[tuple[str, Column, Column | None]]) -> Column:
-    return F.array(
-        *[
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(card).alias("card"),
-                value.alias("value"),
-                (F.lit(None) if delta is None else delta).cast("string").alias("delta"),
+def _cards(cards: tuple[tuple[str, str, str], ...]) -> str:
+    return rows(
+        [
+            record(
+                position=str(position),
+                card=literal(title),
+                value=value,
+                delta=f"CAST({delta} AS STRING)",
             )
-            for position, (card, value, delta) in enumerate(rows, start=1)
+            for position, (title, value, delta) in enumerate(cards, start=1)
         ]
     )
 
 
 def dash_cards(summary: DataFrame) -> DataFrame:
     """position, card, value, delta: the seven summary cards as text."""
-    tip_percent = F.concat(F.col("avg_tip_pct").cast("string"), F.lit("%"))
-    miles = F.concat(_plain(F.col("avg_trip_distance"), 2), F.lit(" mi"))
-    minutes = F.concat(_plain(F.col("avg_duration_min"), 1), F.lit(" min"))
-    # Card titles and formats.
-    cards = _cards(
-        [
-            ("Total Viajes", _grouped(F.col("total_trips"), 0), None),
-            ("Ingresos Totales", _dollars(_grouped(F.col("total_revenue"), 2)), None),
-            ("Ticket Promedio", _dollars(_plain(F.col("avg_ticket"), 2)), None),
-            ("Propina Promedio", _dollars(_plain(F.col("avg_tip"), 2)), tip_percent),
-            ("Distancia Promedio", miles, None),
-            ("Duración Promedio", minutes, None),
-            ("Pasajeros Promedio", _plain(F.col("avg_passenger_count"), 1), None),
-        ]
-    )
-    return summary.select(F.inline(cards))
+    return summary.selectExpr(_cards(_SUMMARY_CARDS))
 
 
 def dash_run_summary(summary: DataFrame, quality: DataFrame) -> DataFrame:
@@ -64,22 +69,15 @@ def dash_run_summary(summary: DataFrame, quality: DataFrame) -> DataFrame:
 
     The quality score is taken from the quality section, where it is kept.
     """
-    score = F.when(F.col("metric") == "quality_score", F.col("value"))
-    scores = quality.agg(F.max(score).alias("quality_score"))
     figures = ("total_trips", "total_revenue", "avg_ticket")
-    both = summary.select(*figures).unionByName(scores, allowMissingColumns=True)
-    merged = both.agg(*[F.max(c).alias(c) for c in (*figures, "quality_score")])
-    percent = F.concat(_plain(F.col("quality_score") * 100, 1), F.lit("%"))
-    # Card titles and formats.
-    cards = _cards(
-        [
-            ("Total Viajes", _grouped(F.col("total_trips"), 0), None),
-            ("Ingresos Totales", _dollars(_grouped(F.col("total_revenue"), 2)), None),
-            ("Ticket Promedio", _dollars(_plain(F.col("avg_ticket"), 2)), None),
-            ("Calidad", percent, None),
-        ]
+    left = summary.selectExpr(*figures, "CAST(NULL AS DOUBLE) AS quality_score")
+    right = quality.filter("metric = 'quality_score'").selectExpr(
+        "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)", "value"
+    )
+    merged = left.union(right).selectExpr(
+        *[f"max({c}) AS {c}" for c in (*figures, "quality_score")]
     )
-    return merged.select(F.inline(cards))
+    return merged.selectExpr(_cards(_RUN_CARDS))
 
 
 def dash_daily_series(by_day: DataFrame) -> DataFrame:

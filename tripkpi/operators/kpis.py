@@ -25,111 +25,120 @@ FARE = Measure("fare", "fare_amount")
 PASSENGERS = Measure("passengers", "passenger_count")
 MEASURES = (TOTAL, DISTANCE, MINUTES, TIP, FARE, PASSENGERS)
 
-DIMENSIONS = ("pickup_date", "pickup_hour", "payment_type", "PULocationID")
+TIME_KEYS = ("pickup_date", "pickup_hour")
+PLACE_KEYS = ("payment_type", "PULocationID")
 
 TRIPS = "trip_rows"
+IS_PLACE = "is_place_sum"
 
 # Fixed value: length of the pick-up zone ranking.
 TOP_ZONES = 20
 
+_TRIPS = f"{TRIPS} AS trips"
+_REVENUE = (f"{TOTAL.total()} AS revenue", f"{TOTAL.mean()} AS avg_ticket")
+_LENGTH = (f"{DISTANCE.mean()} AS avg_trip_distance", f"{MINUTES.mean()} AS avg_duration_min")
+_TIP = f"{TIP.mean()} AS avg_tip"
 
-def trip_parts(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Trips as keys and summable parts; a rollup already is in that form."""
-    if TRIPS in trips.columns:
-        return trips
-    parts = [part for measure in MEASURES for part in measure.parts()]
-    return trips.select(*by, *DIMENSIONS, F.lit(1).cast("long").alias(TRIPS), *parts)
 
-
-def _summed(trips: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """All sums per key; Spark drops those that the caller does not select."""
-    sums = [column for measure in MEASURES for column in measure.sums()]
-    grouped = trip_parts(trips, by).groupBy(*by, *keys)
-    return grouped.agg(F.coalesce(F.sum(TRIPS), F.lit(0)).alias(TRIPS), *sums)
+def trip_parts(
+    trips: DataFrame, by: Sequence[str] = (), measures: Sequence[Measure] = MEASURES
+) -> DataFrame:
+    """Trips as keys and summable parts."""
+    parts = [part for measure in measures for part in measure.parts()]
+    return trips.selectExpr(*by, *TIME_KEYS, *PLACE_KEYS, f"1L AS {TRIPS}", *parts)
 
 
-def rollup(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Trips summed per date, hour, payment type and zone: all KPI tables in one small one."""
-    return _summed(trips, DIMENSIONS, by)
+def _sums(measures: Sequence[Measure]) -> list[Column]:
+    columns = [f"coalesce(sum({TRIPS}), 0L) AS {TRIPS}"]
+    columns += [column for measure in measures for column in measure.sums()]
+    return [F.expr(column) for column in columns]
 
 
-def _trips() -> Column:
-    return F.col(TRIPS).alias("trips")
-
+def rollup(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Trips, or parts of them, summed per date and hour and per payment type and zone.
 
-def _revenue() -> list[Column]:
-    return [TOTAL.total().alias("revenue"), TOTAL.mean().alias("avg_ticket")]
+    All KPI tables can be taken from these some thousand rows per month. Both sets of sums come from
+    one pass; one set over all four keys would have about as many groups as a month has trips.
+    """
+    parts = trips if TRIPS in trips.columns else trip_parts(trips, by)
+    sets = [[*by, *TIME_KEYS], [*by, *PLACE_KEYS]]
+    grouped = parts.groupingSets(sets, *by, *TIME_KEYS, *PLACE_KEYS)
+    return grouped.agg(F.expr(f"grouping(pickup_date) = 1 AS {IS_PLACE}"), *_sums(MEASURES))
 
 
-def _length() -> list[Column]:
-    return [DISTANCE.mean().alias("avg_trip_distance"), MINUTES.mean().alias("avg_duration_min")]
+def _summed(
+    trips: DataFrame, keys: Sequence[str], by: Sequence[str], measures: Sequence[Measure]
+) -> DataFrame:
+    """Sums per key from trips, or from the fitting half of a rollup."""
+    if IS_PLACE in trips.columns:
+        of_place = any(key in PLACE_KEYS for key in keys)
+        parts = trips.filter(IS_PLACE if of_place else f"NOT {IS_PLACE}")
+    else:
+        parts = trip_parts(trips, by, measures)
+    return parts.groupBy(*by, *keys).agg(*_sums(measures))
 
 
-def _tip() -> Column:
-    return TIP.mean().alias("avg_tip")
+def trip_count(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """clean_rows: the number of trips."""
+    return _summed(trips, (), by, ()).selectExpr(*by, f"{TRIPS} AS clean_rows")
 
 
 def kpi_summary(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Eight overall KPIs."""
-    return _summed(trips, (), by).select(
+    return _summed(trips, (), by, MEASURES).selectExpr(
         *by,
-        F.col(TRIPS).alias("total_trips"),
-        TOTAL.total().alias("total_revenue"),
-        TOTAL.mean().alias("avg_ticket"),
-        *_length(),
-        _tip(),
-        percent_of(TIP, FARE).alias("avg_tip_pct"),
-        PASSENGERS.mean().alias("avg_passenger_count"),
+        f"{TRIPS} AS total_trips",
+        f"{TOTAL.total()} AS total_revenue",
+        f"{TOTAL.mean()} AS avg_ticket",
+        *_LENGTH,
+        _TIP,
+        f"{percent_of(TIP, FARE)} AS avg_tip_pct",
+        f"{PASSENGERS.mean()} AS avg_passenger_count",
     )
 
 
+def _by_time(trips: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
+    times = _summed(trips, (key,), by, (TOTAL, DISTANCE, MINUTES, TIP))
+    return times.selectExpr(*by, key, _TRIPS, *_REVENUE, *_LENGTH, _TIP).orderBy(*by, key)
+
+
 def kpi_by_day(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    days = _summed(trips, ("pickup_date",), by)
-    shown = days.select(*by, "pickup_date", _trips(), *_revenue(), *_length(), _tip())
-    return shown.orderBy(*by, "pickup_date")
+    return _by_time(trips, "pickup_date", by)
 
 
 def kpi_by_hour(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    hours = _summed(trips, ("pickup_hour",), by)
-    shown = hours.select(*by, "pickup_hour", _trips(), *_revenue(), *_length(), _tip())
-    return shown.orderBy(*by, "pickup_hour")
+    return _by_time(trips, "pickup_hour", by)
 
 
 def kpi_by_payment(
-    trips: DataFrame, labels: Mapping[int, str] | Column, by: Sequence[str] = ()
+    trips: DataFrame, labels: Mapping[int, str] | str, by: Sequence[str] = ()
 ) -> DataFrame:
     """KPIs per payment type, busiest first.
 
     The label follows from the type, so it is put on the few result rows. Types that share a label
-    stay apart. ``labels`` may be a column, for labels that differ between periods.
+    stay apart. ``labels`` may be an expression, for labels that differ between periods.
     """
-    if isinstance(labels, Mapping):
-        labels = payment_label(F.col("payment_type"), labels)
-    types = _summed(trips, ("payment_type",), by)
-    shown = types.select(
-        *by,
-        "payment_type",
-        labels.alias("payment_type_label"),
-        _trips(),
-        *_revenue(),
-        _tip(),
+    label = labels if isinstance(labels, str) else payment_label(labels)
+    types = _summed(trips, ("payment_type",), by, (TOTAL, TIP))
+    shown = types.selectExpr(
+        *by, "payment_type", f"{label} AS payment_type_label", _TRIPS, *_REVENUE, _TIP
     )
     return shown.orderBy(*by, F.desc("trips"), "payment_type")
 
 
 def kpi_top_zones(trips: DataFrame, n: int = TOP_ZONES, by: Sequence[str] = ()) -> DataFrame:
     """The n pick-up zones with most trips; equal counts are ranked by zone id."""
-    zones = _summed(trips, ("PULocationID",), by)
-    shown = zones.select(*by, "PULocationID", _trips(), *_revenue(), *_length())
+    zones = _summed(trips, ("PULocationID",), by, (TOTAL, DISTANCE, MINUTES))
+    shown = zones.selectExpr(*by, "PULocationID", _TRIPS, *_REVENUE, *_LENGTH)
     if not by:
         return shown.orderBy(F.desc("trips"), "PULocationID").limit(n)
     ranking = Window.partitionBy(*by).orderBy(F.desc("trips"), "PULocationID")
-    ranked = shown.withColumn("__rank", F.row_number().over(ranking)).filter(F.col("__rank") <= n)
+    ranked = shown.withColumn("__rank", F.row_number().over(ranking)).filter(f"__rank <= {n}")
     return ranked.drop("__rank").orderBy(*by, F.desc("trips"), "PULocationID")
 
 
 def trips_by_hour(trips: DataFrame) -> DataFrame:
     """The exploratory hourly table: trips and three means."""
-    hours = _summed(trips, ("pickup_hour",), ())
-    ticket = TOTAL.mean().alias("avg_total_amount")
-    return hours.select("pickup_hour", _trips(), *_length(), ticket).orderBy("pickup_hour")
+    hours = _summed(trips, ("pickup_hour",), (), (TOTAL, DISTANCE, MINUTES))
+    ticket = f"{TOTAL.mean()} AS avg_total_amount"
+    return hours.selectExpr("pickup_hour", _TRIPS, *_LENGTH, ticket).orderBy("pickup_hour")

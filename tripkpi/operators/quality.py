@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tripkpi.functions.derive import derive, trip_columns
+from tripkpi.functions.text import literal, record, rows
+from tripkpi.operators.profile import row_kinds
 from tripkpi.spec import (
     MAX_DISTANCE,
     MAX_MINUTES,
@@ -15,58 +16,47 @@ from tripkpi.spec import (
 )
 
 
-def in_period(spec: TripSpec) -> Column:
+def in_period(spec: TripSpec) -> str:
     """Pick-up in the spec's month. Typed bounds let the comparison reach the Parquet scan."""
     pickup = trip_columns(spec)["pickup_ts"]
-    return (pickup >= _instant(spec.start)) & (pickup < _instant(spec.end))
+    return f"({pickup} >= TIMESTAMP '{spec.start}' AND {pickup} < TIMESTAMP '{spec.end}')"
 
 
-def _instant(value) -> Column:
-    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
-
-
-def rules(spec: TripSpec) -> dict[str, Column]:
+def rules(spec: TripSpec) -> dict[str, str]:
     """Name -> condition for a bad row; a null condition does not count as bad."""
     trip = trip_columns(spec)
     pickup, dropoff, minutes = trip["pickup_ts"], trip["dropoff_ts"], trip["duration_min"]
-    distance, passengers = F.col("trip_distance"), F.col("passenger_count")
+    passengers = f"passenger_count BETWEEN {MIN_PASSENGERS} AND {MAX_PASSENGERS}"
     return {
-        "missing_pickup_ts": pickup.isNull(),
-        "missing_dropoff_ts": dropoff.isNull(),
-        "dropoff_before_or_equal_pickup": dropoff <= pickup,
-        "duration_min_lte_0": minutes <= 0,
-        "duration_min_gt_24h": minutes > MAX_MINUTES,
-        "trip_distance_lte_0": distance <= 0,
-        "trip_distance_gt_100": distance > MAX_DISTANCE,
-        "passenger_count_null": passengers.isNull(),
-        "passenger_count_out_of_range": ~passengers.between(MIN_PASSENGERS, MAX_PASSENGERS),
-        "fare_amount_negative": F.col("fare_amount") < 0,
-        "total_amount_negative": F.col("total_amount") < 0,
-        spec.outside_rule: ~in_period(spec),
+        "missing_pickup_ts": f"{pickup} IS NULL",
+        "missing_dropoff_ts": f"{dropoff} IS NULL",
+        "dropoff_before_or_equal_pickup": f"{dropoff} <= {pickup}",
+        "duration_min_lte_0": f"{minutes} <= 0",
+        "duration_min_gt_24h": f"{minutes} > {MAX_MINUTES}",
+        "trip_distance_lte_0": "trip_distance <= 0",
+        "trip_distance_gt_100": f"trip_distance > {MAX_DISTANCE}",
+        "passenger_count_null": "passenger_count IS NULL",
+        "passenger_count_out_of_range": f"NOT ({passengers})",
+        "fare_amount_negative": "fare_amount < 0",
+        "total_amount_negative": "total_amount < 0",
+        spec.outside_rule: f"NOT {in_period(spec)}",
     }
 
 
-def validity(spec: TripSpec) -> Column:
+def validity(spec: TripSpec) -> str:
     """The condition a trip must meet to be kept. Null counts as not met, as in any filter."""
     trip = trip_columns(spec)
     pickup, dropoff, minutes = trip["pickup_ts"], trip["dropoff_ts"], trip["duration_min"]
-    distance, passengers = F.col("trip_distance"), F.col("passenger_count")
-    return (
-        in_period(spec)
-        & (dropoff > pickup)
-        & (minutes > 0)
-        & (minutes <= MAX_MINUTES)
-        & (distance > 0)
-        & (distance <= MAX_DISTANCE)
-        & passengers.between(MIN_PASSENGERS, MAX_PASSENGERS)
-        & (F.col("fare_amount") >= 0)
-        & (F.col("total_amount") >= 0)
+    conditions = (
+        in_period(spec),
+        f"{dropoff} > {pickup}",
+        f"{minutes} > 0 AND {minutes} <= {MAX_MINUTES}",
+        f"trip_distance > 0 AND trip_distance <= {MAX_DISTANCE}",
+        f"passenger_count BETWEEN {MIN_PASSENGERS} AND {MAX_PASSENGERS}",
+        "fare_amount >= 0",
+        "total_amount >= 0",
     )
-
-
-def is_valid(spec: TripSpec) -> Column:
-    """``validity`` as a flag that is never null."""
-    return F.coalesce(validity(spec), F.lit(False))
+    return " AND ".join(conditions)
 
 
 def period_filter(df: DataFrame, spec: TripSpec) -> DataFrame:
@@ -85,70 +75,63 @@ def clean(df: DataFrame, spec: TripSpec) -> DataFrame:
 def distinct_rejects(df: DataFrame, spec: TripSpec) -> DataFrame:
     """Distinct rows that cleaning does not keep. Copies of a row are all kept or all rejected, so
     these and the clean rows together are the distinct rows of the input."""
-    return df.filter(~is_valid(spec)).dropDuplicates()
+    return df.filter(f"NOT coalesce({validity(spec)}, false)").dropDuplicates()
 
 
 def quality_counts(df: DataFrame, spec: TripSpec) -> DataFrame:
     """original_rows, distinct_rows and clean_rows as one row, from one scan and one shuffle."""
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("__copies"))
-    return copies.agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("original_rows"),
-        F.count("*").alias("distinct_rows"),
-        F.count(F.when(validity(spec), 1)).alias("clean_rows"),
-    )
+    return row_kinds(df, f"count(CASE WHEN {validity(spec)} THEN 1 END) AS clean_rows")
+
+
+_GONE = "original_rows - clean_rows"
+_GONE_SHARE = f"CASE WHEN original_rows > 0 THEN ({_GONE}) / original_rows ELSE 0D END"
+_SCORE = f"CASE WHEN original_rows > 0 THEN 1 - ({_GONE_SHARE}) ELSE 0D END"
 
 
 def removed(counts: DataFrame) -> DataFrame:
-    """Add removed_rows and removed_pct to a row of original_rows and clean_rows."""
-    original = F.col("original_rows")
-    gone = original - F.col("clean_rows")
-    share = F.when(original > 0, gone / original).otherwise(F.lit(0.0))
-    return counts.select("*", gone.alias("removed_rows"), share.alias("removed_pct"))
+    """original_rows, clean_rows, removed_rows, removed_pct from a row of counts."""
+    return counts.selectExpr(
+        "original_rows", "clean_rows", f"{_GONE} AS removed_rows", f"{_GONE_SHARE} AS removed_pct"
+    )
 
 
 def cleaning_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     """original_rows, clean_rows, removed_rows, removed_pct as one row."""
-    nothing = F.lit(0).cast("long")
-    before = raw.agg(F.count("*").alias("original_rows"), nothing.alias("clean_rows"))
-    after = cleaned.agg(nothing.alias("original_rows"), F.count("*").alias("clean_rows"))
-    counts = before.unionByName(after).agg(
-        F.sum("original_rows").alias("original_rows"), F.sum("clean_rows").alias("clean_rows")
+    before = raw.selectExpr("count(*) AS original_rows", "0L AS clean_rows")
+    after = cleaned.selectExpr("0L AS original_rows", "count(*) AS clean_rows")
+    counts = before.union(after).selectExpr(
+        "sum(original_rows) AS original_rows", "sum(clean_rows) AS clean_rows"
     )
     return removed(counts)
 
 
-def quality_facts(source: Column) -> Column:
-    """The quality table as an array, in its fixed order, from a row of counts.
+def quality_facts(source: str) -> str:
+    """Expression for the quality table, in its fixed order, over a row of counts.
 
     Numbers are in ``value``; the one text, the source that was used, is in ``value_text``.
+    ``source`` is an expression too.
     """
-    original, clean_rows = F.col("original_rows"), F.col("clean_rows")
-    gone = original - clean_rows
-    removed_pct = F.when(original > 0, gone / original).otherwise(F.lit(0.0))
-    score = F.when(original > 0, 1 - removed_pct).otherwise(F.lit(0.0))
-    values = {
-        "original_rows": original,
-        "clean_rows": clean_rows,
-        "removed_rows": gone,
-        "removed_pct": F.round(removed_pct, 4),
-        "quality_score": F.round(score, 4),
-        "duplicate_rows": original - F.col("distinct_rows"),
+    numbers = {
+        "original_rows": "original_rows",
+        "clean_rows": "clean_rows",
+        "removed_rows": _GONE,
+        "removed_pct": f"round({_GONE_SHARE}, 4)",
+        "quality_score": f"round({_SCORE}, 4)",
+        "duplicate_rows": "original_rows - distinct_rows",
     }
-
-    def fact(metric: str, value: Column, text: Column) -> Column:
-        return F.struct(
-            F.lit(metric).alias("metric"),
-            value.cast("double").alias("value"),
-            text.cast("string").alias("value_text"),
+    facts = {"data_source_used": ("NULL", source)}
+    facts |= {metric: (number, "NULL") for metric, number in numbers.items()}
+    records = [
+        record(
+            metric=literal(metric),
+            value=f"CAST({number} AS DOUBLE)",
+            value_text=f"CAST({text} AS STRING)",
         )
-
-    nothing = F.lit(None)
-    return F.array(
-        fact("data_source_used", nothing, source),
-        *[fact(metric, value, nothing) for metric, value in values.items()],
-    )
+        for metric, (number, text) in facts.items()
+    ]
+    return rows(records)
 
 
 def kpi_quality(counts: DataFrame, source: str) -> DataFrame:
     """metric, value, value_text: seven facts about input and cleaning."""
-    return counts.select(F.inline(quality_facts(F.lit(source))))
+    return counts.selectExpr(quality_facts(literal(source)))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripkpi.functions.text import literal, record, rows
 from tripkpi.spec import TripSpec
 
 # Section names, column names and column order of the document.
@@ -48,46 +49,49 @@ QUALITY_METRICS = (
 # End of fixed values.
 
 
-def _order(name: str) -> list[Column]:
-    """Sort keys of a section; an array has to be put in order by itself."""
-    if name == "kpi_por_dia":
-        return [F.col("pickup_date")]
-    if name == "kpi_por_hora":
-        return [F.col("pickup_hour")]
-    if name == "kpi_tipo_pago":
-        return [-F.col("trips"), F.col("payment_type")]
-    if name == "kpi_top_pickup_zones":
-        return [-F.col("trips"), F.col("PULocationID")]
-    if name == "kpi_calidad":
-        return [F.array_position(F.array(*map(F.lit, QUALITY_METRICS)), F.col("metric"))]
-    return []
+# Sort keys of the sections; an array has to be put in order by itself.
+_ORDER = {
+    "kpi_resumen": [],
+    "kpi_por_dia": ["pickup_date"],
+    "kpi_por_hora": ["pickup_hour"],
+    "kpi_tipo_pago": ["-trips", "payment_type"],
+    "kpi_top_pickup_zones": ["-trips", "PULocationID"],
+    "kpi_calidad": [f"array_position(array({', '.join(map(literal, QUALITY_METRICS))}), metric)"],
+}
+
+
+def _fields(ddl: str) -> list[T.StructField]:
+    return T.StructType.fromDDL(ddl).fields
+
 
+def _type(ddl: str) -> str:
+    return f"STRUCT<{', '.join(f'{f.name}: {f.dataType.simpleString()}' for f in _fields(ddl))}>"
 
-def _records(table: DataFrame, name: str, by: Sequence[str]) -> DataFrame:
+
+def _records(table: DataFrame, section_name: str, by: Sequence[str]) -> DataFrame:
     """A section's rows as one array. Sections are short: days, hours, codes, twenty zones."""
-    fields = T.StructType.fromDDL(SECTIONS[name]).fields
-    record = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-    keys = [key.alias(f"key_{i}") for i, key in enumerate(_order(name))]
-    keyed = F.struct(*keys, record.alias("record"))
-    rows = F.transform(F.array_sort(F.collect_list(keyed)), lambda row: row["record"])
-    return table.groupBy(*by).agg(rows.alias(name))
+    fields = _fields(SECTIONS[section_name])
+    shown = record(**{f.name: f"CAST({f.name} AS {f.dataType.simpleString()})" for f in fields})
+    keys = {f"key_{i}": key for i, key in enumerate(_ORDER[section_name])}
+    keyed = f"array_sort(collect_list({record(**keys, shown=shown)}))"
+    array = F.expr(f"transform({keyed}, row -> row.shown) AS {section_name}")
+    return table.groupBy(*by).agg(array)
 
 
 def run_metadata(
     spark: SparkSession, spec: TripSpec, source: str, sample_fraction: float | None
 ) -> DataFrame:
-    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
-    return spark.range(1).select(
-        F.struct(
-            now.alias("generated_at_utc"),
-            F.lit(spec.dataset).alias("dataset"),
-            F.lit(source).alias("source_url"),
-            F.lit(sample_fraction is not None).alias("sample_enabled"),
-            F.lit(sample_fraction).cast("double").alias("sample_fraction"),
-            F.lit("json").alias("storage_format"),
-            F.lit("streamlit").alias("intended_consumer"),
-        ).alias("metadata")
+    fraction = "NULL" if sample_fraction is None else f"{sample_fraction!r}D"
+    fields = record(
+        generated_at_utc="date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx\")",
+        dataset=literal(spec.dataset),
+        source_url=literal(source),
+        sample_enabled=str(sample_fraction is not None).lower(),
+        sample_fraction=f"CAST({fraction} AS DOUBLE)",
+        storage_format=literal("json"),
+        intended_consumer=literal("streamlit"),
     )
+    return spark.range(0, 1, 1, 1).selectExpr(f"{fields} AS metadata")
 
 
 def kpi_bundle(
@@ -96,17 +100,12 @@ def kpi_bundle(
     """One row (one per period with ``by``) holding metadata and every section as an array."""
     pieces = [metadata, *[_records(sections[name], name, by) for name in SECTIONS]]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
-    arrays = []
-    for name, ddl in SECTIONS.items():
-        found = F.first(name, ignorenulls=True)
-        empty = F.array().cast(f"array<struct<{_as_fields(ddl)}>>")
-        arrays.append(F.coalesce(found, empty).alias(name))
-    document = F.first("metadata", ignorenulls=True).alias("metadata")
-    return stacked.groupBy(*by).agg(document, *arrays)
-
-
-def _as_fields(ddl: str) -> str:
-    return ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in T.StructType.fromDDL(ddl))
+    arrays = [
+        f"coalesce(first({name}, true), CAST(array() AS ARRAY<{_type(ddl)}>)) AS {name}"
+        for name, ddl in SECTIONS.items()
+    ]
+    document = "first(metadata, true) AS metadata"
+    return stacked.groupBy(*by).agg(*map(F.expr, (document, *arrays)))
 
 
 def write_bundle(bundle: DataFrame, uri: str, by: Sequence[str] = ()) -> None:
@@ -124,25 +123,25 @@ def read_bundle(spark: SparkSession, uri: str) -> DataFrame:
     loose = dict(SECTIONS)
     loose["kpi_tipo_pago"] = loose["kpi_tipo_pago"].replace("payment_type bigint", "payment_type double")
     loose["kpi_calidad"] = loose["kpi_calidad"].replace("value double", "value string")
-    columns = [f"metadata struct<{_as_fields(METADATA)}>"]
-    columns += [f"{name} array<struct<{_as_fields(ddl)}>>" for name, ddl in loose.items()]
+    columns = [f"metadata {_type(METADATA)}"]
+    columns += [f"{name} ARRAY<{_type(ddl)}>" for name, ddl in loose.items()]
     stored = spark.read.schema(", ".join(columns)).json(uri, multiLine=True)
+    payments = _rebuilt(
+        "kpi_tipo_pago",
+        payment_type="CASE WHEN NOT isnan(row.payment_type) THEN CAST(row.payment_type AS BIGINT) END",
+    )
+    facts = _rebuilt(
+        "kpi_calidad",
+        value="try_cast(row.value AS DOUBLE)",
+        value_text="coalesce(row.value_text, CASE WHEN try_cast(row.value AS DOUBLE) IS NULL THEN row.value END)",
+    )
+    return stored.withColumns({"kpi_tipo_pago": F.expr(payments), "kpi_calidad": F.expr(facts)})
 
-    def payment(row: Column) -> Column:
-        code = F.when(~F.isnan(row["payment_type"]), row["payment_type"].cast("bigint"))
-        return row.withField("payment_type", code)
-
-    def fact(row: Column) -> Column:
-        number = row["value"].try_cast("double")
-        text = F.coalesce(row["value_text"], F.when(number.isNull(), row["value"]))
-        return row.withField("value", number).withField("value_text", text)
 
-    return stored.withColumns(
-        {
-            "kpi_tipo_pago": F.transform("kpi_tipo_pago", payment),
-            "kpi_calidad": F.transform("kpi_calidad", fact),
-        }
-    )
+def _rebuilt(section_name: str, **changes: str) -> str:
+    """Expression for a section with some fields of its records computed anew."""
+    kept = {f.name: f"row.{f.name}" for f in _fields(SECTIONS[section_name])}
+    return f"transform({section_name}, row -> {record(**{**kept, **changes})})"
 
 
 def section(bundle: DataFrame, name: str) -> DataFrame:
@@ -150,13 +149,11 @@ def section(bundle: DataFrame, name: str) -> DataFrame:
     if name not in SECTIONS:
         raise KeyError(f"no section {name!r}; there are {sorted(SECTIONS)}")
     by = [c for c in bundle.columns if c not in SECTIONS and c != "metadata"]
-    return bundle.select(*by, F.inline(name))
+    return bundle.selectExpr(*by, f"inline({name})")
 
 
 def section_sizes(bundle: DataFrame) -> DataFrame:
     """section, records: what a document holds."""
     by = [c for c in bundle.columns if c not in SECTIONS and c != "metadata"]
-    rows = [
-        F.struct(F.lit(name).alias("section"), F.size(name).alias("records")) for name in SECTIONS
-    ]
-    return bundle.select(*by, F.inline(F.array(*rows)))
+    sizes = [record(section=literal(name), records=f"size({name})") for name in SECTIONS]
+    return bundle.selectExpr(*by, rows(sizes))

@@ -20,13 +20,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripkpi.functions.derive import payment_label
+from tripkpi.functions.text import literal
 from tripkpi.operators import kpis, profile, quality
 from tripkpi.plans.bundle import kpi_bundle, run_metadata, write_bundle
-from tripkpi.session import require_utc, settle, shuffle_width_for
+from tripkpi.session import require_utc, settle, settle_small, shuffle_width_for
 from tripkpi.sources import read_first_available, reload_clean, row_sample, write_clean
 from tripkpi.spec import PAYMENT_LABELS, TripSpec
 
@@ -51,27 +52,19 @@ def _counts(
     originals: DataFrame, rejects: DataFrame, rolled: DataFrame, by: Sequence[str] = ()
 ) -> DataFrame:
     """original_rows, distinct_rows, clean_rows from what the passes counted."""
-    kept = rolled.groupBy(*by).agg(F.sum(kpis.TRIPS).alias("clean_rows"))
+    kept = kpis.trip_count(rolled, by)
     names = ("original_rows", "reject_rows", "clean_rows")
-    sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]
-    return (
-        _stack([originals, rejects, kept])
-        .groupBy(*by)
-        .agg(*sums)
-        .select(
-            *by,
-            "original_rows",
-            (F.col("clean_rows") + F.col("reject_rows")).alias("distinct_rows"),
-            "clean_rows",
-        )
-    )
+    sums = [F.expr(f"coalesce(sum({n}), 0L) AS {n}") for n in names]
+    summed = _stack([originals, rejects, kept]).groupBy(*by).agg(*sums)
+    distinct = "clean_rows + reject_rows AS distinct_rows"
+    return summed.selectExpr(*by, "original_rows", distinct, "clean_rows")
 
 
 def _sections(
     rolled: DataFrame,
     counts: DataFrame,
-    source: Column,
-    labels: Mapping[int, str] | Column,
+    source: str,
+    labels: Mapping[int, str] | str,
     by: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     return {
@@ -80,7 +73,7 @@ def _sections(
         "kpi_por_hora": kpis.kpi_by_hour(rolled, by),
         "kpi_tipo_pago": kpis.kpi_by_payment(rolled, labels, by),
         "kpi_top_pickup_zones": kpis.kpi_top_zones(rolled, by=by),
-        "kpi_calidad": counts.select(*by, F.inline(quality.quality_facts(source))),
+        "kpi_calidad": counts.selectExpr(*by, quality.quality_facts(source)),
     }
 
 
@@ -97,11 +90,11 @@ def kpis_of(
 ) -> Run:
     """KPIs and document of raw trips, without writing anything but checkpoints."""
     with shuffle_width_for(trips):
-        rolled = settle(kpis.rollup(quality.clean(trips, spec)))
-        originals = trips.agg(F.count("*").alias("original_rows"))
-        rejects = quality.distinct_rejects(trips, spec).agg(F.count("*").alias("reject_rows"))
+        rolled = settle_small(kpis.rollup(quality.clean(trips, spec)))
+        originals = trips.selectExpr("count(*) AS original_rows")
+        rejects = quality.distinct_rejects(trips, spec).selectExpr("count(*) AS reject_rows")
         counts = settle(_counts(originals, rejects, rolled))
-    sections = _sections(rolled, counts, F.lit(source), spec.payment_labels)
+    sections = _sections(rolled, counts, literal(source), spec.payment_labels)
     metadata = run_metadata(trips.sparkSession, spec, source, sample_fraction)
     return Run(source, sections, kpi_bundle(sections, metadata))
 
@@ -137,11 +130,11 @@ def run_batch(
         write_clean(quality.clean(trips, spec), clean_uri, by_date=clean_by_date)
         cleaned = reload_clean(spark, clean_uri)
         after = settle(profile.audit(cleaned, checks, "_after_cleaning"))
-        rolled = settle(kpis.rollup(cleaned))
-        originals = wide.select(F.col(profile.TOTAL).alias("original_rows"))
-        rejects = quality.distinct_rejects(trips, spec).agg(F.count("*").alias("reject_rows"))
+        rolled = settle_small(kpis.rollup(cleaned))
+        originals = wide.selectExpr(f"{profile.TOTAL} AS original_rows")
+        rejects = quality.distinct_rejects(trips, spec).selectExpr("count(*) AS reject_rows")
         counts = settle(_counts(originals, rejects, rolled))
-    sections = _sections(rolled, counts, F.lit(source), spec.payment_labels)
+    sections = _sections(rolled, counts, literal(source), spec.payment_labels)
     bundle = kpi_bundle(sections, run_metadata(spark, spec, source, sample_fraction))
     write_bundle(bundle, report_uri)
     reports = {
@@ -150,7 +143,7 @@ def run_batch(
         "audit": profile.rule_table(wide, checks),
         "audit_after_cleaning": after,
         "duplicates": profile.duplicate_table(counts),
-        "cleaning": quality.removed(counts.drop("distinct_rows")),
+        "cleaning": quality.removed(counts),
         "trips_by_hour": kpis.trips_by_hour(rolled),
     }
     return Run(source, sections, bundle, reports)
@@ -173,32 +166,29 @@ def kpis_of_periods(trips: Mapping[TripSpec, DataFrame], sources: Mapping[TripSp
     spark = next(iter(trips.values())).sparkSession
 
     def tagged(table: DataFrame, spec: TripSpec) -> DataFrame:
-        values = (F.lit(spec.color), F.lit(spec.year), F.lit(spec.month))
-        return table.select(*[v.alias(n) for n, v in zip(PERIOD, values, strict=True)], "*")
+        values = (literal(spec.color), str(spec.year), str(spec.month))
+        return table.selectExpr(*[f"{v} AS {n}" for n, v in zip(PERIOD, values, strict=True)], "*")
 
     parts, originals, rejects, metadata = [], [], [], []
     for spec, table in trips.items():
         parts.append(kpis.trip_parts(tagged(quality.clean(table, spec), spec), PERIOD))
-        originals.append(tagged(table.agg(F.count("*").alias("original_rows")), spec))
-        rejected = quality.distinct_rejects(table, spec).agg(F.count("*").alias("reject_rows"))
+        originals.append(tagged(table.selectExpr("count(*) AS original_rows"), spec))
+        rejected = quality.distinct_rejects(table, spec).selectExpr("count(*) AS reject_rows")
         rejects.append(tagged(rejected, spec))
         metadata.append(tagged(run_metadata(spark, spec, sources[spec], None), spec))
 
     with shuffle_width_for(_stack(parts)):
-        rolled = settle(kpis.rollup(_stack(parts), PERIOD))
+        rolled = settle_small(kpis.rollup(_stack(parts), PERIOD))
         counts = settle(_counts(_stack(originals), _stack(rejects), rolled, PERIOD))
 
-    labels = reduce(
-        lambda other, color: F.when(
-            F.col("color") == color, payment_label(F.col("payment_type"), PAYMENT_LABELS[color])
-        ).otherwise(other),
-        PAYMENT_LABELS,
-        F.lit(None).cast("string"),
-    )
-    source = F.lit(None).cast("string")
-    for spec, uri in sources.items():
-        here = (F.col("color") == spec.color) & (F.col("year") == spec.year)
-        source = F.when(here & (F.col("month") == spec.month), uri).otherwise(source)
+    by_color = [f"WHEN {literal(c)} THEN {payment_label(PAYMENT_LABELS[c])}" for c in PAYMENT_LABELS]
+    by_period = [
+        f"WHEN color = {literal(s.color)} AND year = {s.year} AND month = {s.month} "
+        f"THEN {literal(uri)}"
+        for s, uri in sources.items()
+    ]
+    labels = f"CASE color {' '.join(by_color)} END"
+    source = f"CASE {' '.join(by_period)} END"
     sections = _sections(rolled, counts, source, labels, PERIOD)
     return Run("", sections, kpi_bundle(sections, _stack(metadata), PERIOD))
 

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 SCAN_BYTES_PER_SHUFFLE_TASK = 128 * 1024 * 1024
 MAX_SHUFFLE_TASKS = 100_000
 
+# Rows that one task may hold.
+SMALL_ROWS = 200_000
+
 _local_scratch: tempfile.TemporaryDirectory | None = None
 
 
@@ -68,6 +71,16 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settle_small(df: DataFrame) -> DataFrame:
+    """``settle`` for a table that should be small, gathered in one partition if it really is.
+
+    Grouping and sorting it then needs no further shuffle. The size is counted, not assumed: a
+    larger table stays distributed.
+    """
+    settled = settle(df)
+    return settled.coalesce(1) if settled.count() <= SMALL_ROWS else settled
+
+
 @contextmanager
 def shuffle_width_for(df: DataFrame) -> Iterator[int]:
     """Raise spark.sql.shuffle.partitions while ``df`` runs, going by its estimated input size.

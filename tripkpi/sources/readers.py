@@ -8,8 +8,9 @@ from collections.abc import Iterable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from tripkpi.functions.text import name
 
 log = logging.getLogger(__name__)
 
@@ -54,15 +55,18 @@ def sample_trips(
     return df.sample(withReplacement=False, fraction=fraction, seed=seed) if enabled else df
 
 
-def in_hash_sample(key: str, fraction: float = SAMPLE_FRACTION) -> Column:
+def in_hash_sample(key: str, fraction: float = SAMPLE_FRACTION) -> str:
     """True for a repeatable share of the key values; a null key counts as a value of its own."""
+    bound = _bound(fraction)
+    if bound == 2**32:
+        return "true"
+    return f"substr(md5(coalesce(CAST({name(key)} AS STRING), '')), 1, 8) < '{bound:08x}'"
+
+
+def _bound(fraction: float) -> int:
     if not 0.0 <= fraction <= 1.0:
         raise ValueError(f"fraction must be in 0..1, got {fraction}")
-    bound = math.ceil(fraction * 2**32)
-    if bound == 2**32:
-        return F.lit(True)
-    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
-    return F.substring(digest, 1, 8) < F.lit(f"{bound:08x}")
+    return math.ceil(fraction * 2**32)
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float = SAMPLE_FRACTION) -> DataFrame:
@@ -78,8 +82,5 @@ def row_sample(
     Copies of a row are kept or left out together, so duplicate shares stay comparable, and every
     pass over the input sees the same sample whatever number of executors it has.
     """
-    if not 0.0 <= fraction <= 1.0:
-        raise ValueError(f"fraction must be in 0..1, got {fraction}")
-    buckets = 2**32
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(buckets))
-    return df.filter(bucket < F.lit(math.ceil(fraction * buckets)))
+    columns = ", ".join(name(c) for c in df.columns)
+    return df.filter(f"pmod(xxhash64({seed}, {columns}), {2**32}L) < {_bound(fraction)}L")
