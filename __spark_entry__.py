@@ -82,6 +82,12 @@ def numeric_profile_lineitem(spark, sf_dir):
     return profile.numeric_profile(read_trips(spark, f"{sf_dir}/lineitem.parquet"), digits=4)
 
 
+def profile_pass(spark, sf_dir):
+    """Rule audit taken from the pass that counts nulls, statistics and rules together."""
+    table, checks = _trips(spark, sf_dir), quality.rules(YELLOW)
+    return profile.rule_table(profile.profile_pass(table, checks), checks)
+
+
 def duplicate_summary(spark, sf_dir):
     return profile.duplicate_summary(_trips(spark, sf_dir))
 
@@ -233,6 +239,7 @@ _QUERIES = (
     null_profile,
     numeric_profile,
     numeric_profile_lineitem,
+    profile_pass,
     duplicate_summary,
     duplicate_summary_lineitem,
     derive_columns,
@@ -448,7 +455,8 @@ _COUNTS = """, counts AS (
     (SELECT count(*) FROM clean) AS clean_rows
 )
 """
-_QUALITY_NUMBERS = """SELECT 'original_rows' AS metric, CAST(original_rows AS DOUBLE) AS value FROM counts
+_QUALITY_NUMBERS = """SELECT 'original_rows' AS metric, CAST(original_rows AS DOUBLE) AS value
+  FROM counts
   UNION ALL SELECT 'clean_rows', clean_rows FROM counts
   UNION ALL SELECT 'removed_rows', original_rows - clean_rows FROM counts
   UNION ALL SELECT 'removed_pct', round((original_rows - clean_rows) / original_rows, 4) FROM counts
@@ -496,6 +504,7 @@ def oracle_sql() -> dict[str, str]:
         "duplicate_summary": _duplicates("trips"),
         "derive_columns": "SELECT * FROM derived",
         "rule_audit": _rule_audit("derived"),
+        "profile_pass": _rule_audit("derived"),
         "rule_audit_clean": _rule_audit("clean", "_after_cleaning"),
         "period_filter": (
             "SELECT * FROM trips WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-01' "
@@ -526,9 +535,12 @@ def oracle_sql() -> dict[str, str]:
         "dash_cards": f"""SELECT * FROM (WITH summary AS ({_SUMMARY}) {_FIRST_CARDS}
   UNION ALL SELECT 4, 'Propina Promedio', format('${{:.2f}}', avg_tip),
     CAST(avg_tip_pct AS VARCHAR) || '%' FROM summary
-  UNION ALL SELECT 5, 'Distancia Promedio', format('{{:.2f}} mi', avg_trip_distance), NULL FROM summary
-  UNION ALL SELECT 6, 'Duración Promedio', format('{{:.1f}} min', avg_duration_min), NULL FROM summary
-  UNION ALL SELECT 7, 'Pasajeros Promedio', format('{{:.1f}}', avg_passenger_count), NULL FROM summary)""",
+  UNION ALL SELECT 5, 'Distancia Promedio', format('{{:.2f}} mi', avg_trip_distance), NULL
+    FROM summary
+  UNION ALL SELECT 6, 'Duración Promedio', format('{{:.1f}} min', avg_duration_min), NULL
+    FROM summary
+  UNION ALL SELECT 7, 'Pasajeros Promedio', format('{{:.1f}}', avg_passenger_count), NULL
+    FROM summary)""",
     }
     on_counts = {
         "cleaning_summary": (
@@ -544,7 +556,8 @@ def oracle_sql() -> dict[str, str]:
         "kpi_bundle_sections": """SELECT 'kpi_resumen' AS section, CAST(1 AS INT) AS records
   UNION ALL SELECT 'kpi_por_dia', CAST(count(DISTINCT pickup_date) AS INT) FROM clean
   UNION ALL SELECT 'kpi_por_hora', CAST(count(DISTINCT pickup_hour) AS INT) FROM clean
-  UNION ALL SELECT 'kpi_tipo_pago', CAST(count(DISTINCT coalesce(payment_type, -1)) AS INT) FROM clean
+  UNION ALL SELECT 'kpi_tipo_pago',
+    CAST(count(DISTINCT coalesce(payment_type, -1)) AS INT) FROM clean
   UNION ALL SELECT 'kpi_top_pickup_zones',
     CAST(least(20, count(DISTINCT PULocationID)) AS INT) FROM clean
   UNION ALL SELECT 'kpi_calidad', 1 + CAST(count(*) AS INT) FROM (""" + _QUALITY_NUMBERS + ")",

@@ -64,7 +64,8 @@ def test_dashboard_feeds_from_a_document(spark, run, tmp_path):
     assert [tuple(r) for r in days] == [(date(2024, 1, 10), 3)]
     assert tuple(feeds.dash_hourly_series(section["kpi_por_hora"]).first()) == (8, 3)
     assert feeds.dash_top_zones(section["kpi_top_pickup_zones"]).first()["PULocationID"] == 9
-    assert feeds.dash_payment(section["kpi_tipo_pago"]).first()["payment_type_label"] == "Credit card"
+    payments = feeds.dash_payment(section["kpi_tipo_pago"])
+    assert payments.first()["payment_type_label"] == "Credit card"
     assert feeds.dash_quality(section["kpi_calidad"]).count() == 7
     cards = feeds.dash_run_summary(section["kpi_resumen"], section["kpi_calidad"]).collect()
     assert [c["value"] for c in cards] == ["3", "$40.50", "$13.50", "60.0%"]

@@ -46,7 +46,8 @@ def test_many_numeric_columns_in_portions(spark):
 
 
 def test_describe_agrees_with_the_typed_form(spark):
-    table = spark.createDataFrame([(1, 2.5, "a"), (4, None, "b"), (7, 0.5, "c")], "i int, d double, s string")
+    values = [(1, 2.5, "a"), (4, None, "b"), (7, 0.5, "c")]
+    table = spark.createDataFrame(values, "i int, d double, s string")
     described = {row["summary"]: row.asDict() for row in profile.describe_numeric(table).collect()}
     for row in profile.numeric_profile(table).collect():
         for statistic in ("count", "mean", "stddev", "min", "max"):

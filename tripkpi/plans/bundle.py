@@ -36,6 +36,9 @@ METADATA = (
     "sample_fraction double, storage_format string, intended_consumer string"
 )
 
+STORAGE_FORMAT = "json"
+INTENDED_CONSUMER = "streamlit"
+
 QUALITY_METRICS = (
     "data_source_used",
     "original_rows",
@@ -88,8 +91,8 @@ def run_metadata(
         source_url=literal(source),
         sample_enabled=str(sample_fraction is not None).lower(),
         sample_fraction=f"CAST({fraction} AS DOUBLE)",
-        storage_format=literal("json"),
-        intended_consumer=literal("streamlit"),
+        storage_format=literal(STORAGE_FORMAT),
+        intended_consumer=literal(INTENDED_CONSUMER),
     )
     return spark.range(0, 1, 1, 1).selectExpr(f"{fields} AS metadata")
 
@@ -121,20 +124,19 @@ def read_bundle(spark: SparkSession, uri: str) -> DataFrame:
     both are brought into the form ``kpi_bundle`` has.
     """
     loose = dict(SECTIONS)
-    loose["kpi_tipo_pago"] = loose["kpi_tipo_pago"].replace("payment_type bigint", "payment_type double")
-    loose["kpi_calidad"] = loose["kpi_calidad"].replace("value double", "value string")
+    for name, strict, wide in (
+        ("kpi_tipo_pago", "payment_type bigint", "payment_type double"),
+        ("kpi_calidad", "value double", "value string"),
+    ):
+        loose[name] = loose[name].replace(strict, wide)
     columns = [f"metadata {_type(METADATA)}"]
     columns += [f"{name} ARRAY<{_type(ddl)}>" for name, ddl in loose.items()]
     stored = spark.read.schema(", ".join(columns)).json(uri, multiLine=True)
-    payments = _rebuilt(
-        "kpi_tipo_pago",
-        payment_type="CASE WHEN NOT isnan(row.payment_type) THEN CAST(row.payment_type AS BIGINT) END",
-    )
-    facts = _rebuilt(
-        "kpi_calidad",
-        value="try_cast(row.value AS DOUBLE)",
-        value_text="coalesce(row.value_text, CASE WHEN try_cast(row.value AS DOUBLE) IS NULL THEN row.value END)",
-    )
+    code = "CASE WHEN NOT isnan(row.payment_type) THEN CAST(row.payment_type AS BIGINT) END"
+    payments = _rebuilt("kpi_tipo_pago", payment_type=code)
+    number = "try_cast(row.value AS DOUBLE)"
+    text = f"coalesce(row.value_text, CASE WHEN {number} IS NULL THEN row.value END)"
+    facts = _rebuilt("kpi_calidad", value=number, value_text=text)
     return stored.withColumns({"kpi_tipo_pago": F.expr(payments), "kpi_calidad": F.expr(facts)})
 
 

@@ -181,7 +181,10 @@ def kpis_of_periods(trips: Mapping[TripSpec, DataFrame], sources: Mapping[TripSp
         rolled = settle_small(kpis.rollup(_stack(parts), PERIOD))
         counts = settle(_counts(_stack(originals), _stack(rejects), rolled, PERIOD))
 
-    by_color = [f"WHEN {literal(c)} THEN {payment_label(PAYMENT_LABELS[c])}" for c in PAYMENT_LABELS]
+    by_color = [
+        f"WHEN {literal(color)} THEN {payment_label(names)}"
+        for color, names in PAYMENT_LABELS.items()
+    ]
     by_period = [
         f"WHEN color = {literal(s.color)} AND year = {s.year} AND month = {s.month} "
         f"THEN {literal(uri)}"
