@@ -6,6 +6,8 @@ All queries run over whole tables. Trip queries use the trip-shaped table that
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -278,8 +280,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return kpi_by_day(spark, SMOKE_DIR)
 
 
+def _llm():
+    """The text operators' queries and pipeline, or None where these folders are not installed."""
+    if not importlib.util.find_spec("tripkpi.llm") or not importlib.util.find_spec("corpus_pipeline"):
+        return None
+    return importlib.import_module("tripkpi.llm.queries")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    llm = _llm()
+    return {query.__name__: query for query in _QUERIES} | (llm.queries() if llm else {})
 
 
 # The same in SQL.
@@ -565,7 +575,8 @@ def oracle_sql() -> dict[str, str]:
   UNION ALL SELECT 4, 'Calidad', format('{{:.1f}}%', 100 * value), NULL
     FROM ({_QUALITY_NUMBERS}) WHERE metric = 'quality_score')""",
     }
-    return {
+    llm = _llm()
+    return (llm.oracle_sql() if llm else {}) | {
         **{name: _TRIPS + sql for name, sql in on_trips.items()},
         **{name: _TRIPS + _COUNTS + sql for name, sql in on_counts.items()},
         "numeric_profile_lineitem": _numeric("lineitem", _LINEITEM_NUMBERS),
