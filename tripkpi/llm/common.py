@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -40,7 +41,7 @@ def slices(batch: pa.RecordBatch, text: str | None = None) -> Iterator[pa.Record
         for at in range(0, batch.num_rows, SLICE_ROWS):
             yield batch.slice(at, SLICE_ROWS)
         return
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
     at, size = 0, 0
     for i, length in enumerate(lengths):
         if i > at and (size + length > SLICE_BYTES or i - at >= SLICE_ROWS):
@@ -53,7 +54,7 @@ def slices(batch: pa.RecordBatch, text: str | None = None) -> Iterator[pa.Record
 
 def map_rows(
     df: DataFrame,
-    ddl: str,
+    ddl: str | StructType,
     function: Callable[[pa.RecordBatch], Sequence],
     text: str | None = None,
     make: Callable[[], Callable] | None = None,
@@ -63,7 +64,7 @@ def map_rows(
     With ``make``, the function is built once in each task and ``function`` is ignored. Rows depend
     on nothing but themselves, so a lost task is simply run again.
     """
-    schema = schema_of(ddl)
+    schema = schema_of(ddl) if isinstance(ddl, str) else ddl
     arrow = to_arrow_schema(schema)
 
     def run(batches):

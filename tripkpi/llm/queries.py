@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from tripkpi.llm import token_counts, wfst
+from tripkpi.llm import quality_lines, token_counts, toxicity, wfst
 from tripkpi.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -15,6 +15,15 @@ def op1_sentencepiece(spark, sf_dir):
     return wfst.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op2_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+
+
+def op3_quality_rules(spark, sf_dir):
+    return quality_lines.assess(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark, sf_dir):
     path = public_tokenizers.path(PIECES)
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
@@ -26,6 +35,8 @@ def pipeline(spark, sf_dir):
 
 _QUERIES = (
     op1_sentencepiece,
+    op2_toxicity,
+    op3_quality_rules,
     op10_token_counts,
 )
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from tripkpi.llm.common import map_rows
 from tripkpi.llm.pieces import SPACE, pre_tokens, read_model
 
-# Documents that the first tier is fitted on, and entries that it has at most (bounds its size).
+# Documents, on average, that the first tier is fitted on, and entries that it has at most (bounds its size).
 SAMPLE_ROWS = 2_000
 FREQUENT = 50_000
 # Entries of a worker's cache, and characters of those pre-tokens that are worth caching.
@@ -50,7 +50,7 @@ class _Lengths(dict):
 
 
 def frequent_lengths(documents: DataFrame, path: str, rows: int, size: int) -> dict[str, int]:
-    """The most frequent pre-tokens of ``rows`` documents and their numbers of tokens.
+    """The most frequent pre-tokens of about ``rows`` documents and their numbers of tokens.
 
     Each task counts its own documents and hands over at most ``size`` pre-tokens.
     """
@@ -67,7 +67,9 @@ def frequent_lengths(documents: DataFrame, path: str, rows: int, size: int) -> d
             "n": pa.array([n for _, n in top], pa.int64()),
         })
 
-    counted = documents.select("text").limit(rows).mapInArrow(count, "word string, n long")
+    share = min(1.0, rows / max(documents.count(), 1))
+    some = documents.select("text").sample(share, seed=1)
+    counted = some.mapInArrow(count, "word string, n long")
     top = counted.groupBy("word").sum("n").orderBy("sum(n)", "word", ascending=[False, True])
     lengths = _Lengths(path, {})
     return {row.word: lengths[row.word] for row in top.limit(size).collect()}
