@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from tripkpi.llm import quality_lines, token_counts, toxicity, wfst
+from tripkpi.llm import mixing, quality_lines, token_counts, toxicity, wfst
 from tripkpi.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -24,6 +24,10 @@ def op3_quality_rules(spark, sf_dir):
     return quality_lines.assess(table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark, sf_dir):
     path = public_tokenizers.path(PIECES)
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
@@ -37,6 +41,7 @@ _QUERIES = (
     op1_sentencepiece,
     op2_toxicity,
     op3_quality_rules,
+    op9_mixing,
     op10_token_counts,
 )
 
