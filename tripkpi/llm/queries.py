@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from tripkpi.llm import mixing, quality_lines, token_counts, toxicity, wfst
+from tripkpi.llm import mixing, quality_lines, token_counts, toxicity, vptree, wfst
 from tripkpi.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -24,6 +24,10 @@ def op3_quality_rules(spark, sf_dir):
     return quality_lines.assess(table(spark, sf_dir, "documents"))
 
 
+def op6_nearest_neighbours(spark, sf_dir):
+    return vptree.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ _QUERIES = (
     op1_sentencepiece,
     op2_toxicity,
     op3_quality_rules,
+    op6_nearest_neighbours,
     op9_mixing,
     op10_token_counts,
 )
@@ -50,5 +55,21 @@ def queries():
     return {query.__name__: query for query in _QUERIES}
 
 
+_NEAREST = """WITH v AS (
+  SELECT vec_id, min(embedding) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+  GROUP BY vec_id
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    list_distance(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INT) AS rank
+  FROM pairs
+) SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+
 def oracle_sql():
-    return {}
+    return {"op6_nearest_neighbours": _NEAREST}
