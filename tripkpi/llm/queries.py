@@ -63,7 +63,9 @@ _NEAREST = """WITH v AS (
   GROUP BY vec_id
 ), pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-    list_distance(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS score
+    sqrt(list_reduce(list_transform(range(1, len(q.e) + 1), lambda i:
+      (CAST(q.e[i] AS DOUBLE) - CAST(c.e[i] AS DOUBLE))
+      * (CAST(q.e[i] AS DOUBLE) - CAST(c.e[i] AS DOUBLE))), lambda x, y: x + y)) AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
 ), ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INT) AS rank
