@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from tripkpi.llm import minhash, mixing, quality_lines, token_counts, toxicity, vptree, wfst
+from tripkpi.llm import minhash, mixing, quality_lines, suffixes, token_counts, toxicity, vptree, wfst
 from tripkpi.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -24,6 +24,10 @@ def op3_quality_rules(spark, sf_dir):
     return quality_lines.assess(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return suffixes.repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ _QUERIES = (
     op1_sentencepiece,
     op2_toxicity,
     op3_quality_rules,
+    op4_suffix_dedup,
     op5_minhash,
     op6_nearest_neighbours,
     op9_mixing,
