@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from tripkpi.llm import minhash, mixing, quality_lines, suffixes, token_counts, toxicity, vptree, wfst
+from tripkpi.llm import minhash, mixing, quality_lines, site_style, suffixes, token_counts, toxicity, vptree, wfst
 from tripkpi.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -36,6 +36,10 @@ def op6_nearest_neighbours(spark, sf_dir):
     return vptree.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op7_html_extraction(spark, sf_dir):
+    return site_style.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ _QUERIES = (
     op4_suffix_dedup,
     op5_minhash,
     op6_nearest_neighbours,
+    op7_html_extraction,
     op9_mixing,
     op10_token_counts,
 )
