@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from tripkpi.llm import minhash, mixing, quality_lines, site_style, suffixes, token_counts, toxicity, vptree, wfst
+from tripkpi.llm import language, minhash, mixing, quality_lines, site_style, suffixes, token_counts, toxicity, vptree, wfst
 from tripkpi.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -40,6 +40,11 @@ def op7_html_extraction(spark, sf_dir):
     return site_style.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_language_id(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return language.identify(documents, language.fit(documents))
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ _QUERIES = (
     op5_minhash,
     op6_nearest_neighbours,
     op7_html_extraction,
+    op8_language_id,
     op9_mixing,
     op10_token_counts,
 )
