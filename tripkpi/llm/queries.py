@@ -69,6 +69,7 @@ _QUERIES = (
     op8_language_id,
     op9_mixing,
     op10_token_counts,
+    pipeline,
 )
 
 
