@@ -4,12 +4,14 @@
   one node from here on, so exact copies cost nothing however many there are.
 * 176 MinHash samples of a set make 44 bands of four. Two sets with similarity 0.75 share no band
   with a chance of (1 - 0.75^4)^44 < 6e-8.
-* The samples are folded into an odd sketch, 512 parity bits: each sample flips one. The sketches of
-  two sets differ in bits that the samples outside their common part have flipped, so the population
-  count of their XOR estimates how far apart the sets are, precisely where they are close.
+* For verification, samples are folded into an odd sketch, 2048 parity bits: each sample flips one.
+  Samples are the elements that come least in one more permutation: all of a set of up to 1024, and
+  of larger ones the share (a half, a quarter, ...) that brings them below that. The sketches of two
+  sets differ in bits that samples outside their common part have flipped, so the population count of
+  their XOR tells how far apart the sets are, precisely where they are close, and never too much.
 * Within a band's bucket, members are paired with the bucket's least node only. Pairs whose sketches
-  differ by more than sets of similarity 0.75 ever would (six standard deviations) are dropped, the
-  others confirmed on the full sets. Links so found make components.
+  differ by more than sets of similarity 0.75 can (where only a share is sampled, by six standard
+  deviations more) are dropped, the others confirmed on the full sets. Links so found make components.
 * Members of a bucket that are in one component by then need no further comparison, whatever their
   number. In a bucket with more components, members outside the least node's component are paired
   with all members of other components, under the same bound for sketches. So no link between
@@ -18,7 +20,6 @@
 
 from __future__ import annotations
 
-import math
 import re
 from collections import OrderedDict
 
@@ -34,13 +35,14 @@ SHINGLE = 5
 PER_CENT = 75
 BANDS, BAND_ROWS = 44, 4
 SAMPLES = BANDS * BAND_ROWS
-SKETCH_BITS = 512
+SKETCH_BITS = 2_048
+SKETCH_SAMPLES = 1_024
 LANES = SKETCH_BITS // 64
 
 WORDS = re.compile(WORD.encode())
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 CACHED_WORDS = 300_000
-CACHED_SETS = 64
+CACHED_SET_BYTES = 64 * 1024 * 1024
 CHUNK = 4_096
 
 _random = np.random.Generator(np.random.PCG64(20_240_105))
@@ -56,18 +58,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def farthest() -> int:
-    """The most bits in which sketches of sets with the similarity asked for may differ.
-
-    The number of samples that differ is binomial. Each gives two odd flips, the expected population
-    count of that many flips follows, and six standard deviations are allowed for both steps.
-    """
-    far = 1 - PER_CENT / 100
-    differ = SAMPLES * far + 6 * math.sqrt(SAMPLES * far * (1 - far))
-    expected = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * min(differ, SAMPLES)))
-    return math.ceil(expected + 6 * math.sqrt(SKETCH_BITS) / 4)
-
-
 class Shingler:
     """Texts to sorted sets of shingle hashes."""
 
@@ -112,6 +102,11 @@ def samples(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
+def level(size: int) -> int:
+    """How often the set is halved before it is sketched."""
+    return max(0, size - 1).bit_length() - min(10, max(0, size - 1).bit_length())
+
+
 def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Band keys and odd sketch of a set, as 64-bit integers."""
     least = mix(samples(shingles) + np.arange(SAMPLES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -119,44 +114,57 @@ def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     bands = np.arange(BANDS, dtype=np.uint64)
     for j in range(BAND_ROWS):
         bands = mix(bands ^ rows[:, j])
-    parity = np.bincount((least >> np.uint64(8)) % np.uint64(SKETCH_BITS), minlength=SKETCH_BITS) & 1
+    place = mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
+    halved = level(len(shingles))
+    if halved:
+        place = place[place < np.uint64(1 << (64 - halved))]
+    parity = np.bincount(mix(place) % np.uint64(SKETCH_BITS), minlength=SKETCH_BITS) & 1
     sketch = np.packbits(parity.astype(np.uint8)).view(np.uint64)
     return bands.view(np.int64), sketch.view(np.int64)
 
 
 def describe(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, two digests of the set, and bands and sketch (null for empty sets)."""
+    """doc_id, n_shingles, two digests of the set, and level, bands and sketch (null if it is empty)."""
 
     def make():
         shingler = Shingler()
 
         def work(part):
-            n, first, second, bands, sketches = [], [], [], [], []
+            n, first, second, levels, bands, sketches = [], [], [], [], [], []
             for text in part.column("text").to_pylist():
                 shingles = shingler(text)
                 n.append(len(shingles))
                 first.append(int(shingles.sum().view(np.int64)) if len(shingles) else 0)
                 second.append(int(mix(~shingles).sum().view(np.int64)) if len(shingles) else 0)
                 b, s = signature(shingles) if len(shingles) else (None, None)
+                levels.append(level(len(shingles)))
                 bands.append(b)
                 sketches.append(s)
-            return part.column("doc_id"), n, first, second, bands, sketches
+            return part.column("doc_id"), n, first, second, levels, bands, sketches
 
         return work
 
     ddl = (
-        "doc_id long, n_shingles long, digest1 long, digest2 long, bands array<long>,"
+        "doc_id long, n_shingles long, digest1 long, digest2 long, level int, bands array<long>,"
         " sketch array<long>"
     )
     return map_rows(documents.select("doc_id", "text"), ddl, None, text="text", make=make)
 
 
 def _close(left: str, right: str) -> str:
-    """SQL for pairs that sizes and sketches leave possible."""
+    """SQL for pairs that sizes and sketches leave possible.
+
+    Sets with similarity p / 100 differ in (100 - p) / (100 + p) of the sum of their sizes. Sets that
+    are halved a different number of times are left to confirmation.
+    """
     differ = " + ".join(f"bit_count({left}s{i} ^ {right}s{i})" for i in range(LANES))
+    most = (
+        f"(({left}n + {right}n) * {100 - PER_CENT} / {100 + PER_CENT} / shiftleft(1L, {left}level))"
+    )
     return (
         f"100 * least({left}n, {right}n) >= {PER_CENT} * greatest({left}n, {right}n)"
-        f" AND {differ} <= {farthest()}"
+        f" AND ({left}level <> {right}level"
+        f" OR {differ} <= {most} + IF({left}level = 0, 0D, 6 * sqrt({most})))"
     )
 
 
@@ -172,12 +180,17 @@ def confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     def make():
         shingler, sets = Shingler(), OrderedDict()
 
-        def shingles(text):  # one document may be in many pairs that follow each other
+        size = 0
+
+        def shingles(text):  # one document may be in many pairs
+            nonlocal size
             found = sets.get(text)
             if found is None:
                 found = sets[text] = shingler(text)
-                if len(sets) > CACHED_SETS:
-                    sets.popitem(last=False)
+                size += found.nbytes + 2 * len(text)
+                while size > CACHED_SET_BYTES:
+                    old, gone = sets.popitem(last=False)
+                    size -= gone.nbytes + 2 * len(old)
             return found
 
         def work(part):
@@ -187,7 +200,7 @@ def confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
                 part.column("left_text").to_pylist(),
                 strict=True,
             ):
-                a, b = shingles(a), shingler(b)
+                a, b = shingles(a), shingles(b)
                 common = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
                 union = len(a) + len(b) - common
                 keep.append(union > 0 and 100 * common >= PER_CENT * union)
@@ -213,17 +226,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     nodes = written(
         filled.groupBy("digest1", "digest2", "n_shingles").agg(
             F.min("doc_id").alias("id"),
+            F.first("level").alias("level"),
             F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch"),
         ),
         "nodes",
     )
     lanes = [F.col("sketch")[i].alias(f"s{i}") for i in range(LANES)]
-    members = nodes.select(
-        "id", F.col("n_shingles").alias("n"), *lanes, F.explode("bands").alias("band")
-    )
-    named = ["n", *(f"s{i}" for i in range(LANES))]
-    sketches = nodes.select(F.col("id"), F.col("n_shingles").alias("n"), *lanes)
+    named = ["n", "level", *(f"s{i}" for i in range(LANES))]
+    sketches = nodes.select("id", F.col("n_shingles").alias("n"), "level", *lanes)
 
     def sketched(pairs: DataFrame) -> DataFrame:
         """The pairs that sizes and sketches leave possible."""
@@ -237,7 +248,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             .distinct()
         )
 
-    buckets = members.select("band", "id")
+    buckets = nodes.select(F.explode("bands").alias("band"), "id")
     shared = written(
         buckets.groupBy("band")
         .agg(F.min("id").alias("center"), F.max("id").alias("last"))
