@@ -25,7 +25,6 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 def _trips(spark: SparkSession, sf_dir: str, spec: TripSpec = YELLOW) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return fixtures.trips_from_events(read_trips(spark, f"{sf_dir}/events.parquet"), spec)
 
 
@@ -85,9 +84,41 @@ def numeric_profile_lineitem(spark, sf_dir):
 
 
 def profile_pass(spark, sf_dir):
-    """Rule audit taken from the pass that counts nulls, statistics and rules together."""
-    table, checks = _trips(spark, sf_dir), quality.rules(YELLOW)
-    return profile.rule_table(profile.profile_pass(table, checks), checks)
+    """Rows, nulls, statistics and rules from the pass that counts them together."""
+    return profile.profile_rows(_trips(spark, sf_dir), quality.rules(YELLOW))
+
+
+def profile_pass_one_scan(spark, sf_dir):
+    """The same by the pass that sampled runs take."""
+    return profile.profile_rows(_trips(spark, sf_dir), quality.rules(YELLOW), one_scan=True)
+
+
+def _clashing(spark, sf_dir):
+    """Each trip twice, the two differing in raw columns that are called like derived ones only."""
+    trips = _trips(spark, sf_dir)
+    first = trips.selectExpr("*", "'a' AS pickup_date", "1 AS duration_min")
+    return first.union(trips.selectExpr("*", "'b' AS pickup_date", "2 AS duration_min"))
+
+
+def clean_clashing_names(spark, sf_dir):
+    return quality.clean(_clashing(spark, sf_dir), YELLOW)
+
+
+def quality_clashing_names(spark, sf_dir):
+    run = job.kpis_of(_clashing(spark, sf_dir), YELLOW, "events")
+    return run.sections["kpi_calidad"].select("metric", "value")
+
+
+def _odd_clean(spark, sf_dir):
+    return quality.clean(fixtures.odd_amounts(_trips(spark, sf_dir)), YELLOW)
+
+
+def exact_kpi_summary(spark, sf_dir):
+    return kpis.kpi_summary(_odd_clean(spark, sf_dir))
+
+
+def exact_kpi_by_hour(spark, sf_dir):
+    return kpis.kpi_by_hour(kpis.rollup(_odd_clean(spark, sf_dir)))
 
 
 def duplicate_summary(spark, sf_dir):
@@ -175,36 +206,62 @@ def kpi_bundle_sections(spark, sf_dir):
     return bundle.section_sizes(_run(spark, sf_dir).bundle)
 
 
-def bundle_roundtrip(spark, sf_dir):
+def _document(spark, sf_dir):
+    """The document of the trips, written and read back."""
     uri = scratch_uri(spark, "report")
     bundle.write_bundle(_run(spark, sf_dir).bundle, uri)
-    return bundle.section(bundle.read_bundle(spark, uri), "kpi_por_dia")
+    return bundle.read_bundle(spark, uri)
+
+
+def _stored(spark, sf_dir, name):
+    return bundle.section(_document(spark, sf_dir), name)
+
+
+def bundle_roundtrip(spark, sf_dir):
+    return _stored(spark, sf_dir, "kpi_por_dia")
+
+
+def document_hours(spark, sf_dir):
+    return _stored(spark, sf_dir, "kpi_por_hora")
+
+
+def document_zones(spark, sf_dir):
+    return _stored(spark, sf_dir, "kpi_top_pickup_zones")
+
+
+def document_metadata(spark, sf_dir):
+    metadata = _document(spark, sf_dir).select("metadata.*")
+    return metadata.drop("generated_at_utc")
 
 
 def dash_cards(spark, sf_dir):
-    return feeds.dash_cards(kpis.kpi_summary(_clean(spark, sf_dir)))
+    return feeds.dash_cards(_stored(spark, sf_dir, "kpi_resumen"))
 
 
 def dash_run_summary(spark, sf_dir):
-    sections = _run(spark, sf_dir).sections
-    return feeds.dash_run_summary(sections["kpi_resumen"], sections["kpi_calidad"])
+    document = _document(spark, sf_dir)
+    summary, facts = (bundle.section(document, n) for n in ("kpi_resumen", "kpi_calidad"))
+    return feeds.dash_run_summary(summary, facts)
 
 
 def dash_daily_series(spark, sf_dir):
-    return feeds.dash_daily_series(kpis.kpi_by_day(_clean(spark, sf_dir)))
+    return feeds.dash_daily_series(_stored(spark, sf_dir, "kpi_por_dia"))
 
 
 def dash_hourly_series(spark, sf_dir):
-    return feeds.dash_hourly_series(kpis.kpi_by_hour(_clean(spark, sf_dir)))
+    return feeds.dash_hourly_series(_stored(spark, sf_dir, "kpi_por_hora"))
 
 
 def dash_top10_zones(spark, sf_dir):
-    return feeds.dash_top_zones(kpis.kpi_top_zones(_clean(spark, sf_dir)))
+    return feeds.dash_top_zones(_stored(spark, sf_dir, "kpi_top_pickup_zones"))
 
 
 def dash_payment(spark, sf_dir):
-    by_payment = kpis.kpi_by_payment(_clean(spark, sf_dir), YELLOW.payment_labels)
-    return feeds.dash_payment(by_payment)
+    return feeds.dash_payment(_stored(spark, sf_dir, "kpi_tipo_pago"))
+
+
+def dash_quality(spark, sf_dir):
+    return feeds.dash_quality(_stored(spark, sf_dir, "kpi_calidad"))
 
 
 def run_batch_quality(spark, sf_dir):
@@ -232,6 +289,43 @@ def run_periods_payment(spark, sf_dir):
     return bundle.section(bundle.read_bundle(spark, report), "kpi_tipo_pago")
 
 
+def _periods_document(spark, sf_dir):
+    """Documents of two periods, written by two runs into one root."""
+    root = _stored_trips(spark, sf_dir, YELLOW, GREEN)
+    report = f"{root}/kpis"
+    for spec in (YELLOW, GREEN):
+        job.run_periods(spark, [spec], root, report)
+    return bundle.read_bundle(spark, report)
+
+
+def run_periods_twice(spark, sf_dir):
+    return bundle.section(_periods_document(spark, sf_dir), "kpi_tipo_pago")
+
+
+def dash_top10_zones_periods(spark, sf_dir):
+    zones = bundle.section(_periods_document(spark, sf_dir), "kpi_top_pickup_zones")
+    return feeds.dash_top_zones(zones)
+
+
+def dash_run_summary_periods(spark, sf_dir):
+    document = _periods_document(spark, sf_dir)
+    summary, facts = (bundle.section(document, n) for n in ("kpi_resumen", "kpi_calidad"))
+    return feeds.dash_run_summary(summary, facts)
+
+
+def dash_daily_series_periods(spark, sf_dir):
+    days = bundle.section(_periods_document(spark, sf_dir), "kpi_por_dia")
+    return feeds.dash_daily_series(days)
+
+
+def batch_reports(spark, sf_dir):
+    """All reports of a full run whose first source is not there, in long form."""
+    root = _stored_trips(spark, sf_dir, YELLOW)
+    sources = [f"{root}/elsewhere", YELLOW.source_uri(root)]
+    run = job.run_batch(spark, YELLOW, sources, YELLOW.clean_uri(root), YELLOW.report_uri(root))
+    return job.report_rows(run)
+
+
 _QUERIES = (
     scan_trips,
     sample_hash,
@@ -272,12 +366,26 @@ _QUERIES = (
     run_batch_quality,
     run_for_request,
     run_periods_payment,
+    run_periods_twice,
+    dash_quality,
+    dash_top10_zones_periods,
+    dash_run_summary_periods,
+    dash_daily_series_periods,
+    document_hours,
+    document_zones,
+    document_metadata,
+    batch_reports,
+    profile_pass_one_scan,
+    clean_clashing_names,
+    quality_clashing_names,
+    exact_kpi_summary,
+    exact_kpi_by_hour,
 )
 
 
-def entry(spark: SparkSession) -> DataFrame:
-    """KPIs by day of the trips at sf0.001."""
-    return kpi_by_day(spark, SMOKE_DIR)
+def entry(spark: SparkSession, sf_dir: str = SMOKE_DIR) -> DataFrame:
+    """KPIs by day of the trips in ``sf_dir``; by default the smallest of the given tables."""
+    return kpi_by_day(spark, sf_dir)
 
 
 def _llm():
@@ -480,6 +588,77 @@ _FIRST_CARDS = """SELECT 1 AS position, 'Total Viajes' AS card,
   UNION ALL SELECT 3, 'Ticket Promedio', format('${:.2f}', avg_ticket), NULL FROM summary"""
 
 
+# The trips with odd amounts; sums in billionths, halves away from zero.
+_ODD = _base("tpep", "2024-01-01", "2024-02-01", 0).replace(
+    "), derived AS (",
+    """), even AS (SELECT * FROM trips), odd AS (
+  SELECT * REPLACE (
+    (trip_id * 7919 % 90000000 + 1) / CAST(1000000 AS DOUBLE) AS trip_distance,
+    (trip_id * 31 % 4001 - 2000) / CAST(1000 AS DOUBLE) AS tip_amount,
+    CAST(trip_id * 99999989 % 1000000000000 AS DOUBLE)
+      + trip_id % 200 * 5 / CAST(1000 AS DOUBLE) AS total_amount)
+  FROM even
+), derived AS (""",
+).replace("\n  FROM trips\n), clean", "\n  FROM odd\n), clean")
+
+
+def _nanos(column: str) -> str:
+    whole = f"CAST(floor({column}) AS HUGEINT)"
+    return f"sum({whole} * 1000000000 + CAST(round(({column} - floor({column})) * 1e9) AS HUGEINT))"
+
+
+def _away(num: str, den: str, times: int = 100) -> str:
+    """num / den in hundredths, halves away from zero."""
+    return (
+        f"(sign({num}) * CAST(({2 * times} * abs({num}) + ({den})) // (2 * ({den})) AS DOUBLE) / 100)"
+    )
+
+
+def _odd_mean(column: str) -> str:
+    return _away(_nanos(column), f"(count({column})::HUGEINT * 1000000000)")
+
+
+_ODD_LENGTH = (
+    f"{_odd_mean('trip_distance')} AS avg_trip_distance, {_DURATION} AS avg_duration_min, "
+    f"{_odd_mean('tip_amount')} AS avg_tip"
+)
+_ODD_REVENUE = _away(_nanos("total_amount"), "1000000000::HUGEINT")
+_ODD_SUMMARY = f"""SELECT count(*) AS total_trips, {_ODD_REVENUE} AS total_revenue,
+  {_odd_mean('total_amount')} AS avg_ticket, {_ODD_LENGTH},
+  {_away(_nanos('tip_amount'), _nanos('fare_amount'), 10000)} AS avg_tip_pct,
+  {_mean('passenger_count')} AS avg_passenger_count FROM clean"""
+_ODD_BY_HOUR = f"""SELECT pickup_hour, count(*) AS trips, {_ODD_REVENUE} AS revenue,
+  {_odd_mean('total_amount')} AS avg_ticket, {_ODD_LENGTH} FROM clean GROUP BY pickup_hour"""
+
+# Each trip is there twice, as two rows that cleaning makes one.
+_CLASHING_COUNTS = _COUNTS.replace(
+    "(SELECT count(*) FROM trips)", "(SELECT 2 * count(*) FROM trips)"
+).replace(
+    "(SELECT count(*) FROM (SELECT DISTINCT * FROM trips))",
+    "(SELECT 2 * count(*) FROM (SELECT DISTINCT * FROM trips))",
+)
+
+
+def _melted(report: str, sql: str, item: str, measures) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{report}' AS report, CAST({item} AS VARCHAR) AS item, '{m}' AS measure, "
+        f'round(CAST("{m}" AS DOUBLE), 4) AS value FROM ({sql})'
+        for m in measures
+    )
+
+
+def _profile_rows(on_trips: dict[str, str]) -> str:
+    parts = [("rows", "'all'", "total_rows", "SELECT count(*) AS total_rows FROM trips")]
+    parts.append(("nulls", '"column"', "null_count", on_trips["null_profile"]))
+    for statistic in ("mean", "stddev", "min", "max"):
+        parts.append((statistic, '"column"', statistic, on_trips["numeric_profile"]))
+    parts.append(("rule", "rule", "bad_rows", on_trips["rule_audit"]))
+    return _TRIPS + " UNION ALL ".join(
+        f"SELECT '{part}' AS part, {item} AS item, CAST(\"{value}\" AS DOUBLE) AS value FROM ({sql})"
+        for part, item, value, sql in parts
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     clean_green = f"{_TRIPS_GREEN} SELECT * FROM clean"
     payment_periods = " UNION ALL ".join(
@@ -514,7 +693,6 @@ def oracle_sql() -> dict[str, str]:
         "duplicate_summary": _duplicates("trips"),
         "derive_columns": "SELECT * FROM derived",
         "rule_audit": _rule_audit("derived"),
-        "profile_pass": _rule_audit("derived"),
         "rule_audit_clean": _rule_audit("clean", "_after_cleaning"),
         "period_filter": (
             "SELECT * FROM trips WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-01' "
@@ -576,9 +754,66 @@ def oracle_sql() -> dict[str, str]:
     FROM ({_QUALITY_NUMBERS}) WHERE metric = 'quality_score')""",
     }
     llm = _llm()
-    return (llm.oracle_sql() if llm else {}) | {
+    single = {
         **{name: _TRIPS + sql for name, sql in on_trips.items()},
         **{name: _TRIPS + _COUNTS + sql for name, sql in on_counts.items()},
+    }
+    everything = _profile_rows(on_trips)
+    reports = " UNION ALL ".join(
+        _melted(report, single[key], item, measures)
+        for report, key, item, measures in (
+            ("nulls", "null_profile", '"column"', ("null_count", "null_pct")),
+            ("numeric", "numeric_profile", '"column"', ("count", "mean", "stddev", "min", "max")),
+            ("audit", "rule_audit", "rule", ("bad_rows", "bad_pct")),
+            (
+                "audit_after_cleaning", "rule_audit_clean", "rule",
+                ("bad_rows_after_cleaning", "bad_pct_after_cleaning"),
+            ),
+            ("duplicates", "duplicate_summary", "metric", ("value",)),
+            (
+                "cleaning", "cleaning_summary", "'all'",
+                ("original_rows", "clean_rows", "removed_rows", "removed_pct"),
+            ),
+            (
+                "trips_by_hour", "trips_by_hour", "pickup_hour",
+                ("trips", "avg_trip_distance", "avg_duration_min", "avg_total_amount"),
+            ),
+        )
+    )
+
+    def by_period(yellow: str, green: str) -> str:
+        keys = ("'yellow' AS color, 2024 AS year, 1 AS month", "'green' AS color, 2025 AS year, 1 AS month")
+        return " UNION ALL ".join(
+            f"SELECT {key}, * FROM ({sql})" for key, sql in zip(keys, (yellow, green), strict=True)
+        )
+
+    def for_green(sql: str) -> str:
+        return sql.replace(_TRIPS, _TRIPS_GREEN)
+
+    periods = {
+        f"{name}_periods": by_period(single[name], for_green(single[name]))
+        for name in ("dash_top10_zones", "dash_run_summary", "dash_daily_series")
+    }
+    return (llm.oracle_sql() if llm else {}) | periods | {
+        "profile_pass": everything,
+        "profile_pass_one_scan": everything,
+        "batch_reports": reports,
+        "run_periods_twice": payment_periods,
+        "dash_quality": single["kpi_quality"],
+        "document_hours": single["kpi_by_hour"],
+        "document_zones": single["kpi_top_zones"],
+        "document_metadata": (
+            "SELECT 'NYC TLC Yellow Taxi - January 2024' AS dataset, 'events' AS source_url, "
+            "false AS sample_enabled, CAST(NULL AS DOUBLE) AS sample_fraction, "
+            "'json' AS storage_format, 'streamlit' AS intended_consumer"
+        ),
+        "clean_clashing_names": single["clean_trips"],
+        "quality_clashing_names": _TRIPS + _CLASHING_COUNTS
+        + "SELECT 'data_source_used' AS metric, CAST(NULL AS DOUBLE) AS value UNION ALL "
+        + f"SELECT metric, value FROM ({_QUALITY_NUMBERS})",
+        "exact_kpi_summary": _ODD + _ODD_SUMMARY,
+        "exact_kpi_by_hour": _ODD + _ODD_BY_HOUR,
+        **single,
         "numeric_profile_lineitem": _numeric("lineitem", _LINEITEM_NUMBERS),
         "duplicate_summary_lineitem": _duplicates("lineitem"),
         "clean_trips_green": clean_green,

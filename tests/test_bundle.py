@@ -110,3 +110,14 @@ def test_empty_input_gives_a_whole_document(spark, tmp_path):
     assert document["kpi_resumen"][0]["total_trips"] == 0
     assert document["kpi_por_dia"] == []
     assert len(document["kpi_calidad"]) == 7
+
+
+def test_a_broken_document_raises(spark, run, tmp_path):
+    bundle.write_bundle(run.bundle, str(tmp_path / "doc"))
+    (part,) = (tmp_path / "doc").glob("*.json")
+    text = part.read_text()
+    for name, broken in (("cut", text[: len(text) // 2]), ("typed", text.replace('"trips":', '"trips":[1],"x":', 1))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.json").write_text(broken)
+        with pytest.raises(Exception, match="(?i)malformed|parse"):
+            bundle.read_bundle(spark, str(tmp_path / name)).collect()

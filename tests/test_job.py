@@ -7,6 +7,7 @@ from tripkpi import fixtures, session
 from tripkpi.fixtures import GREEN, YELLOW
 from tripkpi.operators import quality
 from tripkpi.plans import bundle, job
+from tripkpi.spec import TripSpec as session_spec
 
 
 @pytest.fixture(scope="module")
@@ -104,16 +105,43 @@ def test_a_third_of_all_rows_may_be_one_row_and_one_zone(spark):
     assert (got["original_rows"], got["clean_rows"], got["duplicate_rows"]) == (1200, 801, 399)
 
 
-def test_only_utc_will_do(spark, root):
+def test_time_zone_has_no_part_in_results(spark, root, batch):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        with pytest.raises(ValueError, match="UTC"):
-            job.run_kpis(spark, YELLOW, [YELLOW.source_uri(root)], f"{root}/x.json")
+        run = job.run_kpis(spark, YELLOW, [YELLOW.source_uri(root)], f"{root}/x.json")
+        for name, table in batch.sections.items():
+            assert rows(run.sections[name]) == rows(table), name
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def test_bernoulli_sample_is_the_same_in_all_passes(spark, root):
+    sources = [YELLOW.source_uri(root)]
+    run = job.run_kpis(spark, YELLOW, sources, f"{root}/b.json", 0.5, sample="bernoulli", seed=7)
+    got = facts(run)
+    assert 400 < got["original_rows"] < 620
+    assert got["original_rows"] - got["removed_rows"] == got["clean_rows"]
+    with pytest.raises(ValueError, match="sample"):
+        job.run_kpis(spark, YELLOW, sources, f"{root}/b.json", 0.5, sample="other")
+
+
+def test_periods_of_other_runs_stay_and_a_missing_one_is_named(spark, root):
+    report = f"{root}/twice"
+    job.run_periods(spark, [YELLOW], root, report)
+    job.run_periods(spark, [GREEN], root, report)
+    assert bundle.read_bundle(spark, report).count() == 2
+    absent = session_spec("yellow", 2024, 7)
+    with pytest.raises(FileNotFoundError, match="2024-07"):
+        job.run_periods(spark, [YELLOW, absent], root, report)
+
+
+def test_a_document_has_one_time(spark, root):
+    run = job.kpis_of(spark.read.parquet(YELLOW.source_uri(root)), YELLOW, "x")
+    times = {run.bundle.select("metadata.generated_at_utc").first()[0] for _ in range(2)}
+    assert len(times) == 1
+
+
 def _session(master, named):
     conf = SimpleNamespace(get=lambda key, default=None: named)
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
@@ -128,22 +156,13 @@ def test_scratch_folder():
         session.shared_folder(_session("yarn", None))
 
 
-def test_only_small_tables_are_gathered(spark, monkeypatch):
-    table = spark.range(0, 100, 1, 4)
-    assert session.settle_small(table).rdd.getNumPartitions() == 1
-    monkeypatch.setattr(session, "SMALL_ROWS", 10)
-    wide = session.settle_small(table)
-    assert wide.rdd.getNumPartitions() == 4
-    assert wide.count() == 100
-
-
-def test_shuffle_width_follows_the_input(spark, root, monkeypatch):
-    table = spark.read.parquet(YELLOW.source_uri(root))
+def test_shuffle_width_follows_the_input_of_each_run(spark, root):
+    uris = [YELLOW.source_uri(root)]
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    with session.shuffle_width_for(table) as width:
-        assert width == int(before)
-    monkeypatch.setattr(session, "SCAN_BYTES_PER_SHUFFLE_TASK", 1000)
-    with session.shuffle_width_for(table) as width:
-        assert width > int(before)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == str(width)
+    narrow = session.run_session(spark, uris)
+    wide = session.run_session(spark, uris, bytes_per_task=1000)
+    assert narrow.conf.get("spark.sql.shuffle.partitions") == before
+    assert int(wide.conf.get("spark.sql.shuffle.partitions")) > int(before)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    zone = "spark.sql.session.timeZone"
+    assert wide.conf.get(zone) == spark.conf.get(zone)

@@ -29,11 +29,14 @@ def _sorted_rows(rows):
     return sorted(map(tuple, rows), key=lambda row: [(v is not None, str(v)) for v in row])
 
 
+NAMES = sorted(query.__name__ for query in entry_points._QUERIES)
+
+
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(NAMES) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, scale, name):
     directory, connection = scale
     got = entry_points.queries()[name](spark, directory)

@@ -10,7 +10,9 @@ import __spark_entry__ as entry_points
 from tripkpi import fixtures
 from tripkpi.fixtures import YELLOW
 from tripkpi.operators import kpis, profile, quality
-from tripkpi.sources import read_trips
+from tripkpi.plans import job
+from tripkpi.sources import read_trips, row_sample
+from tripkpi.spec import TripSpec
 
 
 def plan(df):
@@ -78,15 +80,37 @@ def test_rollup_takes_one_scan(stored):
 
 
 def test_profile_reads_each_column_once(stored):
-    text = plan(profile.profile_pass(stored[0]))
-    read = [f for s in re.findall(r"ReadSchema: struct<(.*)>", text) for f in s.split(",") if f]
-    assert len(read) == len(set(read)) == len(stored[0].columns)
+    for rules in ({}, quality.rules(YELLOW)):
+        text = plan(profile.profile_pass(stored[0], rules))
+        read = [f for s in re.findall(r"ReadSchema: struct<(.*)>", text) for f in s.split(",") if f]
+        assert len(read) == len(set(read)) == len(stored[0].columns)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+def test_sampled_profile_scans_once(stored):
+    sampled = row_sample(stored[0], 0.1)
+    text = plan(profile.profile_pass(sampled, quality.rules(YELLOW), one_scan=True))
+    assert len(re.findall(r"Scan parquet\s+\(\d+\)", text)) == 1
+
+
+def _periods_plan(spark, months):
+    sources = {TripSpec("yellow", 2024, m): "uri" for m in range(1, months + 1)}
+    spec = next(iter(sources))
+    table = fixtures.trips(spark, "/root/testdata/sf0.001").selectExpr(
+        "'yellow' AS color", "2024 AS year", f"trip_id % {months} + 1 AS month", "*"
+    )
+    own = quality.in_own_period(spec)
+    parts = kpis.trip_parts(quality.clean(table, spec, own), job.PERIOD)
+    rejects = quality.distinct_rejects(table, spec, own).groupBy(*job.PERIOD).count()
+    return plan(kpis.rollup(parts, job.PERIOD)) + plan(rejects)
+
+
+def test_shuffles_do_not_grow_with_the_number_of_periods(spark):
+    one, many = _periods_plan(spark, 2), _periods_plan(spark, 12)
+    assert one.count("Exchange") == many.count("Exchange")
+
+
+@pytest.mark.parametrize("name", sorted(query.__name__ for query in entry_points._QUERIES))
 def test_no_cross_joins_and_no_python_workers(spark, name):
-    if name.startswith(("run_", "bundle_", "clean_roundtrip")):
-        pytest.skip("runs jobs of its own; its parts are checked above")
     text = plan(entry_points.queries()[name](spark, "/root/testdata/sf0.001"))
     for unwanted in ("Cartesian", "NestedLoop", "Python", "Pandas", "Broadcast"):
         assert unwanted not in text

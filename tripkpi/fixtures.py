@@ -8,6 +8,7 @@ amounts, impossible passenger counts. Which rows get which dirt follows from the
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripkpi.spec import TripSpec
 
@@ -52,5 +53,17 @@ def trips_from_events(events: DataFrame, spec: TripSpec = YELLOW) -> DataFrame:
     )
 
 
+def odd_amounts(trips: DataFrame) -> DataFrame:
+    """The trips with values that sums are hard for: distances of six decimals, tips of either sign
+    in thousandths (many halves of a cent), totals up to 1e12."""
+    return trips.withColumns({
+        "trip_distance": F.expr("(trip_id * 7919 % 90000000 + 1) / 1000000D"),
+        "tip_amount": F.expr("(trip_id * 31 % 4001 - 2000) / 1000D"),
+        "total_amount": F.expr(
+            "CAST(trip_id * 99999989 % 1000000000000 AS DOUBLE) + trip_id % 200 * 5 / 1000D"
+        ),
+    })
+
+
 def trips(spark: SparkSession, sf_dir: str, spec: TripSpec = YELLOW) -> DataFrame:
     return trips_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), spec)

@@ -11,19 +11,27 @@ from tripkpi.functions.text import literal
 from tripkpi.spec import OTHER_PAYMENT, TripSpec
 
 
+def _seconds(ts: str) -> str:
+    """Whole seconds since 1970 on the wall clock."""
+    day = f"CAST(unix_date(CAST({ts} AS DATE)) AS BIGINT)"
+    return f"(86400L * {day} + 3600 * hour({ts}) + 60 * minute({ts}) + second({ts}))"
+
+
 def trip_columns(spec: TripSpec) -> dict[str, str]:
     """The derived columns, each written over raw columns only.
 
     Filters and rules use these expressions in place of the derived columns, so that cleaning can
-    run before anything is added to the rows. Duration is the difference of whole seconds.
+    run before anything is added to the rows. Times are wall-clock times without a zone, so neither
+    the session's time zone nor a change of clocks has a part in hours and durations. Duration is the
+    difference of whole seconds.
     """
-    pickup = f"CAST({spec.pickup_column} AS TIMESTAMP)"
-    dropoff = f"CAST({spec.dropoff_column} AS TIMESTAMP)"
+    pickup = f"CAST({spec.pickup_column} AS TIMESTAMP_NTZ)"
+    dropoff = f"CAST({spec.dropoff_column} AS TIMESTAMP_NTZ)"
     return {
         "pickup_ts": pickup,
         "dropoff_ts": dropoff,
-        "duration_min": f"(CAST({dropoff} AS BIGINT) - CAST({pickup} AS BIGINT)) / 60",
-        "pickup_date": f"to_date({pickup})",
+        "duration_min": f"({_seconds(dropoff)} - {_seconds(pickup)}) / 60",
+        "pickup_date": f"CAST({pickup} AS DATE)",
         "pickup_hour": f"hour({pickup})",
     }
 

@@ -19,7 +19,7 @@ from tripkpi.functions.exact import Measure, percent_of
 
 TOTAL = Measure("total", "total_amount")
 DISTANCE = Measure("distance", "trip_distance")
-MINUTES = Measure("minutes", "duration_min", per_one=60)
+MINUTES = Measure("minutes", "duration_min", per_one=60, whole=True)
 TIP = Measure("tip", "tip_amount")
 FARE = Measure("fare", "fare_amount")
 PASSENGERS = Measure("passengers", "passenger_count")
@@ -34,6 +34,7 @@ IS_PLACE = "is_place_sum"
 # Fixed value: length of the pick-up zone ranking.
 TOP_ZONES = 20
 
+# Fixed values from here on: the column names of the tables.
 _TRIPS = f"{TRIPS} AS trips"
 _REVENUE = (f"{TOTAL.total()} AS revenue", f"{TOTAL.mean()} AS avg_ticket")
 _LENGTH = (f"{DISTANCE.mean()} AS avg_trip_distance", f"{MINUTES.mean()} AS avg_duration_min")
@@ -137,8 +138,9 @@ def kpi_top_zones(trips: DataFrame, n: int = TOP_ZONES, by: Sequence[str] = ())
     return ranked.drop("__rank").orderBy(*by, F.desc("trips"), "PULocationID")
 
 
-def trips_by_hour(trips: DataFrame) -> DataFrame:
+def trips_by_hour(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The exploratory hourly table: trips and three means."""
-    hours = _summed(trips, ("pickup_hour",), (), (TOTAL, DISTANCE, MINUTES))
+    hours = _summed(trips, ("pickup_hour",), by, (TOTAL, DISTANCE, MINUTES))
     ticket = f"{TOTAL.mean()} AS avg_total_amount"
-    return hours.selectExpr("pickup_hour", _TRIPS, *_LENGTH, ticket).orderBy("pickup_hour")
+    shown = hours.selectExpr(*by, "pickup_hour", _TRIPS, *_LENGTH, ticket)
+    return shown.orderBy(*by, "pickup_hour")

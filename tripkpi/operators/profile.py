@@ -6,13 +6,15 @@ build just their own part of the row.
 
 A wide table takes a few aggregates side by side in one job, each over some of the columns: the code
 that Spark generates for dozens of statistics at once is several times slower than the same work in
-portions. Parquet is columnar, so no column is read more than once for it.
+portions. Parquet is columnar, and columns that a rule needs together are in one portion, so no column
+is read more than once for it.
 
 Rules are SQL conditions by name, as ``quality.rules`` gives them.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 from itertools import batched
@@ -32,6 +34,7 @@ NUMERIC_SCHEMA = "column string, count bigint, mean double, stddev double, min d
 STATISTICS_AT_ONCE = 6
 COUNTS_AT_ONCE = 32
 
+# The columns of the preview.
 PREVIEW_COLUMNS = (
     "pickup_ts",
     "dropoff_ts",
@@ -110,13 +113,111 @@ def _numeric_portions(df: DataFrame) -> list[list[str]]:
     ]
 
 
-def profile_pass(df: DataFrame, rules: Mapping[str, str] | None = None) -> DataFrame:
-    """Row count, nulls, numeric statistics and rule violations: one wide row."""
+def _rule_groups(df: DataFrame, rules: Mapping[str, str]) -> list[tuple[set[int], list[str]]]:
+    """Rules with the columns that they name, joined where they share any."""
+    groups: list[tuple[set[int], list[str]]] = []
+    for rule, bad in rules.items():
+        words = {w.lower() for w in re.findall(r"\w+", bad)}
+        used = {i for i, c in enumerate(df.columns) if c.lower() in words}
+        shared = [g for g in groups if g[0] & used]
+        groups = [g for g in groups if not g[0] & used]
+        columns = used.union(*(g[0] for g in shared))
+        groups.append((columns, [r for g in shared for r in g[1]] + [rule]))
+    return groups
+
+
+def profile_pass(
+    df: DataFrame, rules: Mapping[str, str] | None = None, one_scan: bool = False
+) -> DataFrame:
+    """Row count, nulls, numeric statistics and rule violations: one wide row.
+
+    Columns are dealt out to portions, those that a rule names together to the same one, so each
+    column is read once. If finding a row takes all columns anyway, as in a sample by row content,
+    ``one_scan`` makes a row of each value instead and groups them by column.
+    """
+    rules = rules or {}
+    if one_scan:
+        return _long_pass(df, rules)
     wanted = set(numeric_columns(df))
-    others = [i for i, c in enumerate(df.columns) if c not in wanted]
-    first = [_COUNT, *_violations(rules or {})]
-    counts = [_filled(df.columns, p) for p in _portions(others, COUNTS_AT_ONCE)]
-    return _wide(df, [first, *counts, *_numeric_portions(df)])
+    numeric = {i for i, c in enumerate(df.columns) if c in wanted}
+    grouped = _rule_groups(df, rules)
+    free = [i for i in range(len(df.columns)) if not any(i in g[0] for g in grouped)]
+    portions = [(set(p), []) for p in _portions([i for i in free if i in numeric], STATISTICS_AT_ONCE)]
+    portions += [(set(p), []) for p in _portions([i for i in free if i not in numeric], COUNTS_AT_ONCE)]
+    # Small groups of rules share a portion with others as long as statistics stay few.
+    for columns, names in sorted(grouped, key=lambda g: -len(g[0])):
+        for held, rest in portions:
+            if rest and len((held | columns) & numeric) <= STATISTICS_AT_ONCE:
+                held |= columns
+                rest += names
+                break
+        else:
+            portions.append((set(columns), list(names)))
+    expressions = [
+        _filled(df.columns, sorted(held))
+        + [s for i in sorted(held & numeric) for s in _statistics(df.columns, i)]
+        + _violations({r: rules[r] for r in rules if r in names})
+        for held, names in portions
+    ]
+    if not expressions:
+        expressions = [[]]
+    expressions[0] = [_COUNT, *expressions[0]]
+    return _wide(df, expressions)
+
+
+def _long_pass(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """The wide row from one scan: (key, value, counts) rows, grouped by key."""
+    wanted = set(numeric_columns(df))
+    records = [record(key="-1", value="CAST(NULL AS DOUBLE)", counts="true")]
+    for i, c in enumerate(df.columns):
+        value = f"CAST({name(c)} AS DOUBLE)" if c in wanted else "CAST(NULL AS DOUBLE)"
+        records.append(record(key=str(i), value=value, counts=f"{name(c)} IS NOT NULL"))
+    for j, bad in enumerate(rules.values()):
+        key = str(len(df.columns) + j)
+        records.append(
+            record(key=key, value="CAST(NULL AS DOUBLE)", counts=f"coalesce({bad}, false)")
+        )
+    values = df.selectExpr(rows(records))
+    stats = values.groupBy("key").agg(
+        F.count_if("counts").alias("n"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("stddev"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+
+    def pick(key: int, what: str) -> str:
+        return f"max(CASE WHEN key = {key} THEN {what} END)"
+
+    columns = [f"coalesce({pick(-1, 'n')}, 0L) AS {TOTAL}"]
+    for i, c in enumerate(df.columns):
+        columns.append(f"coalesce({pick(i, 'n')}, 0L) AS filled_{i}")
+        if c in wanted:
+            columns += [f"{pick(i, s)} AS {s}_{i}" for s in ("mean", "stddev", "min", "max")]
+    for j, rule in enumerate(rules):
+        columns.append(f"coalesce({pick(len(df.columns) + j, 'n')}, 0L) AS {name(rule)}")
+    return stats.selectExpr(*columns)
+
+
+def profile_rows(df: DataFrame, rules: Mapping[str, str], one_scan: bool = False) -> DataFrame:
+    """part, item, value: all that ``profile_pass`` finds, in long form; means to four places."""
+    wide = profile_pass(df, rules, one_scan)
+    wanted = set(numeric_columns(df))
+    found = [("rows", "all", TOTAL)]
+    for i, c in enumerate(df.columns):
+        found.append(("nulls", c, f"{TOTAL} - filled_{i}"))
+        if c in wanted:
+            found += [(s, c, f"round({s}_{i}, 4)") for s in ("mean", "stddev")]
+            found += [(s, c, f"{s}_{i}") for s in ("min", "max")]
+    found += [("rule", r, name(r)) for r in rules]
+    return wide.selectExpr(
+        rows(
+            [
+                record(part=literal(p), item=literal(c), value=f"CAST({v} AS DOUBLE)")
+                for p, c, v in found
+            ]
+        )
+    )
 
 
 def _share(part: str) -> str:

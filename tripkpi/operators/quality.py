@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tripkpi.functions.derive import derive, trip_columns
-from tripkpi.functions.text import literal, record, rows
+from tripkpi.functions.text import literal, name, record, rows
 from tripkpi.operators.profile import row_kinds
 from tripkpi.spec import (
     MAX_DISTANCE,
@@ -19,9 +20,18 @@ from tripkpi.spec import (
 def in_period(spec: TripSpec) -> str:
     """Pick-up in the spec's month. Typed bounds let the comparison reach the Parquet scan."""
     pickup = trip_columns(spec)["pickup_ts"]
-    return f"({pickup} >= TIMESTAMP '{spec.start}' AND {pickup} < TIMESTAMP '{spec.end}')"
+    start, end = f"TIMESTAMP_NTZ '{spec.start}'", f"TIMESTAMP_NTZ '{spec.end}'"
+    return f"({pickup} >= {start} AND {pickup} < {end})"
 
 
+def in_own_period(spec: TripSpec, year: str = "year", month: str = "month") -> str:
+    """Pick-up in the month that two columns of the row name; of ``spec`` only the colour counts."""
+    pickup = trip_columns(spec)["pickup_ts"]
+    start = f"make_timestamp_ntz({year}, {month}, 1, 0, 0, 0)"
+    return f"({pickup} >= {start} AND {pickup} < {start} + INTERVAL '1' MONTH)"
+
+
+# The names of the rules.
 def rules(spec: TripSpec) -> dict[str, str]:
     """Name -> condition for a bad row; a null condition does not count as bad."""
     trip = trip_columns(spec)
@@ -43,16 +53,18 @@ def rules(spec: TripSpec) -> dict[str, str]:
     }
 
 
-def validity(spec: TripSpec) -> str:
+def validity(spec: TripSpec, period: str | None = None) -> str:
     """The condition a trip must meet to be kept. Null counts as not met, as in any filter.
 
+    ``period`` stands in for the condition that the pick-up is in the spec's month.
+
     A drop-off after the pick-up is implied: whole seconds that differ by at least one, which is
     what a positive duration means, cannot come in any other order. So are times that are there.
     Plain comparisons come first, as they spare most bad rows the casts of the others.
     """
     minutes = trip_columns(spec)["duration_min"]
     conditions = (
-        in_period(spec),
+        period or in_period(spec),
         f"passenger_count BETWEEN {MIN_PASSENGERS} AND {MAX_PASSENGERS}",
         f"trip_distance > 0 AND trip_distance <= {MAX_DISTANCE}",
         "fare_amount >= 0",
@@ -66,24 +78,52 @@ def period_filter(df: DataFrame, spec: TripSpec) -> DataFrame:
     return df.filter(in_period(spec))
 
 
-def clean(df: DataFrame, spec: TripSpec) -> DataFrame:
+def replaced_columns(df: DataFrame, spec: TripSpec) -> list[str]:
+    """Raw columns that have the name of a derived one, which takes their place."""
+    derived = {c.lower() for c in trip_columns(spec)}
+    return [c for c in df.columns if c.lower() in derived]
+
+
+def clean(df: DataFrame, spec: TripSpec, period: str | None = None) -> DataFrame:
     """Valid, distinct trips with the derived columns.
 
     The derived columns are functions of the raw ones, so taking distinct rows first gives the same
-    set while five columns less are hashed and shuffled.
+    set while five columns less are hashed and shuffled. Raw columns that they replace go before, as
+    rows that differ in nothing else are the same trip.
     """
-    return derive(df.filter(validity(spec)).dropDuplicates(), spec)
+    valid = df.filter(validity(spec, period)).drop(*replaced_columns(df, spec))
+    return derive(valid.dropDuplicates(), spec)
 
 
-def distinct_rejects(df: DataFrame, spec: TripSpec) -> DataFrame:
+def distinct_rejects(df: DataFrame, spec: TripSpec, period: str | None = None) -> DataFrame:
     """Distinct rows that cleaning does not keep. Copies of a row are all kept or all rejected, so
-    these and the clean rows together are the distinct rows of the input."""
-    return df.filter(f"NOT coalesce({validity(spec)}, false)").dropDuplicates()
+    these and the distinct valid rows together are the distinct rows of the input."""
+    return df.filter(f"NOT coalesce({validity(spec, period)}, false)").dropDuplicates()
+
+
+def merged_by_cleaning(df: DataFrame, spec: TripSpec) -> DataFrame:
+    """merged_rows: distinct valid rows less clean rows, as one row.
+
+    Above 0 only if a raw column has a derived column's name; without one nothing is read.
+    """
+    replaced = replaced_columns(df, spec)
+    if not replaced:
+        return df.sparkSession.range(0, 1, 1, 1).selectExpr("0L AS merged_rows")
+    valid = df.filter(validity(spec))
+    kept = [name(c) for c in df.columns if c not in replaced]
+    kinds = valid.dropDuplicates().groupBy(*kept).agg(F.expr("count(*) - 1 AS more"))
+    return kinds.selectExpr("coalesce(sum(more), 0L) AS merged_rows")
 
 
 def quality_counts(df: DataFrame, spec: TripSpec) -> DataFrame:
-    """original_rows, distinct_rows and clean_rows as one row, from one scan and one shuffle."""
-    return row_kinds(df, f"count(CASE WHEN {validity(spec)} THEN 1 END) AS clean_rows")
+    """original_rows, distinct_rows and clean_rows as one row, from one scan and one shuffle; from
+    one more if a raw column has a derived column's name."""
+    counts = row_kinds(df, f"count(CASE WHEN {validity(spec)} THEN 1 END) AS clean_rows")
+    if not replaced_columns(df, spec):
+        return counts
+    names = ("original_rows", "distinct_rows", "clean_rows")
+    less = merged_by_cleaning(df, spec).selectExpr("0L", "0L", "-merged_rows")
+    return counts.union(less).selectExpr(*[f"sum({n}) AS {n}" for n in names])
 
 
 _GONE = "original_rows - clean_rows"
@@ -114,6 +154,7 @@ def quality_facts(source: str) -> str:
     Numbers are in ``value``; the one text, the source that was used, is in ``value_text``.
     ``source`` is an expression too.
     """
+    # Metric names and their order.
     numbers = {
         "original_rows": "original_rows",
         "clean_rows": "clean_rows",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +73,11 @@ def _type(ddl: str) -> str:
 
 
 def _records(table: DataFrame, section_name: str, by: Sequence[str]) -> DataFrame:
-    """A section's rows as one array. Sections are short: days, hours, codes, twenty zones."""
+    """A section's rows as one array.
+
+    Sections are short: days, hours, twenty zones, and payment codes, of which dirty data may have
+    as many as it has distinct values. Rows are put in order here, so tables need not be sorted.
+    """
     fields = _fields(SECTIONS[section_name])
     shown = record(**{f.name: f"CAST({f.name} AS {f.dataType.simpleString()})" for f in fields})
     keys = {f"key_{i}": key for i, key in enumerate(_ORDER[section_name])}
@@ -82,11 +87,32 @@ def _records(table: DataFrame, section_name: str, by: Sequence[str]) -> DataFram
 
 
 def run_metadata(
-    spark: SparkSession, spec: TripSpec, source: str, sample_fraction: float | None
+    spark: SparkSession,
+    runs: Sequence[tuple[TripSpec, str]],
+    sample_fraction: float | None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
+    """One row of metadata for each spec and source, with the spec's period columns on request.
+
+    All have the same time, that of this call: a document reads the same whenever it is computed.
+    """
+    stamp = datetime.now(UTC).isoformat(timespec="microseconds")
+    tables = [
+        f"SELECT {', '.join([*_period_values(spec, by), _metadata(spec, source, sample_fraction, stamp)])}"
+        for spec, source in runs
+    ]
+    return spark.sql(" UNION ALL ".join(tables))
+
+
+def _period_values(spec: TripSpec, by: Sequence[str]) -> list[str]:
+    values = {"color": literal(spec.color), "year": str(spec.year), "month": str(spec.month)}
+    return [f"{values[key]} AS {key}" for key in by]
+
+
+def _metadata(spec: TripSpec, source: str, sample_fraction: float | None, stamp: str) -> str:
     fraction = "NULL" if sample_fraction is None else f"{sample_fraction!r}D"
     fields = record(
-        generated_at_utc="date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx\")",
+        generated_at_utc=literal(stamp),
         dataset=literal(spec.dataset),
         source_url=literal(source),
         sample_enabled=str(sample_fraction is not None).lower(),
@@ -94,7 +120,7 @@ def run_metadata(
         storage_format=literal(STORAGE_FORMAT),
         intended_consumer=literal(INTENDED_CONSUMER),
     )
-    return spark.range(0, 1, 1, 1).selectExpr(f"{fields} AS metadata")
+    return f"{fields} AS metadata"
 
 
 def kpi_bundle(
@@ -112,16 +138,24 @@ def kpi_bundle(
 
 
 def write_bundle(bundle: DataFrame, uri: str, by: Sequence[str] = ()) -> None:
-    """Write the document as JSON to any Hadoop-compatible store, keeping null fields."""
-    writer = bundle.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false")
-    (writer.partitionBy(*by) if by else writer).json(uri)
+    """Write the document as JSON to any Hadoop-compatible store, keeping null fields.
+
+    With ``by`` each period has a folder, and only the folders of periods that are written are
+    replaced; each document is then written by one of several tasks.
+    """
+    placed = bundle.repartition(*by) if by else bundle.coalesce(1)
+    writer = placed.write.mode("overwrite").option("ignoreNullFields", "false")
+    if by:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+    writer.json(uri)
 
 
 def read_bundle(spark: SparkSession, uri: str) -> DataFrame:
     """Read a document back, also one written through pandas.
 
     There a payment type may be a float or NaN, and quality values are numbers and texts mixed;
-    both are brought into the form ``kpi_bundle`` has.
+    both are brought into the form ``kpi_bundle`` has. A document that is cut off, is no JSON or has
+    values of other types raises an error when it is read.
     """
     loose = dict(SECTIONS)
     for name, strict, wide in (
@@ -131,7 +165,8 @@ def read_bundle(spark: SparkSession, uri: str) -> DataFrame:
         loose[name] = loose[name].replace(strict, wide)
     columns = [f"metadata {_type(METADATA)}"]
     columns += [f"{name} ARRAY<{_type(ddl)}>" for name, ddl in loose.items()]
-    stored = spark.read.schema(", ".join(columns)).json(uri, multiLine=True)
+    reader = spark.read.schema(", ".join(columns))
+    stored = reader.json(uri, multiLine=True, mode="FAILFAST")
     code = "CASE WHEN NOT isnan(row.payment_type) THEN CAST(row.payment_type AS BIGINT) END"
     payments = _rebuilt("kpi_tipo_pago", payment_type=code)
     number = "try_cast(row.value AS DOUBLE)"
@@ -159,3 +194,25 @@ def section_sizes(bundle: DataFrame) -> DataFrame:
     by = [c for c in bundle.columns if c not in SECTIONS and c != "metadata"]
     sizes = [record(section=literal(name), records=f"size({name})") for name in SECTIONS]
     return bundle.selectExpr(*by, rows(sizes))
+
+
+def document_rows(bundle: DataFrame) -> DataFrame:
+    """section, position, record (as JSON): all of a document in long form, metadata first.
+
+    The time of the run is left out, so documents of equal runs have equal rows.
+    """
+    by = [c for c in bundle.columns if c not in SECTIONS and c != "metadata"]
+    kept = ", ".join(
+        f"'{f.name}', metadata.{f.name}" for f in _fields(METADATA) if f.name != "generated_at_utc"
+    )
+    options = "map('ignoreNullFields', 'false')"
+    parts = [bundle.selectExpr(
+        *by, "'metadata' AS section", "0 AS position",
+        f"to_json(named_struct({kept}), {options}) AS record",
+    )]
+    for part in SECTIONS:
+        exploded = bundle.selectExpr(*by, f"'{part}' AS section", f"posexplode({part}) AS (position, item)")
+        parts.append(exploded.selectExpr(
+            *by, "section", "position", f"to_json(item, {options}) AS record"
+        ))
+    return reduce(DataFrame.union, parts)

@@ -2,7 +2,8 @@
 
 What a run reads and moves, with N bytes of trips:
 
-* one scan for the profile: counts, nulls, statistics and rules in a single aggregate, no shuffle;
+* one pass for the profile: counts, nulls, statistics and rules; each column is read once, and a
+  sampled run, whose sample goes by all columns, scans once;
 * one scan and a shuffle of the valid rows for the clean set, which is written;
 * one scan and a shuffle of the rejected rows to count the distinct ones. Copies of a row are either
   all valid or all rejected, so with the clean set this gives the duplicates of the whole input, and
@@ -10,8 +11,12 @@ What a run reads and moves, with N bytes of trips:
 * one scan of the needed columns of the written clean set for a rollup, from which all KPI tables
   are taken.
 
+A run over many periods does the same once per colour, with the period among the keys: the number of
+scans and shuffles does not depend on the number of periods.
+
 Nothing of the size of the input is cached. Profile row, counts and rollup are checkpointed, so
-losing an executor afterwards costs nothing.
+losing an executor afterwards costs nothing. Runs that read by location have a session of their own,
+with a shuffle width that goes by the size of their input.
 """
 
 from __future__ import annotations
@@ -24,15 +29,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripkpi.functions.derive import payment_label
-from tripkpi.functions.text import literal
+from tripkpi.functions.text import literal, name, record, rows
 from tripkpi.operators import kpis, profile, quality
 from tripkpi.plans.bundle import kpi_bundle, run_metadata, write_bundle
-from tripkpi.session import require_utc, settle, settle_small, shuffle_width_for
-from tripkpi.sources import read_first_available, reload_clean, row_sample, write_clean
+from tripkpi.session import run_session, settle
+from tripkpi.sources import (
+    SAMPLE_SEED,
+    read_first_available,
+    read_trips,
+    reload_clean,
+    row_sample,
+    sample_trips,
+    write_clean,
+)
 from tripkpi.spec import PAYMENT_LABELS, TripSpec
 
 PERIOD = ("color", "year", "month")
 
+# How a run's sample is drawn: by row content, the same in every pass, or row by row (Bernoulli).
+SAMPLES = {"content": row_sample, "bernoulli": sample_trips}
+
 
 @dataclass(frozen=True)
 class Run:
@@ -49,14 +65,19 @@ def _stack(tables: Sequence[DataFrame]) -> DataFrame:
 
 
 def _counts(
-    originals: DataFrame, rejects: DataFrame, rolled: DataFrame, by: Sequence[str] = ()
+    originals: DataFrame,
+    rejects: DataFrame,
+    rolled: DataFrame,
+    by: Sequence[str] = (),
+    merged: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """original_rows, distinct_rows, clean_rows from what the passes counted."""
     kept = kpis.trip_count(rolled, by)
-    names = ("original_rows", "reject_rows", "clean_rows")
+    none = kept.limit(0).selectExpr(*by, "0L AS merged_rows")
+    names = ("original_rows", "reject_rows", "clean_rows", "merged_rows")
     sums = [F.expr(f"coalesce(sum({n}), 0L) AS {n}") for n in names]
-    summed = _stack([originals, rejects, kept]).groupBy(*by).agg(*sums)
-    distinct = "clean_rows + reject_rows AS distinct_rows"
+    summed = _stack([originals, rejects, kept, *(merged or [none])]).groupBy(*by).agg(*sums)
+    distinct = "clean_rows + merged_rows + reject_rows AS distinct_rows"
     return summed.selectExpr(*by, "original_rows", distinct, "clean_rows")
 
 
@@ -78,36 +99,53 @@ def _sections(
 
 
 def _input(
-    spark: SparkSession, sources: Sequence[str], sample_fraction: float | None
+    spark: SparkSession,
+    sources: Sequence[str],
+    sample_fraction: float | None,
+    sample: str = "content",
+    seed: int = SAMPLE_SEED,
 ) -> tuple[DataFrame, str]:
-    require_utc(spark)
-    raw, source = read_first_available(spark, sources)
-    return (raw if sample_fraction is None else row_sample(raw, sample_fraction)), source
+    _, source = read_first_available(spark, sources)
+    raw = read_trips(run_session(spark, [source]), source)
+    if sample_fraction is None:
+        return raw, source
+    if sample not in SAMPLES:
+        raise ValueError(f"sample must be one of {sorted(SAMPLES)}, got {sample!r}")
+    drawn = SAMPLES[sample](raw, sample_fraction, seed)
+    # Rows drawn one by one can differ between two passes; then the sample is written once.
+    return (settle(drawn) if sample == "bernoulli" else drawn), source
 
 
 def kpis_of(
     trips: DataFrame, spec: TripSpec, source: str, sample_fraction: float | None = None
 ) -> Run:
     """KPIs and document of raw trips, without writing anything but checkpoints."""
-    with shuffle_width_for(trips):
-        rolled = settle_small(kpis.rollup(quality.clean(trips, spec)))
-        originals = trips.selectExpr("count(*) AS original_rows")
-        rejects = quality.distinct_rejects(trips, spec).selectExpr("count(*) AS reject_rows")
-        counts = settle(_counts(originals, rejects, rolled))
+    rolled = settle(kpis.rollup(quality.clean(trips, spec)))
+    originals = trips.selectExpr("count(*) AS original_rows")
+    counts = settle(_all_counts(trips, spec, originals, rolled))
     sections = _sections(rolled, counts, literal(source), spec.payment_labels)
-    metadata = run_metadata(trips.sparkSession, spec, source, sample_fraction)
+    metadata = run_metadata(trips.sparkSession, [(spec, source)], sample_fraction)
     return Run(source, sections, kpi_bundle(sections, metadata))
 
 
+def _all_counts(
+    trips: DataFrame, spec: TripSpec, originals: DataFrame, rolled: DataFrame
+) -> DataFrame:
+    rejects = quality.distinct_rejects(trips, spec).selectExpr("count(*) AS reject_rows")
+    return _counts(originals, rejects, rolled, (), [quality.merged_by_cleaning(trips, spec)])
+
+
 def run_kpis(
     spark: SparkSession,
     spec: TripSpec,
     sources: Sequence[str],
     report_uri: str,
     sample_fraction: float | None = None,
+    sample: str = "content",
+    seed: int = SAMPLE_SEED,
 ) -> Run:
     """The short run: read, sample on request, clean, compute KPIs, publish the document."""
-    trips, source = _input(spark, sources, sample_fraction)
+    trips, source = _input(spark, sources, sample_fraction, sample, seed)
     run = kpis_of(trips, spec, source, sample_fraction)
     write_bundle(run.bundle, report_uri)
     return run
@@ -121,21 +159,22 @@ def run_batch(
     report_uri: str,
     sample_fraction: float | None = None,
     clean_by_date: bool = False,
+    sample: str = "content",
+    seed: int = SAMPLE_SEED,
 ) -> Run:
     """The full run: profile and audit, clean and write, audit again, KPIs, document."""
-    trips, source = _input(spark, sources, sample_fraction)
+    trips, source = _input(spark, sources, sample_fraction, sample, seed)
+    spark = trips.sparkSession
     checks = quality.rules(spec)
-    wide = settle(profile.profile_pass(trips, checks))
-    with shuffle_width_for(trips):
-        write_clean(quality.clean(trips, spec), clean_uri, by_date=clean_by_date)
-        cleaned = reload_clean(spark, clean_uri)
-        after = settle(profile.audit(cleaned, checks, "_after_cleaning"))
-        rolled = settle_small(kpis.rollup(cleaned))
-        originals = wide.selectExpr(f"{profile.TOTAL} AS original_rows")
-        rejects = quality.distinct_rejects(trips, spec).selectExpr("count(*) AS reject_rows")
-        counts = settle(_counts(originals, rejects, rolled))
+    wide = settle(profile.profile_pass(trips, checks, one_scan=sample_fraction is not None))
+    write_clean(quality.clean(trips, spec), clean_uri, by_date=clean_by_date)
+    cleaned = reload_clean(spark, clean_uri)
+    after = settle(profile.audit(cleaned, checks, "_after_cleaning"))
+    rolled = settle(kpis.rollup(cleaned))
+    originals = wide.selectExpr(f"{profile.TOTAL} AS original_rows")
+    counts = settle(_all_counts(trips, spec, originals, rolled))
     sections = _sections(rolled, counts, literal(source), spec.payment_labels)
-    bundle = kpi_bundle(sections, run_metadata(spark, spec, source, sample_fraction))
+    bundle = kpi_bundle(sections, run_metadata(spark, [(spec, source)], sample_fraction))
     write_bundle(bundle, report_uri)
     reports = {
         "nulls": profile.null_table(wide, trips.columns),
@@ -149,6 +188,33 @@ def run_batch(
     return Run(source, sections, bundle, reports)
 
 
+# The column that names the rows of a report.
+_ITEMS = {
+    "nulls": "column",
+    "numeric": "column",
+    "audit": "rule",
+    "audit_after_cleaning": "rule",
+    "duplicates": "metric",
+    "cleaning": None,
+    "trips_by_hour": "pickup_hour",
+}
+
+
+def report_rows(run: Run) -> DataFrame:
+    """report, item, measure, value (to four places): all reports of a full run in long form."""
+    parts = []
+    for report, table in run.reports.items():
+        key = _ITEMS[report]
+        item = f"CAST({name(key)} AS STRING)" if key else "'all'"
+        measures = [
+            record(item=item, measure=literal(c), value=f"round(CAST({name(c)} AS DOUBLE), 4)")
+            for c in table.columns
+            if c != key
+        ]
+        parts.append(table.selectExpr(f"{literal(report)} AS report", rows(measures)))
+    return reduce(DataFrame.union, parts)
+
+
 def run_for(
     spark: SparkSession,
     request: Mapping[str, object],
@@ -161,49 +227,71 @@ def run_for(
     return run_kpis(spark, spec, sources, spec.report_uri(root), sample_fraction)
 
 
-def kpis_of_periods(trips: Mapping[TripSpec, DataFrame], sources: Mapping[TripSpec, str]) -> Run:
-    """KPIs and one document per colour and month, for many of them in one job."""
-    spark = next(iter(trips.values())).sparkSession
+def trips_of_periods(spark: SparkSession, sources: Mapping[TripSpec, str]) -> dict[str, DataFrame]:
+    """Trips by colour, those of all months in one table with the period that they were stored for.
+
+    Months of a colour are read together, so they must have the same columns.
+    """
+    tables = {}
+    for color in dict.fromkeys(spec.color for spec in sources):
+        uris = [uri for spec, uri in sources.items() if spec.color == color]
+        read = read_trips(spark, *uris)
+        stored = r"regexp_extract(_metadata.file_path, '_tripdata_([0-9]{4})-([0-9]{2})', %d)"
+        period = [f"CAST({stored % i} AS INT) AS {c}" for i, c in ((1, "year"), (2, "month"))]
+        tables[color] = read.selectExpr(f"{literal(color)} AS color", *period, "*")
+    return tables
 
-    def tagged(table: DataFrame, spec: TripSpec) -> DataFrame:
-        values = (literal(spec.color), str(spec.year), str(spec.month))
-        return table.selectExpr(*[f"{v} AS {n}" for n, v in zip(PERIOD, values, strict=True)], "*")
 
-    parts, originals, rejects, metadata = [], [], [], []
-    for spec, table in trips.items():
-        parts.append(kpis.trip_parts(tagged(quality.clean(table, spec), spec), PERIOD))
-        originals.append(tagged(table.selectExpr("count(*) AS original_rows"), spec))
-        rejected = quality.distinct_rejects(table, spec).selectExpr("count(*) AS reject_rows")
-        rejects.append(tagged(rejected, spec))
-        metadata.append(tagged(run_metadata(spark, spec, sources[spec], None), spec))
+def kpis_of_periods(trips: Mapping[str, DataFrame], sources: Mapping[TripSpec, str]) -> Run:
+    """KPIs and one document per colour and month, for many of them in one job.
 
-    with shuffle_width_for(_stack(parts)):
-        rolled = settle_small(kpis.rollup(_stack(parts), PERIOD))
-        counts = settle(_counts(_stack(originals), _stack(rejects), rolled, PERIOD))
+    ``trips`` has, by colour, tables with PERIOD columns in front. Periods are keys like others:
+    there are a clean branch and a reject branch per colour, however many months there are.
+    """
+    spark = next(iter(trips.values())).sparkSession
+    parts, originals, rejects = [], [], []
+    for color, table in trips.items():
+        spec = next(s for s in sources if s.color == color)
+        own = quality.in_own_period(spec)
+        parts.append(kpis.trip_parts(quality.clean(table, spec, own), PERIOD))
+        originals.append(table.groupBy(*PERIOD).agg(F.expr("count(*) AS original_rows")))
+        rejected = quality.distinct_rejects(table, spec, own).groupBy(*PERIOD)
+        rejects.append(rejected.agg(F.expr("count(*) AS reject_rows")))
+        if quality.replaced_columns(table, spec):
+            raise ValueError("columns named like derived ones: run such a month by itself")
+
+    rolled = settle(kpis.rollup(_stack(parts), PERIOD))
+    # Periods without a row still have a document.
+    asked = ", ".join(f"({literal(s.color)}, {s.year}, {s.month}, 0L)" for s in sources)
+    asked = spark.sql(f"SELECT * FROM VALUES {asked} AS t(color, year, month, original_rows)")
+    counts = settle(_counts(_stack([asked, *originals]), _stack(rejects), rolled, PERIOD))
 
     by_color = [
         f"WHEN {literal(color)} THEN {payment_label(names)}"
         for color, names in PAYMENT_LABELS.items()
     ]
     by_period = [
-        f"WHEN color = {literal(s.color)} AND year = {s.year} AND month = {s.month} "
-        f"THEN {literal(uri)}"
+        f"WHEN {literal(f'{s.color}-{s.year}-{s.month}')} THEN {literal(uri)}"
         for s, uri in sources.items()
     ]
     labels = f"CASE color {' '.join(by_color)} END"
-    source = f"CASE {' '.join(by_period)} END"
+    source = f"CASE color || '-' || year || '-' || month {' '.join(by_period)} END"
     sections = _sections(rolled, counts, source, labels, PERIOD)
-    return Run("", sections, kpi_bundle(sections, _stack(metadata), PERIOD))
+    metadata = run_metadata(spark, list(sources.items()), None, PERIOD)
+    return Run("", sections, kpi_bundle(sections, metadata, PERIOD))
 
 
 def run_periods(
     spark: SparkSession, specs: Sequence[TripSpec], root: str, report_uri: str
 ) -> Run:
-    """The short run for many colours and months; documents land in color=/year=/month= folders."""
-    require_utc(spark)
-    trips, sources = {}, {}
-    for spec in specs:
-        trips[spec], sources[spec] = read_first_available(spark, [spec.source_uri(root)])
-    run = kpis_of_periods(trips, sources)
+    """The short run for many colours and months; documents land in color=/year=/month= folders.
+
+    Documents of other periods that are there already stay.
+    """
+    sources = {spec: spec.source_uri(root) for spec in specs}
+    for uri in sources.values():
+        read_trips(spark, uri)  # tells which one is missing
+    own = run_session(spark, list(sources.values()))
+    run = kpis_of_periods(trips_of_periods(own, sources), sources)
     write_bundle(run.bundle, report_uri, PERIOD)
     return run

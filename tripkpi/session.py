@@ -1,26 +1,21 @@
-"""Session set-up and the two per-session needs of a run: a scratch folder and shuffle width."""
+"""Session set-up and what a run needs of one: a scratch folder and a shuffle width of its own."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Parquet bytes behind one shuffle task; as shuffled rows they take two to three times the room.
 SCAN_BYTES_PER_SHUFFLE_TASK = 128 * 1024 * 1024
-MAX_SHUFFLE_TASKS = 100_000
-
-# Rows that one task may hold.
-SMALL_ROWS = 200_000
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
 
 
 def get_spark(app: str = "trip-kpis", conf: Mapping[str, str] | None = None) -> SparkSession:
-    """The running session, or a new one in UTC.
+    """The running session, or a new one in UTC (any zone gives the same results).
 
     Master, memory, shuffle width and store credentials are the deployment's business and come
     from spark-submit, the cluster's defaults or ``conf``.
@@ -31,13 +26,6 @@ def get_spark(app: str = "trip-kpis", conf: Mapping[str, str] | None = None) ->
     return builder.getOrCreate()
 
 
-def require_utc(spark: SparkSession) -> None:
-    """Refuse to run where durations, dates and hours would follow a local clock."""
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
-        raise ValueError(f"set spark.sql.session.timeZone to UTC (it is {zone!r})")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir.
 
@@ -71,30 +59,28 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def settle_small(df: DataFrame) -> DataFrame:
-    """``settle`` for a table that should be small, gathered in one partition if it really is.
-
-    Grouping and sorting it then needs no further shuffle. The size is counted, not assumed: a
-    larger table stays distributed.
-    """
-    settled = settle(df)
-    return settled.coalesce(1) if settled.count() <= SMALL_ROWS else settled
+def input_bytes(spark: SparkSession, uris: Sequence[str]) -> int:
+    """Bytes of the Parquet files at the locations; only the listing is read, not the files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listed = files.option("pathGlobFilter", "*.parquet").load(list(uris))
+    return listed.selectExpr("coalesce(sum(length), 0L)").first()[0]
 
 
-@contextmanager
-def shuffle_width_for(df: DataFrame) -> Iterator[int]:
-    """Raise spark.sql.shuffle.partitions while ``df`` runs, going by its estimated input size.
+def run_session(
+    spark: SparkSession, uris: Sequence[str], bytes_per_task: int = SCAN_BYTES_PER_SHUFFLE_TASK
+) -> SparkSession:
+    """A session for one run, with a shuffle width that goes by the run's own input.
 
-    The default of 200 would leave a 100 TB shuffle with half-terabyte tasks. Adaptive execution
-    merges small partitions but starts from this number, so it only ever goes up here.
+    The default of 200 would leave a 100 TB shuffle with half-terabyte tasks. The new session has
+    the settings of ``spark`` otherwise, and shares its executors; ``spark`` itself stays as it is, so
+    runs side by side do not touch each other's width. Adaptive execution merges small partitions but
+    starts from this number, so it only ever goes up here.
     """
-    conf = df.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = min(-(-size // SCAN_BYTES_PER_SHUFFLE_TASK), MAX_SHUFFLE_TASKS)
-    width = max(int(before), wanted)
-    conf.set("spark.sql.shuffle.partitions", str(width))
-    try:
-        yield width
-    finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+    own = spark.newSession()
+    for row in spark.sql("SET").collect():
+        if row.key.startswith("spark.sql.") and own.conf.isModifiable(row.key):
+            own.conf.set(row.key, row.value)
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-input_bytes(spark, uris) // bytes_per_task)
+    own.conf.set("spark.sql.shuffle.partitions", str(max(before, wanted)))
+    return own

@@ -1,4 +1,5 @@
 from tripkpi.sources.readers import (
+    SAMPLE_SEED,
     hash_sample,
     in_hash_sample,
     read_first_available,
@@ -9,6 +10,7 @@ from tripkpi.sources.readers import (
 from tripkpi.sources.sinks import reload_clean, write_clean
 
 __all__ = [
+    "SAMPLE_SEED",
     "hash_sample",
     "in_hash_sample",
     "read_first_available",

@@ -18,13 +18,14 @@ SAMPLE_FRACTION = 0.10
 SAMPLE_SEED = 42
 
 
-def read_trips(spark: SparkSession, uri: str) -> DataFrame:
-    """Trips from a Parquet file or directory."""
+def read_trips(spark: SparkSession, *uris: str) -> DataFrame:
+    """Trips from Parquet files or directories, all of which have to be there."""
     try:
-        return spark.read.parquet(uri)
+        return spark.read.parquet(*uris)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no trips at {uri}") from error
+            missing = error.getMessageParameters().get("path", ", ".join(uris))
+            raise FileNotFoundError(f"no trips at {missing}") from error
         raise
 
 
@@ -80,7 +81,9 @@ def row_sample(
     """Keep a repeatable share of the rows by content, for tables without a key.
 
     Copies of a row are kept or left out together, so duplicate shares stay comparable, and every
-    pass over the input sees the same sample whatever number of executors it has.
+    pass over the input sees the same sample whatever number of executors it has. That has a price:
+    a row that makes up a third of the table is in the sample as a whole or not at all, and the
+    sample's size is off by as much. ``sample_trips`` draws copies one by one.
     """
     columns = ", ".join(name(c) for c in df.columns)
     return df.filter(f"pmod(xxhash64({seed}, {columns}), {2**32}L) < {_bound(fraction)}L")

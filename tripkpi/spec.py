@@ -52,6 +52,7 @@ PAYMENT_LABELS = {
 
 OTHER_PAYMENT = "Other / null"
 
+# The years that a request may name.
 FIRST_YEAR, LAST_YEAR = 2024, 2030
 
 MAX_MINUTES = 24 * 60
@@ -72,8 +73,6 @@ class TripSpec:
     def __post_init__(self) -> None:
         if self.color not in COLUMN_PREFIX:
             raise ValueError(f"color must be one of {sorted(COLUMN_PREFIX)}, got {self.color!r}")
-        if not FIRST_YEAR <= self.year <= LAST_YEAR:
-            raise ValueError(f"year must be in {FIRST_YEAR}..{LAST_YEAR}, got {self.year!r}")
         if not 1 <= self.month <= 12:
             raise ValueError(f"month must be in 1..12, got {self.month!r}")
 
@@ -84,9 +83,12 @@ class TripSpec:
         Month and colour may be the codes or the names a picker shows.
         """
         month, color = str(request["mes"]), str(request["color_taxi"])
+        year = int(str(request["anio"]))
+        if not FIRST_YEAR <= year <= LAST_YEAR:
+            raise ValueError(f"year must be in {FIRST_YEAR}..{LAST_YEAR}, got {year!r}")
         return cls(
             color=COLOR_NAMES.get(color, color),
-            year=int(str(request["anio"])),
+            year=year,
             month=int(MONTH_NAMES.get(month, month)),
         )
 
