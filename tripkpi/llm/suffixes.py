@@ -17,7 +17,7 @@ corpus would mean shuffling many times its size, so suffixes are sampled in a wa
 
 Anchors that are frequent in a sample go another way, so that no task gets all their occurrences: they
 are aggregated by context before they are shuffled, and the strings at their edges are grouped by two
-64-bit hashes. Which anchors go that way has no effect on the result.
+64-bit hashes, some neighbouring ones together first. Which anchors go that way has no effect on the result.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ FREQUENT = 64
 MOST_FREQUENT = 10_000
 # Contexts that are sorted together, at least; a task holds these and one anchor's more.
 SORTED_CONTEXTS = 4_096
+# Strings of frequent anchors that are compared together.
+TOGETHER = 11
 POSITION_BITS = 28
 
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -371,22 +373,69 @@ def edges(contexts: DataFrame) -> DataFrame:
     )
 
 
+def _two_hashes(data: np.ndarray, start: np.ndarray, length) -> tuple[np.ndarray, np.ndarray]:
+    """Independent hashes of strings of ``data``: forwards, and backwards."""
+    back = Prefixes(data[::-1].copy())
+    size = len(data)
+    return (
+        mix(Prefixes(data).hash(start, start + length)),
+        mix(back.hash(size - start - length, size - start)),
+    )
+
+
+def _by_string(rows: DataFrame, keys: list[str], span: str) -> tuple[DataFrame, DataFrame]:
+    """First occurrences of equal ``keys`` with all columns, and the spans of the others."""
+    others = [c for c in rows.columns if c not in keys]
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*others)).alias("first"))
+    named = first.select(*[F.col(k).alias(f"{k}_f") for k in keys], "first.ord", "first.start")
+    named = named.toDF(*[f"{k}_f" for k in keys], "ord_f", "start_f")
+    same = [F.col(k) == F.col(f"{k}_f") for k in keys]
+    later = rows.join(named, same).where("NOT (ord = ord_f AND start = start_f)")
+    return first.select(*keys, "first.*"), later.selectExpr("ord", "start", f"{span} AS stop")
+
+
 def frequent_edges(contexts: DataFrame) -> DataFrame:
-    """The same for frequent anchors, by grouping their strings."""
+    """The same for frequent anchors, by grouping their strings.
 
-    def work(part):
-        ords, places, one, two = [], [], [], []
-        for ord_, start, last, context in zip(
-            part.column("ord").to_pylist(), part.column("start").to_pylist(),
-            part.column("last").to_pylist(), part.column("context").to_pylist(), strict=True,
+    Strings that start at neighbouring places are taken ``TOGETHER`` first, so most are settled by a
+    few rows; those of groups that differ in part are then grouped one by one.
+    """
+
+    def groups(part):
+        ords, places, bytes_, cores, one, two = [], [], [], [], [], []
+        zero = np.zeros(1, np.int64)
+        for ord_, start, last, offset, context in zip(
+            *(part.column(c).to_pylist() for c in ("ord", "start", "last", "offset", "context")),
+            strict=True,
         ):
             data = np.frombuffer(context, np.uint8)
-            at = np.arange(last - start + 1)
-            prefix = Prefixes(data).hash(at, at + LENGTH)
+            # Cut relative to the anchor, so that equal strings are cut alike.
+            low, high = offset - (last - start), offset
+            for g in range(low // TOGETHER, high // TOGETHER + 1):
+                far, near = min(high, g * TOGETHER + TOGETHER - 1), max(low, g * TOGETHER)
+                whole = data[offset - far : offset - near + LENGTH]
+                # What all strings of the group would share, whether they are here or not.
+                core = data[offset - g * TOGETHER :][: LENGTH - TOGETHER + 1]
+                a, b = _two_hashes(whole, zero, len(whole))
+                c = _two_hashes(core, zero, len(core))[0] ^ mix(np.array([g], np.uint64))
+                ords.append(ord_)
+                places.append(start + offset - far)
+                bytes_.append(whole.tobytes())
+                for column, value in ((cores, c), (one, a), (two, b)):
+                    column.append(int(value.view(np.int64)[0]))
+        return ords, places, bytes_, cores, one, two
+
+    def strings(part):
+        ords, places, one, two = [], [], [], []
+        for ord_, start, text in zip(
+            *(part.column(c).to_pylist() for c in ("ord", "start", "text")), strict=True
+        ):
+            at = np.arange(len(text) - LENGTH + 1)
+            a, b = _two_hashes(np.frombuffer(text, np.uint8), at, LENGTH)
             ords.append(np.full(len(at), ord_))
             places.append(start + at)
-            one.append(mix(prefix))
-            two.append(mix(Prefixes(data[::-1].copy()).hash(len(data) - at - LENGTH, len(data) - at)))
+            one.append(a)
+            two.append(b)
         if not ords:
             return [], [], [], []
         return (
@@ -394,14 +443,14 @@ def frequent_edges(contexts: DataFrame) -> DataFrame:
             np.concatenate(one).view(np.int64), np.concatenate(two).view(np.int64),
         )
 
-    strings = map_rows(contexts, "ord long, start int, one long, two long", work)
-    first = strings.groupBy("one", "two").agg(F.min(F.struct("ord", "start")).alias("first"))
-    first = first.withColumnsRenamed({"one": "f1", "two": "f2"})
-    return (
-        strings.join(first, (strings.one == first.f1) & (strings.two == first.f2))
-        .where("NOT (ord = first.ord AND start = first.start)")
-        .selectExpr("ord", "start", f"start + {LENGTH} AS stop")
-    )
+    ddl = "ord long, start int, text binary, core long, one long, two long"
+    grouped = map_rows(contexts, ddl, groups)
+    first, whole = _by_string(grouped, ["core", "one", "two"], "start + length(text)")
+    first = written(first, "string-groups")
+    several = first.groupBy("core").count().where("count > 1").select(F.col("core").alias("c"))
+    open_ = first.join(several, first.core == several.c, "left_semi")
+    single = map_rows(open_.select("ord", "start", "text"), "ord long, start int, one long, two long", strings)
+    return whole.union(_by_string(single, ["one", "two"], f"start + {LENGTH}")[1])
 
 
 def ordered(documents: DataFrame) -> DataFrame:
