@@ -1,11 +1,11 @@
-"""Queries that apply each text operator to its whole table, and their SQL counterparts."""
+"""Queries that apply each text operator to its whole table, with production parameters."""
 
 from __future__ import annotations
 
 import public_tokenizers
 
 import corpus_pipeline
-from tripkpi.llm import language, minhash, mixing, quality_lines, site_style, suffixes, token_counts, toxicity, vptree, wfst
+from tripkpi.llm import language, minhash, mixing, oracles, quality_lines, site_style, suffixes, token_counts, toxicity, vptree, wfst
 from tripkpi.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -77,23 +77,5 @@ def queries():
     return {query.__name__: query for query in _QUERIES}
 
 
-_NEAREST = """WITH v AS (
-  SELECT vec_id, min(embedding) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-  GROUP BY vec_id
-), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-    sqrt(list_reduce(list_transform(range(1, len(q.e) + 1), lambda i:
-      (CAST(q.e[i] AS DOUBLE) - CAST(c.e[i] AS DOUBLE))
-      * (CAST(q.e[i] AS DOUBLE) - CAST(c.e[i] AS DOUBLE))), lambda x, y: x + y)) AS score
-  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
-), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INT) AS rank
-  FROM pairs
-) SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
-
-
 def oracle_sql():
-    return {"op6_nearest_neighbours": _NEAREST}
+    return oracles.oracle_sql()
