@@ -95,7 +95,7 @@ def starts(rows: DataFrame, group: str, order: list[str], value: str, levels: in
     )
     inner = ranged.withColumn("start", F.coalesce(F.sum(value).over(before), F.lit(0)))
     return (
-        inner.join(base, (inner[group] == base.g) & (inner[here] == base.b))
+        inner.join(base.hint("merge"), (inner[group] == base.g) & (inner[here] == base.b))
         .withColumn("start", F.expr("start + base"))
         .drop(here, "g", "b", "base")
     )
@@ -158,10 +158,12 @@ def targets(sized: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 def slots(sources: DataFrame, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
     """One row for each slot of the mix: ordinal of its source, block, turn, shard and position."""
     chunk = 4096
+    # The chunks are few bytes and much work: a fixed number keeps adaptive execution from merging them.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         sources.where("n_slots > 0")
         .withColumn("chunk", F.explode(F.expr(f"sequence(0L, (n_slots - 1) DIV {chunk})")))
-        .repartition("ordinal", "chunk")
+        .repartition(tasks, "ordinal", "chunk")
         .withColumn(
             "slot",
             F.explode(F.expr(f"sequence(chunk * {chunk}, least(n_slots, (chunk + 1) * {chunk}) - 1)")),
@@ -226,16 +228,18 @@ def mix(documents: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     takes = slots(sources).groupBy("ordinal", "block").agg(
         F.count("*").alias("times"), F.min("shard").alias("shard")
     )
+    # Slots come from few rows of sources, so Spark takes them for small; they grow with the corpus.
     taken = (
         pieces(placed, block_words)
-        .join(takes, ["ordinal", "block"])
+        .hint("merge")
+        .join(takes.hint("merge"), ["ordinal", "block"])
         .groupBy("ordinal", F.col("start").alias("at"))
         .agg(F.sum(F.expr("words * times")).alias("taken"), F.min("shard").alias("first_shard"))
         .withColumnRenamed("ordinal", "o")
     )
     # Documents with words differ in their place; one without words starts where another one does.
-    return placed.join(
-        taken,
+    return placed.hint("merge").join(
+        taken.hint("merge"),
         (placed.ordinal == taken.o) & (placed.start == taken["at"]) & (placed["size"] > 0),
         "left",
     ).select(
@@ -255,7 +259,8 @@ def mixed_documents(documents: DataFrame, block_words: int = BLOCK_WORDS) -> Dat
     once = placed.dropDuplicates(["doc_id", "digest"])
     parts = (
         pieces(once, block_words)
-        .join(slots(sources).select("ordinal", "block", "turn"), ["ordinal", "block"])
+        .hint("merge")
+        .join(slots(sources).select("ordinal", "block", "turn").hint("merge"), ["ordinal", "block"])
         .groupBy("doc_id", "digest", "turn")
         .agg(
             F.array_sort(F.collect_list(F.struct("first", "words"))).alias("parts"),
@@ -265,8 +270,8 @@ def mixed_documents(documents: DataFrame, block_words: int = BLOCK_WORDS) -> Dat
         .withColumnsRenamed({"doc_id": "mix_id", "digest": "mix_digest"})
     )
     texts = documents.withColumn("mix_here", F.xxhash64("text"))
-    joined = texts.join(
-        parts,
+    joined = texts.hint("merge").join(
+        parts.hint("merge"),
         texts["doc_id"].eqNullSafe(parts.mix_id) & (F.col("mix_here") == F.col("mix_digest")),
     )
     some = F.expr(

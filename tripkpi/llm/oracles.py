@@ -59,7 +59,7 @@ QUALITY = f"""WITH d AS (
 ), figures AS (
   SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
     len(regexp_extract_all(text, '{quality_lines.SYMBOLS}')) AS n_symbols,
-    coalesce(dup, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+    CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
     coalesce(removed, 0) AS n_removed_lines, coalesce(chars, 0) AS n_line_chars,
     coalesce(kept_chars, 0) AS n_kept_chars
   FROM d LEFT JOIN sums USING (k) LEFT JOIN covered USING (k)
