@@ -145,10 +145,8 @@ def all_anchors(documents: DataFrame, frequent=None, wanted: bool = False) -> Da
         ids = part.column("ord").to_numpy(zero_copy_only=False)[owner] if len(owner) else owner
         gram = gram.astype(np.uint64).view(np.int64)
         keep = slice(None)
-        if frequent is not None and len(gram):
-            hot = frequent.value
-            place = np.searchsorted(hot, gram)
-            among = (place < len(hot)) & (hot[np.minimum(place, max(len(hot) - 1, 0))] == gram)
+        if frequent is not None:
+            among = np.isin(gram, frequent.value)
             keep = among if wanted else ~among
         context = context.astype(np.uint64).view(np.int64)
         return (
