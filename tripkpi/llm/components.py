@@ -18,6 +18,8 @@ def _large_star(links: DataFrame) -> DataFrame:
     least = both.groupBy("u").agg(F.min("v").alias("m")).select(
         F.col("u").alias("n"), F.expr("least(u, m)").alias("m")
     )
+    # Written, so that the join shuffles both of its sides and Spark can split a node with many links.
+    least = written(least, "least")
     return (
         both.join(least, both.u == least.n)
         .where("v > u")
@@ -29,6 +31,7 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """Smaller neighbours of each node, and itself, are linked with its least neighbour instead."""
     least = links.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n")
+    least = written(least, "least")
     moved = (
         links.join(least, links.u == least.n)
         .where("v <> m")

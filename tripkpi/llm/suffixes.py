@@ -382,9 +382,14 @@ def _two_hashes(data: np.ndarray, start: np.ndarray, length) -> tuple[np.ndarray
 
 
 def _by_string(rows: DataFrame, keys: list[str], span: str) -> tuple[DataFrame, DataFrame]:
-    """First occurrences of equal ``keys`` with all columns, and the spans of the others."""
+    """First occurrences of equal ``keys`` with all columns, and the spans of the others.
+
+    First ones are written, so that the join shuffles both of its sides and Spark can split a key
+    that is frequent; it cannot where one side is the aggregate itself.
+    """
     others = [c for c in rows.columns if c not in keys]
     first = rows.groupBy(*keys).agg(F.min(F.struct(*others)).alias("first"))
+    first = written(first, "first-strings")
     named = first.select(*[F.col(k).alias(f"{k}_f") for k in keys], "first.ord", "first.start")
     named = named.toDF(*[f"{k}_f" for k in keys], "ord_f", "start_f")
     same = [F.col(k) == F.col(f"{k}_f") for k in keys]
@@ -444,7 +449,6 @@ def frequent_edges(contexts: DataFrame) -> DataFrame:
     ddl = "ord long, start int, text binary, core long, one long, two long"
     grouped = map_rows(contexts, ddl, groups)
     first, whole = _by_string(grouped, ["core", "one", "two"], "start + length(text)")
-    first = written(first, "string-groups")
     several = first.groupBy("core").count().where("count > 1").select(F.col("core").alias("c"))
     open_ = first.join(several, first.core == several.c, "left_semi")
     single = map_rows(open_.select("ord", "start", "text"), "ord long, start int, one long, two long", strings)
@@ -478,6 +482,7 @@ def spans(documents: DataFrame) -> DataFrame:
     first = occurrences.groupBy("anchor", "context").agg(
         F.min(F.struct("ord", "start", "last", "offset")).alias("first")
     )
+    first = written(first, "first-contexts")  # lets the join below split what is frequent
     named = first.withColumnsRenamed({"anchor": "a", "context": "c"})
     later = (
         occurrences.join(named, (F.col("anchor") == F.col("a")) & (F.col("context") == F.col("c")))
