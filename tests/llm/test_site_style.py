@@ -65,3 +65,20 @@ def test_markup_of_all_kinds(spark):
     }
     assert texts(spark, [(*rows[0], "x", "x", "x")] * 2)[1][0] == "abc d & <e> f g"
     assert site_style.extract(given(spark, "pages").limit(0)).count() == 0
+
+
+def test_importance_decides_within_articles_too(spark):
+    rows = [
+        (i, f"http://h.example/{i}", page(
+            f"<script>track({i})</script><div class=lead>Lead {i}</div><div class=date>All days</div>"
+            f"<{tag}><p>Story number {i} is this</p><div class=x1>Same words here</div></{tag}>"
+        ), "x", "x", "x")
+        for tag, ids in (("article", range(8)), ("main", range(8, 16)))
+        for i in ids
+    ]
+    rows += [(100, "http://other.example/", rows[0][2], "x", "x", "x")]
+    # The same article with other numbers in its script is a copy, not a template.
+    rows += [(200 + i, "http://copies.example/", rows[0][2].replace("track(0)", f"track({i})"), "x", "x", "x") for i in range(9)]
+    got = texts(spark, rows)
+    assert all(got[i][0] == f"Lead {i} Story number {i} is this" for i in range(16))
+    assert got[100][0] == got[205][0] == "Story number 0 is this Same words here"

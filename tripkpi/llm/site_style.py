@@ -11,10 +11,11 @@ pages differ in it:
   laid out;
 * a branch: its presentation, weighted 1 - GAMMA, and the mean of the leaves below, weighted GAMMA.
 
-Branches below a threshold go from every page of the host. Pages that are copies of each other count
-once, and a host with a single page says nothing about importance. What the markup itself names is
-respected: elements such as ``nav`` or ``footer``, or with a class like ``ad``, go on any host; if a
-page has an ``article`` or ``main``, its text is what is in there, and importance does not apply to it.
+Branches below a threshold go from every page of the host, also within ``article`` and ``main``. Pages
+that are copies of each other count once, and a host with a single page says nothing about importance.
+What the markup itself names is respected: elements such as ``nav`` or ``footer``, or with a class like
+``ad``, go on any host. ``article`` and ``main`` shift what importance a leaf needs: on a page that has
+one, leaves outside need a higher importance, and go where nothing is known about them.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from tripkpi.llm.common import map_rows, written
 
 THRESHOLD = 0.35
+# What a leaf outside article and main needs on a page that has one of them.
+OUTSIDE = 0.8
 GAMMA = 0.9
 LEAST_PAGES = 3
 
@@ -199,12 +202,19 @@ class Page:
             paths = tuple(dict.fromkeys(n.path for n in self.stack[1:]))
             self.blocks.append((text, paths, node.noise, node.main))
 
-    def main_text(self, low: frozenset[int]) -> list[str]:
-        """Blocks that remain, given the paths of branches that are not important."""
+    def outside(self, main: bool) -> bool:
+        """Whether a block is beside the article or main that its page has."""
+        return self.has_main and not main
+
+    def main_text(self, low: frozenset[int], own: frozenset[int]) -> list[str]:
+        """Blocks that remain, given the paths of branches that are not important, and of leaves that
+        are important enough to remain outside article and main."""
         return [
             text
             for text, paths, noise, main in self.blocks
-            if not noise and (main if self.has_main else not any(p in low for p in paths))
+            if not noise
+            and not any(p in low for p in paths)
+            and not (self.outside(main) and own.isdisjoint(paths[-1:]))
         ]
 
 
@@ -217,8 +227,8 @@ def _digest():
 def style_rows(pages: DataFrame) -> DataFrame:
     """What the tree is made of: host, page digest, kind, path and feature.
 
-    Kind 0: a text in a leaf, under each branch that it is in. Kind 1: a layout of an inner node.
-    Blocks that the markup decides about are left out.
+    Kind 0: a text in a leaf, under each branch that it is in. Kind 1: a layout of an inner node. Kind
+    2: a leaf outside the page's article or main. Noise is left out, also for telling copies of a page.
     """
 
     def make():
@@ -232,14 +242,16 @@ def style_rows(pages: DataFrame) -> DataFrame:
                 host = host_of(url)
                 if host is None or not source:
                     continue
-                page, name = Page(source, digest), digest(source)
-                rows = {
-                    (0, p, digest(text))
+                page = Page(source, digest)
+                blocks = [
+                    (digest(text), paths, page.outside(main))
                     for text, paths, noise, main in page.blocks
-                    if not noise and not main
-                    for p in paths
-                }
+                    if not noise
+                ]
+                name = digest(repr(blocks))
+                rows = {(0, p, text) for text, paths, _ in blocks for p in paths}
                 rows |= {(1, p, layout) for p, layout in page.nodes}
+                rows |= {(2, p, 0) for _, paths, outside in blocks if outside for p in paths[-1:]}
                 for kind, path, feature in rows:
                     for column, value in zip(out, (host, name, kind, path, feature), strict=True):
                         column.append(value)
@@ -251,8 +263,9 @@ def style_rows(pages: DataFrame) -> DataFrame:
     return map_rows(pages.select("url", "html"), ddl, None, text="html", make=make)
 
 
-def unimportant(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """host and path of the branches that are less important than ``threshold``."""
+def judged(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """host, path and low: branches that are less important than ``threshold``, and, with low false,
+    leaves that are important enough to remain outside article and main."""
     # Copies of a page count once; partial aggregation merges what is frequent before the shuffle.
     counts = (
         style_rows(pages)
@@ -276,15 +289,19 @@ def unimportant(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             F.max(F.expr("IF(kind = 0, spread, NULL)")).alias("spread"),
             F.max(F.expr("IF(kind = 1, ln(all) - n_ln_n / all, NULL)")).alias("layouts"),
             F.max(F.expr("IF(kind = 1, all, NULL)")).alias("layout_pages"),
+            F.max(F.expr("kind = 2")).alias("outside"),
         )
     )
-    content = "1 - spread / ln(m)"
+    content = "1 - spread / ln(greatest(m, 2))"
     layout = "IF(layout_pages > 1, layouts / ln(layout_pages), 0)"
     importance = (
         f"CASE WHEN layouts IS NULL THEN {content}"
         f" ELSE {1 - GAMMA} * ({layout}) + {GAMMA} * ({content}) END"
     )
-    return nodes.where(f"m >= {LEAST_PAGES} AND {importance} < {threshold}").select("host", "path")
+    low = f"{importance} < {threshold}"
+    return nodes.where(
+        f"m >= {LEAST_PAGES} AND ({low} OR outside AND {importance} >= {OUTSIDE})"
+    ).selectExpr("host", "path", f"{low} AS low")
 
 
 def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -294,9 +311,12 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     has no host belongs to no tree, and all its branches are important. Rows with equal ids or equal
     pages get equal results; further columns change nothing. An empty table gives an empty result.
     """
-    low = written(unimportant(pages, threshold), "unimportant")
+    branches = written(judged(pages, threshold), "judged")
     # Branches of a host's template: as many as its pages have different paths.
-    lists = low.groupBy("host").agg(F.collect_set("path").alias("low"))
+    lists = branches.groupBy("host").agg(
+        F.collect_set(F.expr("IF(low, path, NULL)")).alias("low"),
+        F.collect_set(F.expr("IF(low, NULL, path)")).alias("own"),
+    )
     host = F.lower(F.regexp_extract(F.trim("url"), r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     rows = pages.select("page_id", "url", "html", host.alias("page_host"))
     rows = rows.join(lists, rows.page_host == lists.host, "left").drop("host", "page_host")
@@ -306,10 +326,10 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
         def work(part):
             texts, blocks = [], []
-            for source, paths in zip(
-                part.column("html").to_pylist(), part.column("low").to_pylist(), strict=True
-            ):
-                found = Page(source, digest).main_text(frozenset(paths or ())) if source else []
+            columns = (part.column(c).to_pylist() for c in ("html", "low", "own"))
+            for source, low, own in zip(*columns, strict=True):
+                sets = frozenset(low or ()), frozenset(own or ())
+                found = Page(source, digest).main_text(*sets) if source else []
                 texts.append(" ".join(found))
                 blocks.append(len(found))
             n_chars = [len(t) for t in texts]
