@@ -82,3 +82,17 @@ def test_importance_decides_within_articles_too(spark):
     got = texts(spark, rows)
     assert all(got[i][0] == f"Lead {i} Story number {i} is this" for i in range(16))
     assert got[100][0] == got[205][0] == "Story number 0 is this Same words here"
+
+
+def test_articles_that_are_noise_or_empty_are_not_the_main_text(spark):
+    own = "<div class=story><p>The text itself</div>"
+    rows = [
+        (1, "http://a.example/", page(own + "<div class=comments><article class=comment><p>reader</article></div>")),
+        (2, "http://b.example/", page(own + "<aside><article><p>teaser</article></aside>")),
+        (3, "http://c.example/", page(own + "<article class=related><p>other</article><main> <nav>menu</nav></main>")),
+        (4, "http://d.example/", page("<p>beside<article><p>in<aside>x</aside></article>")),
+    ]
+    got = texts(spark, [(*r, "x", "x", "x") for r in rows])
+    assert {i: t for i, (t, _) in got.items()} == {
+        1: "The text itself", 2: "The text itself", 3: "The text itself", 4: "in",
+    }

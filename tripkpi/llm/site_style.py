@@ -145,8 +145,6 @@ class Page:
         parent = self.stack[-1]
         names = " ".join("".join(n[1:]) for n in NAMES.findall(rest)) if "=" in rest else ""
         label = f"{tag}.{names}" if names else tag
-        main = parent.main or tag in ("article", "main")
-        self.has_main |= main
         noise = (
             parent.noise
             or tag in NOISE_TAGS
@@ -155,6 +153,8 @@ class Page:
             or "hid" in rest and HIDDEN.search(rest) is not None
             or "none" in rest and HIDDEN.search(rest) is not None
         )
+        # Comments and teasers are articles too, but not what the page is about.
+        main = parent.main or tag in ("article", "main") and not noise
         # Inline elements are not nodes of their own: their text belongs to the block around.
         if tag in BLOCKS:
             parent = next(n for n in reversed(self.stack) if n.tag in BLOCKS or not n.tag)
@@ -201,6 +201,7 @@ class Page:
             node = self.stack[-1]
             paths = tuple(dict.fromkeys(n.path for n in self.stack[1:]))
             self.blocks.append((text, paths, node.noise, node.main))
+            self.has_main |= node.main and not node.noise
 
     def outside(self, main: bool) -> bool:
         """Whether a block is beside the article or main that its page has."""
