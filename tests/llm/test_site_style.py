@@ -96,3 +96,23 @@ def test_articles_that_are_noise_or_empty_are_not_the_main_text(spark):
     assert {i: t for i, (t, _) in got.items()} == {
         1: "The text itself", 2: "The text itself", 3: "The text itself", 4: "in",
     }
+
+
+def test_only_attributes_that_hide_hide(spark):
+    shown = [
+        '<div style="overflow:hidden">{}</div>', "<div class=overflow-hidden>{}</div>",
+        '<p aria-hidden="false">{}</p>', '<p title="a hidden valley">{}</p>',
+        '<a href="/hidden-valley">{}</a>', '<p data-id="ad" data-x="display:none">{}</p>',
+        '<p style="display:none; display:block">{}</p>', "<figure><figcaption>{}</figcaption></figure>",
+        "<p hidden=until-found>{}</p>",
+    ]
+    gone = [
+        "<p hidden>{}</p>", '<p class=a HIDDEN="">{}</p>', "<p hidden/>{}</p>", "<p aria-hidden=true>{}</p>",
+        "<p aria-hidden = 'TRUE'>{}</p>", '<p style="color:red; display : none !important">{}</p>',
+    ]
+    rows = [
+        (i, f"http://h{i}.example/", page(f"<article>{form.format(f'case {i}')}</article>"), "x", "x", "x")
+        for i, form in enumerate(shown + gone)
+    ]
+    got = texts(spark, rows)
+    assert [got[i][0] for i in range(len(rows))] == [f"case {i}" for i in range(len(shown))] + [""] * len(gone)

@@ -39,7 +39,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp".split())
 # Elements that are never part of an article, and words of class, id or role that say the same.
 NOISE_TAGS = frozenset(
-    "nav footer aside form dialog button select option head menu object canvas figcaption".split()
+    "nav footer aside form dialog button select option head menu object canvas".split()
 )
 NOISE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|menu|nav\w*|breadcrumbs?"
@@ -68,8 +68,8 @@ TOKEN = re.compile(
     r"|[^<]+|<",
     re.DOTALL,
 )
-NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]*)", re.IGNORECASE)
 HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.IGNORECASE)
 
 
@@ -78,6 +78,23 @@ def host_of(url: str | None) -> str | None:
     return found.group(1).lower() if found else None
 
 
+def attributes(rest: str) -> dict[str, str]:
+    """Of a start tag, by lower-case name; the first of a name counts, as in browsers."""
+    found: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(rest):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def hidden(given: dict[str, str]) -> bool:
+    """Whether the attributes hide an element; ``until-found`` is text that readers can search."""
+    return (
+        given.get("hidden", "until-found").strip().lower() != "until-found"
+        or given.get("aria-hidden", "").strip().lower() == "true"
+        or [d.lower() for d in DISPLAY.findall(given.get("style", ""))][-1:] == ["none"]
+    )
+
+
 class Node:
     __slots__ = ("tag", "path", "noise", "main", "children")
 
@@ -143,15 +160,15 @@ class Page:
         if tag in CLOSES:
             self._close_until(*CLOSES[tag])
         parent = self.stack[-1]
-        names = " ".join("".join(n[1:]) for n in NAMES.findall(rest)) if "=" in rest else ""
+        given = attributes(rest) if len(rest) > 1 else {}
+        names = " ".join(value for name, value in given.items() if name in ("class", "id", "role"))
         label = f"{tag}.{names}" if names else tag
         noise = (
             parent.noise
             or tag in NOISE_TAGS
             or tag == "header" and not parent.main
             or bool(names) and tag not in ("html", "body") and NOISE_NAMES.search(names) is not None
-            or "hid" in rest and HIDDEN.search(rest) is not None
-            or "none" in rest and HIDDEN.search(rest) is not None
+            or hidden(given)
         )
         # Comments and teasers are articles too, but not what the page is about.
         main = parent.main or tag in ("article", "main") and not noise
