@@ -116,3 +116,16 @@ def test_only_attributes_that_hide_hide(spark):
     ]
     got = texts(spark, rows)
     assert [got[i][0] for i in range(len(rows))] == [f"case {i}" for i in range(len(shown))] + [""] * len(gone)
+
+
+def test_importance_counts_all_pages_that_have_a_branch(spark):
+    rows = [
+        (i, f"http://h.example/{i}", page(
+            f"<div class=intro>Series {i // 3} begins</div><p>Part {i}</p><div class=x>Menu</div>"
+        ), "x", "x", "x")
+        for i in range(9)
+    ]
+    rows += [(20 + i, "http://two.example/", page(f"<p>Part {i}</p><div class=x>Menu</div>"), "x", "x", "x") for i in range(2)]
+    got = texts(spark, rows)
+    assert all(got[i][0] == f"Series {i // 3} begins Part {i}" for i in range(9))
+    assert [got[i][0] for i in (20, 21)] == ["Part 0 Menu", "Part 1 Menu"]  # too few to tell

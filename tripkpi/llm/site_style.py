@@ -5,14 +5,15 @@ root, so elements that look alike on several pages are one node. A node's import
 pages differ in it:
 
 * content of a leaf: 1 minus the mean, over the texts found in it, of the entropy of a text's
-  distribution over the host's pages, in units of the logarithm of their number. A text on all pages
-  gives 0, texts of their own on each page give 1;
+  distribution over the host's pages that have the leaf, in units of the logarithm of their number. A
+  text on all of them gives 0, texts of their own on each page give 1;
 * presentation of an inner node: the entropy, in the same units, of the ways in which its children are
   laid out;
 * a branch: its presentation, weighted 1 - GAMMA, and the mean of the leaves below, weighted GAMMA.
 
 Branches below a threshold go from every page of the host, also within ``article`` and ``main``. Pages
-that are copies of each other count once, and a host with a single page says nothing about importance.
+that are copies of each other count once. Branches on one or two pages say nothing about importance: what
+two pages share may as well be an article that was changed a little, and all of it would go.
 What the markup itself names is respected: elements such as ``nav`` or ``footer``, or with a class like
 ``ad``, go on any host. ``article`` and ``main`` shift what importance a leaf needs: on a page that has
 one, leaves outside need a higher importance, and go where nothing is known about them.
@@ -33,6 +34,7 @@ THRESHOLD = 0.35
 # What a leaf outside article and main needs on a page that has one of them.
 OUTSIDE = 0.8
 GAMMA = 0.9
+# Different pages that a branch has to be on, so that what they share can be told from near copies.
 LEAST_PAGES = 3
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -246,7 +248,8 @@ def style_rows(pages: DataFrame) -> DataFrame:
     """What the tree is made of: host, page digest, kind, path and feature.
 
     Kind 0: a text in a leaf, under each branch that it is in. Kind 1: a layout of an inner node. Kind
-    2: a leaf outside the page's article or main. Noise is left out, also for telling copies of a page.
+    2: that the page has the branch (feature 0), also as a leaf outside its article or main (feature
+    1). Noise is left out, also for telling copies of a page.
     """
 
     def make():
@@ -269,7 +272,8 @@ def style_rows(pages: DataFrame) -> DataFrame:
                 name = digest(repr(blocks))
                 rows = {(0, p, text) for text, paths, _ in blocks for p in paths}
                 rows |= {(1, p, layout) for p, layout in page.nodes}
-                rows |= {(2, p, 0) for _, paths, outside in blocks if outside for p in paths[-1:]}
+                rows |= {(2, p, 0) for _, paths, _ in blocks for p in paths}
+                rows |= {(2, p, 1) for _, paths, outside in blocks if outside for p in paths[-1:]}
                 for kind, path, feature in rows:
                     for column, value in zip(out, (host, name, kind, path, feature), strict=True):
                         column.append(value)
@@ -291,23 +295,22 @@ def judged(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .groupBy("host", "kind", "path", "feature")
         .agg(F.count("*").alias("n"))
     )
-    # The largest number of pages that share anything of the branch stands for their number, or the
-    # number of its single texts where these are more.
     nodes = (
         counts.groupBy("host", "path", "kind")
         .agg(
-            F.greatest(F.max("n"), F.count_if(F.col("n") == 1)).alias("m"),
+            F.max(F.expr("IF(feature = 0, n, NULL)")).alias("m"),
+            F.max("feature").alias("feature"),
             F.avg(F.log("n")).alias("spread"),
             F.sum("n").alias("all"),
             F.sum(F.expr("n * ln(n)")).alias("n_ln_n"),
         )
         .groupBy("host", "path")
         .agg(
-            F.max(F.expr("IF(kind = 0, m, NULL)")).alias("m"),
+            F.max(F.expr("IF(kind = 2, m, NULL)")).alias("m"),
             F.max(F.expr("IF(kind = 0, spread, NULL)")).alias("spread"),
             F.max(F.expr("IF(kind = 1, ln(all) - n_ln_n / all, NULL)")).alias("layouts"),
             F.max(F.expr("IF(kind = 1, all, NULL)")).alias("layout_pages"),
-            F.max(F.expr("kind = 2")).alias("outside"),
+            F.max(F.expr("kind = 2 AND feature = 1")).alias("outside"),
         )
     )
     content = "1 - spread / ln(greatest(m, 2))"
