@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     want = connection.execute(queries.oracle_sql()[name])
     names = [d[0] for d in want.description]
@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, name):
 
 def test_there_is_a_query_for_each_operator():
     numbers = {n.split("_")[0] for n in queries.queries() if n.startswith("op")}
-    assert numbers == {f"op{i}" for i in range(1, 11)}
+    assert numbers == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in queries.queries()
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripkpi.llm import minhash, mixing, quality_lines, suffixes
+from tripkpi.llm import dialogue, infilling, minhash, mixing, quality_lines, suffixes
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
 _WORDS = f"regexp_extract_all(coalesce(text, ''), '{_WORD}')"
@@ -186,8 +186,112 @@ def mixing_sql() -> str:
 FROM packed LEFT JOIN taken USING (doc_id)"""
 
 
+_P, _S, _M = infilling.PREFIX, infilling.SUFFIX, infilling.MIDDLE
+INFILLING = f"""WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), drawn AS (
+  SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, list_transform([1, 9, 17, 25], lambda i:
+    CAST('0x' || substr(h, i, 8) AS BIGINT)) AS h FROM d
+), cut AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN t = '' OR regexp_matches(t, '{_P}|{_S}|{_M}') OR h[3] % 100 >= {infilling.PLAIN_FROM}
+      THEN 'plain' WHEN h[4] % 100 < {infilling.SPM_BELOW} THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), parts AS (
+  SELECT *, array_to_string(u[:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+    array_to_string(u[b + 1:], '') AS s FROM cut
+) SELECT doc_id, n, form,
+  CAST(CASE WHEN form <> 'plain' THEN length(p) END AS BIGINT) AS prefix_chars,
+  CAST(CASE WHEN form <> 'plain' THEN length(m) END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{_P}' || p || '{_S}' || s || '{_M}' || m
+    ELSE '{_S}' || s || '{_P}' || p || '{_M}' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts"""
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _way(cost: str, letter: str, lines: str, rest: str) -> str:
+    """An edit in front of the best way from a state: cost, audit and lines."""
+    return f"{{'c': {cost} + {rest}.c, 'a': '{letter}' || {rest}.a, 'o': {lines} || {rest}.o}}"
+
+
+def _insert(role: str, rest: str) -> str:
+    return _way(str(dialogue.COSTS[dialogue.INSERT]), "I", f"chr(10) || '{role}:'", rest)
+
+
+def repair_sql() -> str:
+    """The table of least ways, whole audits and lines with it, from the last row backwards."""
+    never = 10**9
+    cut = f"{dialogue.CUT} * CAST(fault = 'truncated' AS INT)"
+    barred = f"{never} * CAST(fault IN ('blank', 'duplicate') AS INT)"
+    line = "chr(10) || role || ':' || text"
+    due = {0: ("user", 2), 1: ("user", 2), 2: ("assistant", 3), 3: ("user", 2)}
+    keeps = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    best = []
+    for q in range(4):
+        ways = [_way(str(dialogue.COSTS[dialogue.DELETE]), "D", "''", f"s{q}")]
+        for initial, to in keeps[q].items():
+            wrong = f"{never} * CAST(left(role, 1) <> '{initial}' AS INT)"
+            ways.append(_way(f"{cut} + {barred} + {wrong}", "K", line, f"s{to}"))
+        role, to = due[q]
+        ways.append(_way(f"1 + {cut} + {barred}", "R", f"chr(10) || '{role}:' || text", f"s{to}"))
+        best.append(f"{_least(*ways)} AS b{q}")
+    bits = "list_reduce([c] || [0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))"
+    crc = (
+        "xor(4294967295, list_reduce([4294967295] || list_transform(string_split(key, ''), lambda x:"
+        " CAST(ascii(x) AS BIGINT)), lambda r, x: {step}))"
+    ).format(step=bits.replace("[c]", "[xor(r, x)]"))
+    order = "turn NULLS FIRST, role, md5(length(role) || ':' || role || text)"
+    chars = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations
+), drawn AS (SELECT *, {crc} % 20 AS damage FROM named
+), damaged AS (
+  SELECT conv_id, turn, CASE damage WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE damage WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE damage WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM drawn WHERE damage <> 0
+), numbered AS (
+  SELECT conv_id, turn, role, text, rtrim(text, {chars}) AS seen,
+    row_number() OVER (PARTITION BY conv_id ORDER BY {order}) AS i FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN seen = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(seen, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM numbered
+), ids AS (SELECT DISTINCT conv_id FROM conversations
+), figures AS (
+  SELECT ids.conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+    count(i) AS n
+  FROM ids LEFT JOIN judged ON ids.conv_id IS NOT DISTINCT FROM judged.conv_id GROUP BY ids.conv_id
+), ends AS (SELECT {{'c': 0, 'a': '', 'o': ''}} AS e
+), ways AS (
+  SELECT conv_id, n AS i, e AS s0, {_insert('user', _insert('assistant', 'e'))} AS s1,
+    {_insert('assistant', 'e')} AS s2, e AS s3 FROM figures, ends
+  UNION ALL
+  SELECT conv_id, i - 1, {_least('b0', _insert('user', 'u'))}, {_least('b1', _insert('user', 'u'))}, u, a
+  FROM (
+    SELECT *, {_least('b2', _insert('assistant', 'b3'))} AS u, {_least('b3', _insert('user', 'b2'))} AS a
+    FROM (
+      SELECT ways.conv_id, ways.i, {', '.join(best)}
+      FROM ways JOIN judged ON ways.conv_id IS NOT DISTINCT FROM judged.conv_id AND ways.i = judged.i))
+) SELECT f.conv_id, gaps, blank, duplicate, truncated, illegal, CAST(s0.c AS BIGINT) AS cost,
+  s0.a AS audit, sha256(substr(s0.o, 2)) AS repaired_sha256
+FROM figures f JOIN ways ON f.conv_id IS NOT DISTINCT FROM ways.conv_id AND ways.i = 0"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op12_fill_in_middle": INFILLING,
+        "op13_conversation_repair": repair_sql(),
         "op3_quality_rules": QUALITY,
         "op4_suffix_dedup": REPEATS,
         "op5_minhash": NEAR_DUPLICATES,

@@ -5,7 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
-from tripkpi.llm import language, minhash, mixing, oracles, quality_lines, site_style, suffixes, token_counts, toxicity, vptree, wfst
+from tripkpi.llm import (
+    dialogue,
+    infilling,
+    language,
+    minhash,
+    mixing,
+    oracles,
+    quality_lines,
+    simhash,
+    site_style,
+    suffixes,
+    token_counts,
+    toxicity,
+    vptree,
+    wfst,
+)
 from tripkpi.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -54,6 +69,18 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
 
 
+def op11_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    return infilling.digests(infilling.infill(table(spark, sf_dir, "documents")))
+
+
+def op13_conversation_repair(spark, sf_dir):
+    return dialogue.digests(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -69,6 +96,9 @@ _QUERIES = (
     op8_language_id,
     op9_mixing,
     op10_token_counts,
+    op11_simhash,
+    op12_fill_in_middle,
+    op13_conversation_repair,
     pipeline,
 )
 
