@@ -5,7 +5,7 @@ from hypothesis import settings
 from hypothesis import strategies as st
 
 from tripkpi.llm import token_counts, wfst
-from tripkpi.llm.pieces import read_model
+from tripkpi.llm.pieces import pre_tokens, read_model
 
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PIECES)
 FST = wfst.transducer(PIECES)
@@ -54,6 +54,13 @@ def test_encode_and_decode_tables(spark):
     assert [r.round_trip for r in wfst.encode(documents(spark), PIECES).where("doc_id = 8").collect()] == [False]
 
 
+@settings(max_examples=300, deadline=None)
+@cases_of(st.one_of(st.text(alphabet=" ab▁\n", max_size=12), st.lists(PARTS, max_size=30).map("".join)))
+def test_lengths_add_up_to_the_library_s(text):
+    lengths = token_counts._Lengths(PIECES, {})
+    assert sum(lengths[x] for x in pre_tokens(text, read_model(PIECES))) == len(LIBRARY.encode(text))
+
+
 def test_counts_are_the_library_s_with_any_first_tier(spark):
     for table, frequent in ((documents(spark), 3), (given(spark, "documents"), 50_000)):
         got = token_counts.count_tokens(table, PIECES, limit=100, frequent=frequent)

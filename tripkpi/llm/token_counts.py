@@ -39,8 +39,10 @@ class _Lengths(dict):
         self.encode = sentencepiece.SentencePieceProcessor(model_file=path).encode
 
     def __missing__(self, pre_token: str) -> int:
-        # The library puts one space in front itself.
-        length = len(self.encode(pre_token[1:].replace(SPACE, " ")))
+        # The library puts one space in front itself, but none in front of nothing. A last space by
+        # itself is counted behind a letter, as no piece goes on from there into a space.
+        text = pre_token[1:].replace(SPACE, " ")
+        length = len(self.encode(text)) if text else len(self.encode("x ")) - len(self.encode("x"))
         if len(pre_token) <= CACHED_CHARS:
             if len(self) >= len(self.frequent) + CACHED:
                 self.clear()
