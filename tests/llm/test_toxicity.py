@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 from cases import ROWS, documents, empty, given
 
@@ -29,6 +31,25 @@ def test_labelled_documents_are_told_apart(spark):
         assert 0 <= r.severity <= 3 and r.toxic == (r.p_toxic >= 0.5) and r.kept != r.toxic
 
 
+def test_scores_are_those_of_a_plain_loop(spark):
+    texts, labels = given(spark, "documents", "sf0.01"), given(spark, "labels", "sf0.01")
+    model = toxicity.fit(texts, labels)
+    got = {r.doc_id: r for r in toxicity.score(texts, model).collect()}
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for row in texts.collect():
+        words = re.findall(r"[^\W\d_]+", (row.text or "").lower())
+        total = 0.0
+        for feature, j in model.index.items():
+            kind, name = feature[0], feature[1:]
+            n = sum(w == name if kind == "=" else w[: len(name)] == name for w in words)
+            total += model.weights[j] * np.log2(1 + 200 * n / max(len(words), 1))
+        chances = sigmoid(total - model.thresholds)
+        r = got[row.doc_id]
+        assert np.isclose(r.severity, chances.sum()) and np.isclose(r.p_toxic, chances[0])
+        bounds = np.array([1, *chances]) - np.array([*chances, 0])
+        assert r.grade == np.argmax(bounds) and r.kept == (r.p_toxic < 0.5)
+
+
 def test_rows_of_all_kinds(spark):
     labels = spark.createDataFrame(
         [(1, None, 1), (5, 1, 0), (5, 1, None), (None, 1, 1), (7, 0, 1)],

@@ -2,7 +2,9 @@
 
 One weight vector is shared by all ordered thresholds: P(grade > k) = sigmoid(w.x - theta_k). The
 result is the expected grade, sum over k of P(grade > k). Features are words and word beginnings that
-go along with the toxic label; their values are log2(1 + occurrences in the text).
+go along with the toxic label; their values are log2(1 + occurrences among PER_WORDS words), so that a
+short text with one telling word stands out while a long one does not add up chance hits. Grades go by
+shares of words too, so all thresholds ask the same of the weights they share.
 
 The labels only say toxic or not, so the grades to learn are derived from them: 0 for a text that is
 not toxic, else 1, 2 or 3 by the share of its words that are typical of toxic texts. The model is
@@ -12,6 +14,7 @@ it is then applied to every whole text.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from dataclasses import dataclass
@@ -31,6 +34,8 @@ LEAST_RATIO = 25.0
 # Features of mostly toxic texts only: with others, long texts could add up to anything.
 LEAST_SHARE = 0.5
 PREFIXES = (4, 5, 6)
+# The length of text that occurrences are counted for.
+PER_WORDS = 200
 # A word is typical if so many of the texts with one of its features are toxic; shares of typical
 # words from which a toxic text has grade 2 and 3.
 TYPICAL = 0.9
@@ -46,6 +51,11 @@ def features_of(word: str) -> list[str]:
     return ["=" + word, *("^" + word[:n] for n in PREFIXES if len(word) >= n)]
 
 
+def value(occurrences: int, n_words: int) -> float:
+    """A feature's value in a text of so many words."""
+    return math.log2(1 + PER_WORDS * occurrences / n_words)
+
+
 @dataclass(frozen=True)
 class Severity:
     """A fitted model: feature names with weights and whether they are typical, and thresholds."""
@@ -225,7 +235,7 @@ def fit(
             share = sum(any(typical[j] for j in w) for w in words) / max(n_words, 1)
             grades.append(1 + sum(share >= s for s in GRADE_SHARES) if toxic else 0)
             columns.append(list(counts))
-            values.append([float(np.log2(1 + n)) for n in counts.values()])
+            values.append([value(n, n_words) for n in counts.values()])
         return grades, columns, values
 
     # At most sample_rows rows of features that occur in them.
@@ -260,9 +270,8 @@ def score(documents: DataFrame, model: Severity, least: float = 0.5, keep: bool
             scores = np.zeros(part.num_rows)
             for i, text in enumerate(part.column("text").to_pylist()):
                 if text:
-                    scores[i] = sum(
-                        model.weights[j] * np.log2(1 + n) for j, n in hits(text)[1].items()
-                    )
+                    n_words, counts, _ = hits(text)
+                    scores[i] = sum(model.weights[j] * value(n, n_words) for j, n in counts.items())
             above = model.above(scores)
             bounds = np.hstack([np.ones((len(scores), 1)), above, np.zeros((len(scores), 1))])
             grades = np.argmax(bounds[:, :-1] - bounds[:, 1:], axis=1)
