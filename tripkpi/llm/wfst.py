@@ -1,17 +1,19 @@
 """SentencePiece encoding and decoding as shortest paths through weighted finite-state transducers.
 
-Three transducers are compiled from a model file. The *normaliser* puts a space in front and rewrites
-spaces. The *piece* transducer, a trie whose leaves emit piece ids, has an arc per piece. The *byte
-fallback* maps each character without a piece to the pieces of its UTF-8 bytes. Composed with an
-input they give a lattice; the encoding is its shortest path in the tropical semiring (weights are
-added along a path, the least path counts).
+Three machines take part. The *normaliser* puts a space in front and rewrites spaces; it has one state
+and no choice, so it is applied as a rewriting of the text before the others. The *piece* transducer, a
+trie whose leaves emit piece ids, has an arc per piece. The *byte fallback* has an arc for each character
+without a piece, which emits the pieces of its UTF-8 bytes. The last two are composed with the input as
+they are needed, state by state; no lattice is stored. The encoding is the shortest path in the tropical
+semiring (weights are added along a path, the least path counts).
 
 A unigram model's weights are its negative scores. A BPE model is not a sum of weights: which pieces
 it yields depends on the order of merges. It is exact as a bigram acceptor, though. A sequence of
 pieces is what the merges lead to if and only if every two neighbours on their own are what their
 joint string leads to: the first merge across a border between two pieces would happen in the same
 way in the string of these two alone. The acceptor's arc from one piece to the next weighs 0 if the
-pair lasts and infinity otherwise, and exactly one path through a lattice is finite: the shortest.
+pair lasts and infinity otherwise, which the histories of the two pieces' edges tell, and exactly one
+path through a lattice is finite: the shortest. It is searched depth first, longest pieces first.
 States of the composition are (position, last piece), each visited once at most, so encoding takes
 time in proportion to the text's length, however long it is.
 """
@@ -66,8 +68,11 @@ class Transducer:
         self.output[model.unknown] = " ⁇ ".encode()
         self.lowest = max(self.rank.values(), default=0.0) + UNKNOWN_PENALTY
         self.words: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        # By the left piece, then the right one.
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.n_pairs = 0
         self.ahead: dict[str, tuple[str, ...]] = {}
+        self.edges: dict[str, tuple[list, list] | None] = {}
 
     def merged(self, text: str) -> list[str]:
         """What BPE merges lead to: always the best pair, the leftmost of several."""
@@ -84,12 +89,64 @@ class Transducer:
 
     def lasts(self, left: str, right: str) -> bool:
         """Whether the acceptor lets ``right`` follow ``left``."""
-        if len(self.pairs) >= CACHED_PAIRS:
-            self.pairs.clear()
-        lasts = not left or self.merged(left + right) == [left, right]
-        self.pairs[left, right] = lasts
+        if self.n_pairs >= CACHED_PAIRS:
+            for after in self.pairs.values():
+                after.clear()
+            self.n_pairs = 0
+        lasts = not left or self.apart(left, right)
+        self.pairs.setdefault(left, {})[right] = lasts
+        self.n_pairs += 1
         return lasts
 
+    def history(self, piece: str) -> tuple[list, list] | None:
+        """How a piece's first and last part come about as its characters are merged: each part with
+        the rank of the merge that ends it. None if merges lead elsewhere or their ranks ever fall."""
+        if piece in self.edges:
+            return self.edges[piece]
+        parts, rank, before = list(piece), self.rank, -INFINITY
+        first, last = [], []
+        while len(parts) > 1:
+            ranks = [rank.get(a + b, INFINITY) for a, b in zip(parts, parts[1:])]
+            best = min(ranks)
+            if best == INFINITY or best < before:
+                break
+            at, before = ranks.index(best), best
+            if at == 0:
+                first.append((parts[0], best))
+            if at == len(parts) - 2:
+                last.append((parts[-1], best))
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        edge = (piece, INFINITY)
+        found = ([*first, edge], [*last, edge]) if len(parts) == 1 else None
+        if len(self.edges) >= CACHED_WORDS:
+            self.edges.clear()
+        self.edges[piece] = found
+        return found
+
+    def apart(self, left: str, right: str) -> bool:
+        """Whether merges of the joint string never cross the border.
+
+        Ranks of merges rise within each of the two, so both histories can be walked side by side:
+        two parts that meet at the border are merged if their rank comes before the merge that ends
+        either of them. Of equal ranks the leftmost comes first.
+        """
+        a, b = self.history(left), self.history(right)
+        if a is None or b is None:
+            return self.merged(left + right) == [left, right]
+        (_, ends), (starts, _) = a, b
+        rank, i, j = self.rank, 0, 0
+        while True:
+            (x, x_until), (y, y_until) = ends[i], starts[j]
+            border = rank.get(x + y, INFINITY)
+            if border < x_until and border <= y_until and border < INFINITY:
+                return False
+            if x_until <= y_until:
+                if x_until == INFINITY:
+                    return True
+                i += 1
+            else:
+                j += 1
+
     def arcs(self, text: str, at: int) -> tuple[str, ...]:
         """Arcs of the piece transducer and the byte fallback that leave ``at``, longest first."""
         key = text[at : at + AHEAD]
@@ -115,11 +172,12 @@ class Transducer:
 
     def finite_path(self, text: str) -> list[str]:
         """The one path of finite weight: states that lead nowhere are left by the way they came."""
-        size, pairs, path, at, last = len(text), self.pairs, [], 0, ""
+        size, pairs, ahead, path, at, last = len(text), self.pairs, self.ahead, [], 0, ""
         dead: set[tuple[int, str]] = set()
         while at < size:
-            for piece in self.arcs(text, at):
-                lasts = pairs.get((last, piece))
+            after = pairs.get(last) or pairs.setdefault(last, {})
+            for piece in ahead.get(text[at : at + AHEAD]) or self.arcs(text, at):
+                lasts = after.get(piece)
                 if lasts is None:
                     lasts = self.lasts(last, piece)
                 if lasts and (not dead or (at + len(piece), piece) not in dead):
