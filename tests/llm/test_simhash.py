@@ -90,24 +90,29 @@ def test_clouds_lose_no_link(spark):
     assert len(want) > 3
 
 
-def test_no_close_pair_is_discarded_or_kept_apart():
+def test_no_close_pair_is_discarded_or_kept_apart(spark):
     random_ = np.random.default_rng(4)
     a = random_.integers(0, 2**64, 2000, np.uint64)
     b = a.copy()
     for _ in range(4):
         b ^= np.uint64(1) << random_.integers(0, 64, 2000).astype(np.uint64)
-    (local_a, whole_a), (local_b, whole_b) = map(simhash.distance_rows, (a, b))
-    assert (np.abs(whole_a.astype(int) - whole_b) <= 4).all()
-    assert (simhash.bucket_keys(local_a) == simhash.bucket_keys(local_b)).any(axis=1).all()
     other = random_.integers(0, 2**64, 2000, np.uint64)
-    (local_o, whole_o) = simhash.distance_rows(other)
-    assert (np.abs(whole_a.astype(int) - whole_o).max(axis=1) <= 4).mean() < 0.02
-    assert (simhash.bucket_keys(local_a) == simhash.bucket_keys(local_o)).any(axis=1).mean() < 0.01
+    keys = [simhash.bucket_keys(simhash.block_distances(x)) for x in (a, b, other)]
+    assert (keys[0] == keys[1]).any(axis=1).all()
+    assert (keys[0] == keys[2]).any(axis=1).mean() < 0.01
+
+    frame = spark.createDataFrame([(p,) for p in np.concatenate([a, b, other]).view(np.int64).tolist()], "print long")
+    rows = simhash.with_distances(frame).collect()
+    lanes = {r["print"]: np.array([r.near, r.far], np.int64).view(np.uint8).astype(int) for r in rows}
+    near_a, near_b, near_o = (np.array([lanes[p] for p in x.view(np.int64).tolist()]) for x in (a, b, other))
+    assert (near_a == np.bitwise_count(a[:, None] ^ simhash.OF_ALL[None])).all()
+    assert (np.abs(near_a - near_b) <= 4).all()
+    assert (np.abs(near_a - near_o).max(axis=1) <= 4).mean() < 0.02
 
 
 def test_distances_of_a_block_tell_its_values_apart():
     for b in range(simhash.BLOCKS):
         low, high = 64 * b // simhash.BLOCKS, 64 * (b + 1) // simhash.BLOCKS
         values = np.arange(1 << (high - low), dtype=np.uint64) << np.uint64(low)
-        local, _ = simhash.distance_rows(values)
+        local = simhash.block_distances(values)
         assert len(np.unique(local[:, b], axis=0)) == len(values)

@@ -111,12 +111,10 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return map_rows(documents.select("doc_id", "text"), "doc_id long, print long", work, "text")
 
 
-def distance_rows(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distances of fingerprints to the references: those of blocks less that to zero, and the others."""
+def block_distances(prints: np.ndarray) -> np.ndarray:
+    """Distances of fingerprints to each block's references, less that to the zero fingerprint."""
     to_blocks = np.bitwise_count(prints[:, None, None] ^ OF_BLOCKS[None])
-    to_zero = np.bitwise_count(prints)[:, None, None]
-    to_all = np.bitwise_count(prints[:, None] ^ OF_ALL[None])
-    return to_blocks.astype(np.int64) - to_zero, to_all
+    return to_blocks.astype(np.int64) - np.bitwise_count(prints)[:, None, None]
 
 
 def bucket_keys(local: np.ndarray) -> np.ndarray:
@@ -128,23 +126,29 @@ def bucket_keys(local: np.ndarray) -> np.ndarray:
     return keys
 
 
-def distance_table(prints: DataFrame) -> DataFrame:
-    """bucket, print, near and far: a row per bucket, with the distances to OF_ALL as bytes of two
-    integers."""
+def bucket_rows(prints: DataFrame) -> DataFrame:
+    """bucket and print: a row for each of a fingerprint's buckets."""
 
     def work(part):
         found = part.column("print").to_numpy(zero_copy_only=False).view(np.uint64)
-        local, whole = distance_rows(found)
-        lanes = whole.astype(np.uint8).view(np.int64).reshape(len(found), 2)
-        times = len(CHOICES)
-        return (
-            pa.array(bucket_keys(local).reshape(-1).view(np.int64)),
-            pa.array(np.repeat(found.view(np.int64), times)),
-            pa.array(np.repeat(lanes[:, 0], times)),
-            pa.array(np.repeat(lanes[:, 1], times)),
-        )
+        keys = bucket_keys(block_distances(found))
+        prints = np.repeat(found.view(np.int64), len(CHOICES))
+        return pa.array(keys.reshape(-1).view(np.int64)), pa.array(prints)
+
+    return map_rows(prints.select("print"), "bucket long, print long", work)
 
-    return map_rows(prints.select("print"), "bucket long, print long, near long, far long", work)
+
+def with_distances(prints: DataFrame) -> DataFrame:
+    """Rows with a fingerprint and its distances to OF_ALL, as the bytes of near and far."""
+    signed = OF_ALL.view(np.int64).tolist()
+    columns = {}
+    for name, references in (("near", signed[:8]), ("far", signed[8:])):
+        parts = [
+            f"shiftleft(CAST(bit_count(print ^ CAST('{r}' AS BIGINT)) AS BIGINT), {8 * i})"
+            for i, r in enumerate(references)
+        ]
+        columns[name] = F.expr(" | ".join(parts))
+    return prints.withColumns(columns)
 
 
 def _close(a: str, b: str) -> str:
@@ -168,16 +172,17 @@ def _named(table: DataFrame, prefix: str) -> DataFrame:
 def links(prints: DataFrame) -> DataFrame:
     """node and component of each fingerprint that differs from another in MOST bits or fewer; a
     component is named by its least fingerprint. ``prints`` has each fingerprint once."""
-    buckets = written(distance_table(prints), "distances")
-    shared = written(
-        buckets.groupBy("bucket")
-        .agg(F.min("print").alias("center"), F.max("print").alias("last"))
-        .where("center <> last")
-        .select(F.col("bucket").alias("shared_bucket"), "center"),
-        "buckets",
-    )
+    buckets = written(bucket_rows(prints), "buckets")
+    shared = buckets.groupBy("bucket").count().where("count > 1")
+    # Written, so that the join deals out both of its sides and Spark can split a large bucket; and by
+    # merging at every size, as shared buckets grow with the input.
+    shared = written(shared.select(F.col("bucket").alias("shared")), "shared").hint("merge")
+    shared = written(buckets.join(shared, F.col("bucket") == F.col("shared"), "left_semi"), "shared")
+    least = shared.groupBy("bucket").agg(F.min("print").alias("center"))
+    least = written(least.withColumnRenamed("bucket", "of_bucket"), "centers")
     members = written(
-        buckets.join(shared, buckets.bucket == shared.shared_bucket).drop("shared_bucket"), "members"
+        with_distances(shared.join(least, shared.bucket == least.of_bucket).drop("of_bucket")),
+        "distances",
     )
     centers = _named(members.where("print = center").select("bucket", "print", "near", "far"), "c_")
     stars = (
