@@ -65,5 +65,15 @@ def odd_amounts(trips: DataFrame) -> DataFrame:
     })
 
 
+def vast_amounts(trips: DataFrame) -> DataFrame:
+    """The trips with totals in cents, some just below what a bigint takes and some beyond it."""
+    total = """CASE WHEN pickup_hour = 3 AND trip_id % 40 = 9 THEN 9.1e18D
+        WHEN pickup_hour = 5 AND trip_id % 40 = 9 THEN pow(2, 70)
+        WHEN pickup_hour = 7 AND trip_id % 40 = 9 THEN pow(2, 997)
+        ELSE trip_id % 100000 / 100D END"""
+    hour = f"hour({YELLOW.pickup_column})"
+    return trips.withColumn("total_amount", F.expr(total.replace("pickup_hour", hour)))
+
+
 def trips(spark: SparkSession, sf_dir: str, spec: TripSpec = YELLOW) -> DataFrame:
     return trips_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), spec)

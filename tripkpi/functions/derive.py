@@ -12,9 +12,14 @@ from tripkpi.spec import OTHER_PAYMENT, TripSpec
 
 
 def _seconds(ts: str) -> str:
-    """Whole seconds since 1970 on the wall clock."""
-    day = f"CAST(unix_date(CAST({ts} AS DATE)) AS BIGINT)"
-    return f"(86400L * {day} + 3600 * hour({ts}) + 60 * minute({ts}) + second({ts}))"
+    """Whole seconds on the wall clock since the year 1, so that fractions are cut off downwards."""
+    return f"CAST(CAST({ts} - TIMESTAMP_NTZ '0001-01-01' AS INTERVAL SECOND) AS BIGINT)"
+
+
+def trip_seconds(spec: TripSpec) -> str:
+    """Whole seconds from pick-up to drop-off."""
+    times = (spec.dropoff_column, spec.pickup_column)
+    return "({} - {})".format(*[_seconds(f"CAST({ts} AS TIMESTAMP_NTZ)") for ts in times])
 
 
 def trip_columns(spec: TripSpec) -> dict[str, str]:
@@ -30,7 +35,7 @@ def trip_columns(spec: TripSpec) -> dict[str, str]:
     return {
         "pickup_ts": pickup,
         "dropoff_ts": dropoff,
-        "duration_min": f"({_seconds(dropoff)} - {_seconds(pickup)}) / 60",
+        "duration_min": f"{trip_seconds(spec)} / 60",
         "pickup_date": f"CAST({pickup} AS DATE)",
         "pickup_hour": f"hour({pickup})",
     }

@@ -8,8 +8,10 @@ are put together as decimals and rounded once, half away from zero, by whole-num
 this depends on ANSI mode.
 
 A value's fraction is that of the double, to the nearest billionth. Values that are not finite have no
-whole part; they are summed apart as doubles, where order does not matter, and decide the result. The
-same holds for what no bigint can take, 9.2e18 and more.
+whole part; they are summed apart as doubles, where order does not matter, and decide the result. What
+no bigint can take, 9.2e18 and more, is summed apart as well, and the exact sum of all other values is
+added to it once, at the end. Doubles of that size are whole thousands apart, so only they can make
+such a sum depend on their order, in its last digits.
 """
 
 from __future__ import annotations
@@ -105,12 +107,16 @@ class Measure:
 
     def total(self) -> str:
         """Sum rounded to two places; null where no row has a value."""
-        return self._pick(_rounded(self.exact(), _decimal(str(self.scale)), "100"), self.rest)
+        return self._pick(_rounded(self.exact(), _decimal(str(self.scale)), "100"), self.loose())
 
     def mean(self) -> str:
         """Mean of the values that are there, rounded to two places."""
         count = _decimal(f"{_decimal(self.seen)} * {self.scale}")
-        return self._pick(_rounded(self.exact(), count, "100"), f"{self.rest} / {self.seen}")
+        return self._pick(_rounded(self.exact(), count, "100"), f"{self.loose()} / {self.seen}")
+
+    def loose(self) -> str:
+        """The sum as a double, with the values that have no parts; null if there are none of those."""
+        return f"((CAST({self.exact()} AS DOUBLE) / {self.scale} + {self.rest} / {self.per_one}))"
 
     def _pick(self, exact: str, loose: str) -> str:
         return (
@@ -125,11 +131,11 @@ def percent_of(part: Measure, whole: Measure) -> str:
     Both have to be counted in the same units.
     """
     exact = _rounded(part.exact(), whole.exact(), "10000")
-    loose = (
-        f"100 * coalesce({part.rest}, CAST({part.exact()} AS DOUBLE))"
-        f" / coalesce({whole.rest}, CAST({whole.exact()} AS DOUBLE))"
-    )
-    positive = f"coalesce({whole.rest} > 0, {whole.exact()} > 0)"
+    sums = [
+        f"coalesce({m.loose()}, CAST({m.exact()} AS DOUBLE) / {m.scale})" for m in (part, whole)
+    ]
+    loose = f"100 * {sums[0]} / {sums[1]}"
+    positive = f"coalesce({whole.loose()} > 0, {whole.exact()} > 0)"
     return (
         f"CASE WHEN {positive} THEN CASE "
         f"WHEN {part.seen} = 0 THEN NULL "
