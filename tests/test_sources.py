@@ -3,12 +3,15 @@ from trips import SPEC, frame, trip
 
 from tripkpi.operators import quality
 from tripkpi.sources import (
+    file_sample,
     hash_sample,
+    read_by_layout,
     read_first_available,
     read_trips,
     reload_clean,
     row_sample,
     sample_trips,
+    unite,
     write_clean,
 )
 
@@ -91,3 +94,46 @@ def test_clean_set_on_disk(spark, tmp_path, by_date):
     assert dict(back.dtypes) == dict(cleaned.dtypes)
     assert back.select(cleaned.columns).exceptAll(cleaned).count() == 0
     assert back.count() == 20
+
+
+def test_a_file_sample_draws_copies_apart_and_alike_in_each_pass(spark, tmp_path):
+    rows = spark.range(0, 20_000, 1, 1).selectExpr("7 AS trip_id", "'x' AS v")
+    rows.write.parquet(str(tmp_path / "a"))
+    stored = read_trips(spark, str(tmp_path / "a"))
+    drawn = file_sample(stored, 0.1)
+    assert drawn.columns == stored.columns
+    assert 1800 < drawn.count() < 2200
+    places = "_metadata.file_name", "_metadata.row_index"
+    keys = sorted(map(tuple, drawn.select(*places).collect()))
+    with_small_splits = spark.newSession()
+    with_small_splits.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    again = file_sample(read_trips(with_small_splits, str(tmp_path / "a")), 0.1)
+    assert sorted(map(tuple, again.select(*places).collect())) == keys
+    (tmp_path / "a").rename(tmp_path / "b")
+    moved = file_sample(read_trips(spark, str(tmp_path / "b")), 0.1)
+    assert sorted(map(tuple, moved.select(*places).collect())) == keys
+    assert file_sample(moved, 1.0).count() == len(keys)
+    other = file_sample(read_trips(spark, str(tmp_path / "b")), 0.1, seed=1)
+    assert sorted(map(tuple, other.select(*places).collect())) != keys
+
+
+def test_layouts_are_read_together_and_united_by_name(spark, tmp_path):
+    months = {
+        "a": "SELECT 1 AS id, 2 AS passenger_count, date'2024-01-02' AS at",
+        "b": "SELECT 3L AS id, 4D AS Passenger_Count, timestamp_ntz'2024-01-02 03:00:00' AS at, 5 AS fee",
+        "c": "SELECT 6 AS id, 7 AS passenger_count, date'2024-01-03' AS at",
+    }
+    uris = []
+    for month, sql in months.items():
+        uris.append(str(tmp_path / month))
+        spark.sql(sql).write.parquet(uris[-1])
+    tables = read_by_layout(spark, uris)
+    assert sorted(t.count() for t in tables) == [1, 2]
+    table = unite(tables)
+    assert dict(table.dtypes) == {"id": "bigint", "passenger_count": "double", "at": "timestamp_ntz", "fee": "int"}
+    got = sorted(map(tuple, table.select("id", "passenger_count", "fee").collect()))
+    assert got == [(1, 2.0, None), (3, 4.0, 5), (6, 7.0, None)]
+    assert unite(tables[:1]).columns == tables[0].columns
+    text = spark.sql("SELECT 'one' AS id")
+    with pytest.raises(ValueError, match="'id' is stored as"):
+        unite([*tables, text])
