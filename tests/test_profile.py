@@ -66,3 +66,21 @@ def test_copies_of_one_row_are_counted(spark):
     table = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k", "0D AS v")
     kinds = [row["value"] for row in profile.duplicate_summary(table).collect()]
     assert kinds == [3000, 2001, 999]
+
+
+def test_duplicates_by_digest(spark):
+    rows = [(None, "a", 1.0), ("a", None, 1.0), ("a", None, 1.0), (None, None, None), (None, None, None)]
+    rows += [("x", "y", 0.0), ("x", "y", -0.0), ("x", "y", float("nan")), ("x", "y", float("nan")), ("y", "x", 0.0)]
+    table = spark.createDataFrame(rows + [("hot", "row", 2.0)] * 500, "a string, b string, c double")
+    flagged = profile.row_kinds(table, hot="a = 'hot'", named="a IS NOT NULL").first()
+    assert tuple(flagged) == (510, 7, 1, 5)
+    assert tuple(profile.row_kinds(table.limit(0), hot="true").first()) == (0, 0, 0)
+    assert tuple(profile.row_kinds(table.select(), all="true").first()) == (510, 1, 1)
+
+
+def test_equal_digests_of_different_rows_do_no_harm(spark, monkeypatch):
+    monkeypatch.setattr(profile, "_digests", lambda columns: ["1L AS __h1", "id % 2 AS __h2"])
+    table = spark.range(30).union(spark.range(10))
+    assert tuple(profile.row_kinds(table, small="id < 5").first()) == (40, 30, 5)
+    monkeypatch.setattr(profile, "MOST_DIGESTS", 0)
+    assert tuple(profile.row_kinds(table, small="id < 5").first()) == (40, 30, 5)

@@ -4,6 +4,7 @@ import pytest
 from trips import SPEC, frame, trip
 
 from tripkpi import fixtures
+from tripkpi.functions import derive
 from tripkpi.operators import profile, quality
 
 GOLDEN = {
@@ -123,3 +124,27 @@ def test_empty_input(spark):
 def test_known_counts(spark, scale):
     table = fixtures.trips(spark, f"/root/testdata/{scale}")
     assert tuple(quality.quality_counts(table, SPEC).first()) == GOLDEN[scale]
+
+
+def test_duration_is_the_difference_of_whole_seconds(spark):
+    cases = [
+        (datetime(2024, 1, 10, 8, 0, 0, 900_000), datetime(2024, 1, 10, 8, 1, 0, 100_000), 60),
+        (datetime(2024, 1, 10, 8, 0, 0, 100_000), datetime(2024, 1, 10, 8, 0, 0, 900_000), 0),
+        (datetime(1969, 12, 31, 23, 59, 59, 500_000), datetime(1970, 1, 1, 0, 0, 0, 500_000), 1),
+        (datetime(1600, 2, 28, 0, 0, 0, 1), datetime(1600, 3, 1), 2 * 86400),
+        (datetime(2024, 3, 10, 1, 30), datetime(2024, 3, 10, 3, 30), 7200),
+    ]
+    rows = [trip(str(i), tpep_pickup_datetime=a, tpep_dropoff_datetime=b) for i, (a, b, _) in enumerate(cases)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = {r.note: r.duration_min for r in derive(frame(spark, rows), SPEC).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {str(i): s / 60 for i, (_, _, s) in enumerate(cases)}
+
+
+def test_bounds_of_duration(spark):
+    rows = [trip(str(m), minutes=m) for m in (-1, 0, 1 / 60, 1440, 1440 + 1 / 60, 3000)]
+    kept = {r.note for r in quality.clean(frame(spark, rows), SPEC).collect()}
+    assert kept == {str(1 / 60), "1440"}

@@ -14,8 +14,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripkpi.functions.derive import payment_label
+from tripkpi.functions.derive import derive, payment_label
 from tripkpi.functions.exact import Measure, percent_of
+from tripkpi.operators.quality import COPIES, KINDS, VALID
+from tripkpi.spec import TripSpec
 
 TOTAL = Measure("total", "total_amount")
 DISTANCE = Measure("distance", "trip_distance")
@@ -67,6 +69,43 @@ def rollup(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return grouped.agg(F.expr(f"grouping(pickup_date) = 1 AS {IS_PLACE}"), *_sums(MEASURES))
 
 
+# Columns of a judged rollup beside those of a rollup.
+ORIGINAL, DISTINCT = "original_rows", "distinct_rows"
+
+
+def judged_parts(judged: DataFrame, spec: TripSpec, by: Sequence[str] = ()) -> DataFrame:
+    """Judged rows as keys and summable parts. Rejected rows have no keys but ``by``: they are counted
+    only, and their dates are anything."""
+    own = [*by, VALID, COPIES, KINDS]
+    keys = [f"IF({VALID}, {key}, NULL) AS {key}" for key in (*TIME_KEYS, *PLACE_KEYS)]
+    parts = [part for measure in MEASURES for part in measure.parts()]
+    return derive(judged, spec).selectExpr(*own, *keys, f"1L AS {TRIPS}", *parts)
+
+
+def judged_rollup(parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The rollup of valid and of rejected rows, with the rows and distinct rows behind each line."""
+    sets = [[*by, VALID, *TIME_KEYS], [*by, VALID, *PLACE_KEYS]]
+    grouped = parts.groupingSets(sets, *by, VALID, *TIME_KEYS, *PLACE_KEYS)
+    counts = (f"sum({COPIES}) AS {ORIGINAL}", f"sum({KINDS}) AS {DISTINCT}")
+    place = F.expr(f"grouping(pickup_date) = 1 AS {IS_PLACE}")
+    return grouped.agg(place, *map(F.expr, counts), *_sums(MEASURES))
+
+
+def valid_rollup(judged: DataFrame) -> DataFrame:
+    """The rollup of the clean set alone, as ``rollup`` gives it."""
+    return judged.filter(VALID).drop(VALID, ORIGINAL, DISTINCT)
+
+
+def judged_counts(judged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """original_rows, distinct_rows and clean_rows from a judged rollup."""
+    sums = (
+        f"coalesce(sum({ORIGINAL}), 0L) AS {ORIGINAL}",
+        f"coalesce(sum({DISTINCT}), 0L) AS {DISTINCT}",
+        f"coalesce(sum(IF({VALID}, {TRIPS}, 0L)), 0L) AS clean_rows",
+    )
+    return judged.filter(f"NOT {IS_PLACE}").groupBy(*by).agg(*map(F.expr, sums))
+
+
 def _summed(
     trips: DataFrame, keys: Sequence[str], by: Sequence[str], measures: Sequence[Measure]
 ) -> DataFrame:

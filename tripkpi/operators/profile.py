@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripkpi.functions.text import literal, name, record, rows
+from tripkpi.session import settle
 
 TOTAL = "total_rows"
 
@@ -34,6 +35,9 @@ NUMERIC_SCHEMA = "column string, count bigint, mean double, stddev double, min d
 STATISTICS_AT_ONCE = 6
 COUNTS_AT_ONCE = 32
 
+# Digests of repeated rows that are broadcast, at 16 bytes each; more are joined by merging.
+MOST_DIGESTS = 100_000
+
 # The columns of the preview.
 PREVIEW_COLUMNS = (
     "pickup_ts",
@@ -305,17 +309,59 @@ def audit(df: DataFrame, rules: Mapping[str, str], suffix: str = "") -> DataFram
     return rule_table(df.selectExpr(_COUNT, *_violations(rules)), rules, suffix)
 
 
-def row_kinds(df: DataFrame, *counts: str) -> DataFrame:
-    """original_rows, distinct_rows and any further counts over distinct rows, as one row.
+def _digests(columns: list[str]) -> list[str]:
+    """Two 64-bit hashes of a row that have nothing in common. Hashing skips nulls, so which columns are
+    null is hashed too."""
+    named = [name(c) for c in columns]
+    empty = [
+        " + ".join(f"shiftleft(CAST({c} IS NULL AS BIGINT), {i})" for i, c in enumerate(some))
+        for some in batched(named, 63)
+    ]
+    first, second = [*empty, *named], ["'second'", *reversed(named), *empty]
+    return [f"xxhash64({', '.join(h)}) AS __h{i}" for i, h in enumerate((first, second), start=1)]
+
 
-    Counting copies per distinct row takes one scan and one shuffle for all of them. Copies are
-    merged before the shuffle, so a row that makes up a third of the table costs no more than any
-    other.
+def row_kinds(df: DataFrame, **flags: str) -> DataFrame:
+    """original_rows, distinct_rows and, for each flag, the distinct rows that it holds for, as one row.
+
+    Rows are grouped by digest first: some 30 bytes of each are shuffled, not the row. A digest that
+    comes once is one distinct row. Those that come more than once are settled, which takes a job, and
+    their rows, only theirs, are grouped by all columns, so equal digests of different rows do no harm.
+    Up to MOST_DIGESTS of them are broadcast to pick these rows out before any shuffle; more are joined
+    by merging. Copies are merged before each shuffle, so a row that makes up a third of the table costs
+    no more than any other.
     """
-    kinds = df.groupBy(*[name(c) for c in df.columns]).agg(F.expr("count(*) AS __copies"))
-    return kinds.selectExpr(
-        "coalesce(sum(__copies), 0L) AS original_rows", "count(*) AS distinct_rows", *counts
+    if not df.columns:
+        counts = [f"least(count(*), 1L) AS {c}" for c in ("distinct_rows", *flags)]
+        return df.selectExpr("count(*) AS original_rows", *counts)
+    names = ("original_rows", "distinct_rows", *flags)
+    held = [f"coalesce({held}, false) AS __{flag}" for flag, held in flags.items()]
+    counted = [F.expr("count(*) AS __copies"), *[F.expr(f"bool_or(__{f}) AS __{f}") for f in flags]]
+    digested = df.selectExpr("*", *_digests(df.columns))
+    digests = digested.selectExpr("__h1", "__h2", *held).groupBy("__h1", "__h2").agg(*counted)
+    # Digests that come once become one line; the others keep theirs, whose distinct rows are open.
+    open_ = "__copies > 1"
+    lines = (
+        digests.selectExpr(
+            f"IF({open_}, __h1, NULL) AS __a1", f"IF({open_}, __h2, NULL) AS __a2", "__copies AS original_rows",
+            *[f"IF({open_}, 0L, CAST({h} AS BIGINT)) AS {c}" for c, h in
+              (("distinct_rows", "true"), *[(f, f"__{f}") for f in flags])],
+        )
+        .groupBy("__a1", "__a2")
+        .agg(*[F.expr(f"sum({c}) AS {c}") for c in names])
     )
+    lines = settle(lines)
+    again = lines.where("__a1 IS NOT NULL").select("__a1", "__a2")
+    n_again = again.count()
+    total = lines.select(*names)
+    if n_again:
+        again = F.broadcast(again) if n_again <= MOST_DIGESTS else again.hint("merge")
+        repeated = digested.join(again, F.expr("__h1 = __a1 AND __h2 = __a2"), "left_semi")
+        columns = [name(c) for c in df.columns]
+        kinds = repeated.selectExpr(*columns, *held).groupBy(*columns).agg(*counted)
+        per_flag = [f"count_if(__{flag}) AS {flag}" for flag in flags]
+        total = total.union(kinds.selectExpr("0L AS original_rows", "count(*) AS distinct_rows", *per_flag))
+    return total.selectExpr(*[f"coalesce(sum({c}), 0L) AS {c}" for c in names])
 
 
 def duplicate_summary(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkpi.functions.derive import derive, trip_columns
+from tripkpi.functions.derive import derive, trip_columns, trip_seconds
 from tripkpi.functions.text import literal, name, record, rows
 from tripkpi.operators.profile import row_kinds
 from tripkpi.spec import (
@@ -61,15 +61,18 @@ def validity(spec: TripSpec, period: str | None = None) -> str:
     A drop-off after the pick-up is implied: whole seconds that differ by at least one, which is
     what a positive duration means, cannot come in any other order. So are times that are there.
     Plain comparisons come first, as they spare most bad rows the casts of the others.
+
+    Times are named as few times as possible: where they are expressions, the optimizer writes each out
+    once per mention, and the JVM does not compile methods of more than 8,000 bytes. So the duration's
+    two bounds are one condition, that it falls into the bucket from the first second to the last.
     """
-    minutes = trip_columns(spec)["duration_min"]
     conditions = (
         period or in_period(spec),
         f"passenger_count BETWEEN {MIN_PASSENGERS} AND {MAX_PASSENGERS}",
         f"trip_distance > 0 AND trip_distance <= {MAX_DISTANCE}",
         "fare_amount >= 0",
         "total_amount >= 0",
-        f"{minutes} > 0 AND {minutes} <= {MAX_MINUTES}",
+        f"width_bucket({trip_seconds(spec)}, 1, {60 * MAX_MINUTES + 1}, 1) = 1",
     )
     return " AND ".join(conditions)
 
@@ -95,6 +98,28 @@ def clean(df: DataFrame, spec: TripSpec, period: str | None = None) -> DataFrame
     return derive(valid.dropDuplicates(), spec)
 
 
+# Columns of judged rows: rows and distinct rows that one stands for, and whether cleaning keeps it.
+COPIES, KINDS, VALID = "__copies", "__kinds", "__valid"
+
+
+def judged_rows(df: DataFrame, spec: TripSpec, period: str | None = None) -> DataFrame:
+    """Distinct trips, valid or not, with COPIES, KINDS and VALID.
+
+    One scan and one shuffle of the whole rows are enough for the clean set, the rejected rows and the
+    duplicates. Rows that differ only in raw columns which derived ones replace are the same trip; they
+    are merged by a second shuffle, which tables without such columns do not have.
+    """
+    kinds = df.groupBy(*[name(c) for c in df.columns]).agg(F.expr(f"count(*) AS {COPIES}"))
+    replaced = replaced_columns(df, spec)
+    if replaced:
+        kept = [name(c) for c in df.columns if c not in replaced]
+        sums = (f"sum({COPIES}) AS {COPIES}", f"count(*) AS {KINDS}")
+        kinds = kinds.groupBy(*kept).agg(*map(F.expr, sums))
+    else:
+        kinds = kinds.selectExpr("*", f"1L AS {KINDS}")
+    return kinds.selectExpr("*", f"coalesce({validity(spec, period)}, false) AS {VALID}")
+
+
 def distinct_rejects(df: DataFrame, spec: TripSpec, period: str | None = None) -> DataFrame:
     """Distinct rows that cleaning does not keep. Copies of a row are all kept or all rejected, so
     these and the distinct valid rows together are the distinct rows of the input."""
@@ -116,9 +141,9 @@ def merged_by_cleaning(df: DataFrame, spec: TripSpec) -> DataFrame:
 
 
 def quality_counts(df: DataFrame, spec: TripSpec) -> DataFrame:
-    """original_rows, distinct_rows and clean_rows as one row, from one scan and one shuffle; from
-    one more if a raw column has a derived column's name."""
-    counts = row_kinds(df, f"count(CASE WHEN {validity(spec)} THEN 1 END) AS clean_rows")
+    """original_rows, distinct_rows and clean_rows as one row; one more shuffle is needed if a raw
+    column has a derived column's name."""
+    counts = row_kinds(df, clean_rows=validity(spec))
     if not replaced_columns(df, spec):
         return counts
     names = ("original_rows", "distinct_rows", "clean_rows")
