@@ -20,9 +20,8 @@ def run(spark):
     return job.kpis_of(frame(spark, rows), SPEC, "somewhere")
 
 
-def written(folder):
-    (part,) = folder.glob("*.json")
-    return json.loads(part.read_text())
+def written(path):
+    return json.loads(path.read_text())
 
 
 def test_document_is_plain_json_with_nulls_kept(run, tmp_path):
@@ -114,10 +113,65 @@ def test_empty_input_gives_a_whole_document(spark, tmp_path):
 
 def test_a_broken_document_raises(spark, run, tmp_path):
     bundle.write_bundle(run.bundle, str(tmp_path / "doc"))
-    (part,) = (tmp_path / "doc").glob("*.json")
-    text = part.read_text()
+    text = (tmp_path / "doc").read_text()
     for name, broken in (("cut", text[: len(text) // 2]), ("typed", text.replace('"trips":', '"trips":[1],"x":', 1))):
         (tmp_path / name).mkdir()
         (tmp_path / name / "a.json").write_text(broken)
         with pytest.raises(Exception, match="(?i)malformed|parse"):
             bundle.read_bundle(spark, str(tmp_path / name)).collect()
+
+
+def test_a_document_is_one_object_and_replaces_the_one_before(spark, run, tmp_path):
+    path = tmp_path / "kpis" / "doc.json"
+    bundle.write_bundle(run.bundle, str(path))
+    first = path.read_text()
+    broken = run.bundle.selectExpr("*", "raise_error('no') AS more")
+    with pytest.raises(Exception, match="no"):
+        bundle.write_bundle(broken, str(path))
+    assert path.read_text() == first
+    bundle.write_bundle(run.bundle.limit(1).selectExpr("metadata"), f"file://{path}")
+    assert list(written(path)) == ["metadata"]
+    left = sorted(p.name for p in path.parent.iterdir() if not p.name.endswith(".crc"))
+    assert left == ["doc.json"]
+
+
+def test_a_folder_of_an_earlier_version_is_replaced(spark, run, tmp_path):
+    path = tmp_path / "doc.json"
+    run.bundle.write.json(str(path))
+    bundle.write_bundle(run.bundle, str(path))
+    assert written(path)["kpi_resumen"][0]["total_trips"] == 3
+    assert bundle.read_bundle(spark, str(path)).count() == 1
+
+
+BY = ("color", "year", "month")
+
+
+def periods(run, month):
+    return run.bundle.selectExpr("'yellow' AS color", "2024 AS year", f"{month} AS month", "*")
+
+
+def test_sections_of_periods_are_a_table(spark, run, tmp_path):
+    uri = str(tmp_path / "kpis")
+    both = periods(run, 1).union(periods(run, 2))
+    bundle.write_bundle(both, uri, BY)
+    bundle.write_sections(both, uri, BY)
+    back = bundle.read_bundle(spark, uri)
+    assert back.count() == 2
+    for name in bundle.SECTIONS:
+        want, got = bundle.section(back, name), bundle.read_section(spark, uri, name, BY)
+        columns = got.columns
+        assert sorted(columns) == sorted(want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(columns).collect()))
+        one = bundle.read_section(spark, uri, name, BY, "month = 2")
+        assert 2 * one.count() == got.count()
+    with pytest.raises(KeyError, match="kpi_nothing"):
+        bundle.read_section(spark, uri, "kpi_nothing", BY)
+
+
+def test_a_section_that_became_empty_replaces_an_older_one(spark, run, tmp_path):
+    uri = str(tmp_path / "kpis")
+    bundle.write_sections(periods(run, 1).union(periods(run, 2)), uri, BY)
+    empty = job.kpis_of(frame(spark, []), SPEC, "nowhere")
+    bundle.write_sections(periods(empty, 1), uri, BY)
+    days = bundle.read_section(spark, uri, "kpi_por_dia", BY)
+    assert [tuple(r) for r in days.select(*BY).distinct().collect()] == [("yellow", 2024, 2)]

@@ -166,3 +166,41 @@ def test_shuffle_width_follows_the_input_of_each_run(spark, root):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     zone = "spark.sql.session.timeZone"
     assert wide.conf.get(zone) == spark.conf.get(zone)
+
+
+def test_a_full_run_on_a_bernoulli_sample(spark, root):
+    sources = [YELLOW.source_uri(root)]
+    run = job.run_batch(
+        spark, YELLOW, sources, f"{root}/sampled_clean", f"{root}/sampled_full.json", 0.5, sample="bernoulli"
+    )
+    got, short = facts(run), facts(job.run_kpis(spark, YELLOW, sources, f"{root}/s.json", 0.5, sample="bernoulli"))
+    assert got == short
+    assert 400 < got["original_rows"] < 620
+
+
+def test_months_of_other_layouts_are_as_if_run_alone(spark, tmp_path):
+    root, later = str(tmp_path), session_spec("yellow", 2024, 3)
+    trips = fixtures.trips(spark, "/root/testdata/sf0.001")
+    trips.write.parquet(YELLOW.source_uri(root))
+    moved = trips.selectExpr(
+        "* EXCEPT (passenger_count, tpep_pickup_datetime, tpep_dropoff_datetime)",
+        "tpep_pickup_datetime + INTERVAL '60' DAY AS tpep_pickup_datetime",
+        "tpep_dropoff_datetime + INTERVAL '60' DAY AS tpep_dropoff_datetime",
+        "CAST(passenger_count AS DOUBLE) AS Passenger_Count", "trip_id % 3 AS fee",
+        "trip_id % 2 AS duration_min",
+    )
+    # Rows that differ in the further column alone are different trips; one that a derived column
+    # replaces makes no difference.
+    moved = moved.union(moved.selectExpr("* EXCEPT (fee, duration_min)", "fee + 3", "duration_min"))
+    moved = moved.union(moved.selectExpr("* EXCEPT (duration_min)", "duration_min + 2"))
+    moved.write.parquet(later.source_uri(root))
+    job.run_periods(spark, [YELLOW, later], root, f"{root}/kpis")
+    together = bundle.read_bundle(spark, f"{root}/kpis")
+    for spec in (YELLOW, later):
+        alone = job.run_kpis(spark, spec, [spec.source_uri(root)], f"{root}/{spec.month}.json")
+        mine = together.filter(f"month = {spec.month}")
+        for part, table in alone.sections.items():
+            got, want = rows(bundle.section(mine, part).drop(*job.PERIOD)), rows(table)
+            if part == "kpi_calidad":
+                got, want = ([r for r in x if r[0] != "data_source_used"] for x in (got, want))
+            assert got == want, (spec, part)

@@ -10,8 +10,8 @@ import __spark_entry__ as entry_points
 from tripkpi import fixtures
 from tripkpi.fixtures import YELLOW
 from tripkpi.operators import kpis, profile, quality
-from tripkpi.plans import job
-from tripkpi.sources import read_trips, row_sample
+from tripkpi.plans import bundle, job
+from tripkpi.sources import file_sample, read_trips, row_sample
 from tripkpi.spec import TripSpec
 
 
@@ -98,10 +98,8 @@ def _periods_plan(spark, months):
     table = fixtures.trips(spark, "/root/testdata/sf0.001").selectExpr(
         "'yellow' AS color", "2024 AS year", f"trip_id % {months} + 1 AS month", "*"
     )
-    own = quality.in_own_period(spec)
-    parts = kpis.trip_parts(quality.clean(table, spec, own), job.PERIOD)
-    rejects = quality.distinct_rejects(table, spec, own).groupBy(*job.PERIOD).count()
-    return plan(kpis.rollup(parts, job.PERIOD)) + plan(rejects)
+    judged = quality.judged_rows(table, spec, quality.in_own_period(spec))
+    return plan(kpis.judged_rollup(kpis.judged_parts(judged, spec, job.PERIOD), job.PERIOD))
 
 
 def test_shuffles_do_not_grow_with_the_number_of_periods(spark):
@@ -112,5 +110,68 @@ def test_shuffles_do_not_grow_with_the_number_of_periods(spark):
 @pytest.mark.parametrize("name", sorted(query.__name__ for query in entry_points._QUERIES))
 def test_no_cross_joins_and_no_python_workers(spark, name):
     text = plan(entry_points.queries()[name](spark, "/root/testdata/sf0.001"))
-    for unwanted in ("Cartesian", "NestedLoop", "Python", "Pandas", "Broadcast"):
-        assert unwanted not in text
+    unwanted = ["Cartesian", "NestedLoop", "Python", "Pandas"]
+    # Duplicates broadcast digests whose number has been counted.
+    if name not in ("duplicate_summary", "kpi_quality"):
+        unwanted.append("Broadcast")
+    for word in unwanted:
+        assert word not in text
+
+
+def test_the_short_run_scans_once_and_shuffles_rows_once(stored):
+    parts = kpis.judged_parts(quality.judged_rows(stored[0], YELLOW), YELLOW)
+    text = plan(kpis.judged_rollup(parts))
+    assert len(re.findall(r"Scan parquet\s+\(\d+\)", text)) == 1
+    shuffles = re.findall(r"Arguments: hashpartitioning\((.*), \d+\)", text.split("Initial Plan")[0])
+    assert len([s for s in shuffles if "trip_id" in s]) == 1
+    assert len(shuffles) == 2
+
+
+def largest_method(spark, df):
+    """Bytes of the largest method that Spark generates for a plan."""
+    package = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    parts = getattr(package, "MODULE$").codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return max(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size()))
+
+
+def test_generated_methods_are_short_enough_to_be_compiled(spark):
+    still = spark.newSession()
+    still.conf.set("spark.sql.adaptive.enabled", "false")
+    trips = fixtures.trips(still, "/root/testdata/sf0.001")
+    cleaned = quality.clean(trips, YELLOW)
+    judged = kpis.judged_parts(quality.judged_rows(trips, YELLOW), YELLOW)
+    tables = {
+        "clean": cleaned,
+        "rejects": quality.distinct_rejects(trips, YELLOW),
+        "counts": quality.quality_counts(trips, YELLOW),
+        "rollup": kpis.rollup(cleaned),
+        "judged": kpis.judged_rollup(judged),
+        "audit": profile.audit(trips, quality.rules(YELLOW)),
+    }
+    sizes = {name: largest_method(spark, table) for name, table in tables.items()}
+    assert max(sizes.values()) < 8000, sizes
+
+
+def test_digests_are_shuffled_in_place_of_rows(stored):
+    text = plan(profile.duplicate_summary(stored[0]))
+    assert "BroadcastHashJoin LeftSemi" in text
+
+
+def test_a_file_sample_reads_no_column_for_it(stored):
+    text = plan(file_sample(stored[0]).select("fare_amount"))
+    (schema,) = re.findall(r"ReadSchema: struct<(.*)>", text)
+    # The row's place is counted, not stored.
+    assert schema == "fare_amount:double,_tmp_metadata_row_index:bigint"
+
+
+def test_a_section_of_a_period_reads_its_folders_alone(spark, tmp_path):
+    trips = fixtures.trips(spark, "/root/testdata/sf0.001")
+    run = job.kpis_of(trips, YELLOW, "x")
+    uri, by = str(tmp_path), ("color", "month")
+    table = run.bundle.selectExpr("'yellow' AS color", "1 AS month", "*")
+    bundle.write_sections(table, uri, by)
+    text = plan(bundle.read_section(spark, uri, "kpi_por_dia", by, "month = 1"))
+    (filters,) = re.findall(r"PartitionFilters: \[(.*)\]", text)
+    assert "section" in filters and "month" in filters
+    (schema,) = re.findall(r"ReadSchema: struct<(.*)>", text)
+    assert "pickup_date" in schema and "payment_type" not in schema and "metric" not in schema

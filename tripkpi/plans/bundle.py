@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripkpi.functions.text import literal, record, rows
+from tripkpi.sources.sinks import single_file
 from tripkpi.spec import TripSpec
 
 # Section names, column names and column order of the document.
@@ -140,14 +141,57 @@ def kpi_bundle(
 def write_bundle(bundle: DataFrame, uri: str, by: Sequence[str] = ()) -> None:
     """Write the document as JSON to any Hadoop-compatible store, keeping null fields.
 
-    With ``by`` each period has a folder, and only the folders of periods that are written are
-    replaced; each document is then written by one of several tasks.
+    Without ``by`` the document is one JSON object at ``uri`` itself. With ``by`` each period has a
+    folder, and only the folders of periods that are written are replaced; each document is then
+    written by one of several tasks.
     """
-    placed = bundle.repartition(*by) if by else bundle.coalesce(1)
-    writer = placed.write.mode("overwrite").option("ignoreNullFields", "false")
-    if by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by)
-    writer.json(uri)
+    if not by:
+        with single_file(bundle.sparkSession, uri) as folder:
+            bundle.coalesce(1).write.option("ignoreNullFields", "false").json(folder)
+        return
+    writer = bundle.repartition(*by).write.mode("overwrite").option("ignoreNullFields", "false")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by).json(uri)
+
+
+# Fixed value: where the tables of the sections are, below the documents of several periods.
+TABLES = "_sections"
+
+
+def write_sections(bundle: DataFrame, uri: str, by: Sequence[str]) -> None:
+    """The sections as a columnar table beside the documents, in a folder per section and period.
+
+    Documents are for exchange; who needs one section of many periods would have to parse all of them.
+    All sections are one table, with the columns that any of them has. Each section of each period has
+    a row without a position too, so a section that has become empty replaces an older one.
+    """
+    parts = []
+    for name in SECTIONS:
+        items = bundle.selectExpr(*by, f"posexplode({name}) AS (position, item)")
+        nothing = f"CAST(NULL AS {_type(SECTIONS[name])}) AS item"
+        filled = items.union(bundle.selectExpr(*by, "CAST(NULL AS INT) AS position", nothing))
+        parts.append(filled.selectExpr(f"{literal(name)} AS section", *by, "position", "item.*"))
+    table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    keys = ("section", *by)
+    writer = table.repartition(*keys).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
+    writer.parquet(f"{uri.rstrip('/')}/{TABLES}")
+
+
+def read_section(
+    spark: SparkSession, uri: str, name: str, by: Sequence[str], periods: str | None = None
+) -> DataFrame:
+    """One section of the documents below ``uri``, as ``section`` gives it, from the columnar table.
+
+    Only the folders of the section are read, and of those the ones that ``periods``, a condition on the
+    period columns, leaves.
+    """
+    if name not in SECTIONS:
+        raise KeyError(f"no section {name!r}; there are {sorted(SECTIONS)}")
+    fields = [f.name for f in _fields(SECTIONS[name])]
+    stored = spark.read.parquet(f"{uri.rstrip('/')}/{TABLES}").where(F.col("section") == name)
+    if periods:
+        stored = stored.where(periods)
+    return stored.where("position IS NOT NULL").select(*by, *fields)
 
 
 def read_bundle(spark: SparkSession, uri: str) -> DataFrame:

@@ -3,7 +3,7 @@
 What a run reads and moves, with N bytes of trips:
 
 * one pass for the profile: counts, nulls, statistics and rules; each column is read once, and a
-  sampled run, whose sample goes by all columns, scans once;
+  run on a sample by content, which goes by all columns, scans once;
 * one scan and a shuffle of the valid rows for the clean set, which is written;
 * one scan and a shuffle of the rejected rows to count the distinct ones. Copies of a row are either
   all valid or all rejected, so with the clean set this gives the duplicates of the whole input, and
@@ -11,8 +11,11 @@ What a run reads and moves, with N bytes of trips:
 * one scan of the needed columns of the written clean set for a rollup, from which all KPI tables
   are taken.
 
-A run over many periods does the same once per colour, with the period among the keys: the number of
-scans and shuffles does not depend on the number of periods.
+The short run writes no clean set, so it needs one scan and one shuffle in all: distinct rows carry
+how often they occur and whether they are valid into one rollup, from which come KPIs and counts.
+
+A run over many periods does so once per colour and column layout, with the period among the keys: the
+number of scans and shuffles does not depend on the number of periods.
 
 Nothing of the size of the input is cached. Profile row, counts and rollup are checkpointed, so
 losing an executor afterwards costs nothing. Runs that read by location have a session of their own,
@@ -31,23 +34,25 @@ from pyspark.sql import functions as F
 from tripkpi.functions.derive import payment_label
 from tripkpi.functions.text import literal, name, record, rows
 from tripkpi.operators import kpis, profile, quality
-from tripkpi.plans.bundle import kpi_bundle, run_metadata, write_bundle
+from tripkpi.plans.bundle import kpi_bundle, run_metadata, write_bundle, write_sections
 from tripkpi.session import run_session, settle
 from tripkpi.sources import (
     SAMPLE_SEED,
+    file_sample,
+    read_by_layout,
     read_first_available,
     read_trips,
     reload_clean,
     row_sample,
-    sample_trips,
+    unite,
     write_clean,
 )
 from tripkpi.spec import PAYMENT_LABELS, TripSpec
 
 PERIOD = ("color", "year", "month")
 
-# How a run's sample is drawn: by row content, the same in every pass, or row by row (Bernoulli).
-SAMPLES = {"content": row_sample, "bernoulli": sample_trips}
+# How a run's sample is drawn: by row content or row by row; either is the same in every pass.
+SAMPLES = {"content": row_sample, "bernoulli": file_sample}
 
 
 @dataclass(frozen=True)
@@ -64,23 +69,6 @@ def _stack(tables: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def _counts(
-    originals: DataFrame,
-    rejects: DataFrame,
-    rolled: DataFrame,
-    by: Sequence[str] = (),
-    merged: Sequence[DataFrame] = (),
-) -> DataFrame:
-    """original_rows, distinct_rows, clean_rows from what the passes counted."""
-    kept = kpis.trip_count(rolled, by)
-    none = kept.limit(0).selectExpr(*by, "0L AS merged_rows")
-    names = ("original_rows", "reject_rows", "clean_rows", "merged_rows")
-    sums = [F.expr(f"coalesce(sum({n}), 0L) AS {n}") for n in names]
-    summed = _stack([originals, rejects, kept, *(merged or [none])]).groupBy(*by).agg(*sums)
-    distinct = "clean_rows + merged_rows + reject_rows AS distinct_rows"
-    return summed.selectExpr(*by, "original_rows", distinct, "clean_rows")
-
-
 def _sections(
     rolled: DataFrame,
     counts: DataFrame,
@@ -111,18 +99,16 @@ def _input(
         return raw, source
     if sample not in SAMPLES:
         raise ValueError(f"sample must be one of {sorted(SAMPLES)}, got {sample!r}")
-    drawn = SAMPLES[sample](raw, sample_fraction, seed)
-    # Rows drawn one by one can differ between two passes; then the sample is written once.
-    return (settle(drawn) if sample == "bernoulli" else drawn), source
+    return SAMPLES[sample](raw, sample_fraction, seed), source
 
 
 def kpis_of(
     trips: DataFrame, spec: TripSpec, source: str, sample_fraction: float | None = None
 ) -> Run:
-    """KPIs and document of raw trips, without writing anything but checkpoints."""
-    rolled = settle(kpis.rollup(quality.clean(trips, spec)))
-    originals = trips.selectExpr("count(*) AS original_rows")
-    counts = settle(_all_counts(trips, spec, originals, rolled))
+    """KPIs and document of raw trips, without writing anything but a checkpoint."""
+    parts = kpis.judged_parts(quality.judged_rows(trips, spec), spec)
+    judged = settle(kpis.judged_rollup(parts))
+    rolled, counts = kpis.valid_rollup(judged), kpis.judged_counts(judged)
     sections = _sections(rolled, counts, literal(source), spec.payment_labels)
     metadata = run_metadata(trips.sparkSession, [(spec, source)], sample_fraction)
     return Run(source, sections, kpi_bundle(sections, metadata))
@@ -131,8 +117,14 @@ def kpis_of(
 def _all_counts(
     trips: DataFrame, spec: TripSpec, originals: DataFrame, rolled: DataFrame
 ) -> DataFrame:
+    """original_rows, distinct_rows, clean_rows from what the passes of a full run counted."""
     rejects = quality.distinct_rejects(trips, spec).selectExpr("count(*) AS reject_rows")
-    return _counts(originals, rejects, rolled, (), [quality.merged_by_cleaning(trips, spec)])
+    merged = quality.merged_by_cleaning(trips, spec)
+    stacked = _stack([originals, rejects, kpis.trip_count(rolled), merged])
+    names = ("original_rows", "reject_rows", "clean_rows", "merged_rows")
+    summed = stacked.selectExpr(*[f"coalesce(sum({n}), 0L) AS {n}" for n in names])
+    distinct = "clean_rows + merged_rows + reject_rows AS distinct_rows"
+    return summed.selectExpr("original_rows", distinct, "clean_rows")
 
 
 def run_kpis(
@@ -166,7 +158,9 @@ def run_batch(
     trips, source = _input(spark, sources, sample_fraction, sample, seed)
     spark = trips.sparkSession
     checks = quality.rules(spec)
-    wide = settle(profile.profile_pass(trips, checks, one_scan=sample_fraction is not None))
+    # A sample by content takes all columns for each pass; any other rows are read column by column.
+    one_scan = sample_fraction is not None and sample == "content"
+    wide = settle(profile.profile_pass(trips, checks, one_scan=one_scan))
     write_clean(quality.clean(trips, spec), clean_uri, by_date=clean_by_date)
     cleaned = reload_clean(spark, clean_uri)
     after = settle(profile.audit(cleaned, checks, "_after_cleaning"))
@@ -230,15 +224,18 @@ def run_for(
 def trips_of_periods(spark: SparkSession, sources: Mapping[TripSpec, str]) -> dict[str, DataFrame]:
     """Trips by colour, those of all months in one table with the period that they were stored for.
 
-    Months of a colour are read together, so they must have the same columns.
+    Months of a colour may have different columns, as when a fee is added, and store a column in
+    different types; each layout is one scan, and they are united by name before anything else.
     """
     tables = {}
     for color in dict.fromkeys(spec.color for spec in sources):
         uris = [uri for spec, uri in sources.items() if spec.color == color]
-        read = read_trips(spark, *uris)
         stored = r"regexp_extract(_metadata.file_path, '_tripdata_([0-9]{4})-([0-9]{2})', %d)"
         period = [f"CAST({stored % i} AS INT) AS {c}" for i, c in ((1, "year"), (2, "month"))]
-        tables[color] = read.selectExpr(f"{literal(color)} AS color", *period, "*")
+        layouts = read_by_layout(spark, uris)
+        tables[color] = unite(
+            [t.selectExpr(f"{literal(color)} AS color", *period, "*") for t in layouts]
+        )
     return tables
 
 
@@ -246,25 +243,24 @@ def kpis_of_periods(trips: Mapping[str, DataFrame], sources: Mapping[TripSpec, s
     """KPIs and one document per colour and month, for many of them in one job.
 
     ``trips`` has, by colour, tables with PERIOD columns in front. Periods are keys like others:
-    there are a clean branch and a reject branch per colour, however many months there are.
+    there is one branch per colour, however many months there are.
     """
     spark = next(iter(trips.values())).sparkSession
-    parts, originals, rejects = [], [], []
+    parts = []
     for color, table in trips.items():
         spec = next(s for s in sources if s.color == color)
         own = quality.in_own_period(spec)
-        parts.append(kpis.trip_parts(quality.clean(table, spec, own), PERIOD))
-        originals.append(table.groupBy(*PERIOD).agg(F.expr("count(*) AS original_rows")))
-        rejected = quality.distinct_rejects(table, spec, own).groupBy(*PERIOD)
-        rejects.append(rejected.agg(F.expr("count(*) AS reject_rows")))
-        if quality.replaced_columns(table, spec):
-            raise ValueError("columns named like derived ones: run such a month by itself")
-
-    rolled = settle(kpis.rollup(_stack(parts), PERIOD))
+        parts.append(kpis.judged_parts(quality.judged_rows(table, spec, own), spec, PERIOD))
+    judged = settle(kpis.judged_rollup(_stack(parts), PERIOD))
+    rolled = kpis.valid_rollup(judged)
     # Periods without a row still have a document.
-    asked = ", ".join(f"({literal(s.color)}, {s.year}, {s.month}, 0L)" for s in sources)
-    asked = spark.sql(f"SELECT * FROM VALUES {asked} AS t(color, year, month, original_rows)")
-    counts = settle(_counts(_stack([asked, *originals]), _stack(rejects), rolled, PERIOD))
+    asked = ", ".join(f"({literal(s.color)}, {s.year}, {s.month}, 0L, 0L, 0L)" for s in sources)
+    names = (kpis.ORIGINAL, kpis.DISTINCT, "clean_rows")
+    asked = spark.sql(
+        f"SELECT * FROM VALUES {asked} AS t({', '.join(PERIOD)}, {', '.join(names)})"
+    )
+    both = asked.unionByName(kpis.judged_counts(judged, PERIOD))
+    counts = both.groupBy(*PERIOD).agg(*[F.expr(f"sum({n}) AS {n}") for n in names])
 
     by_color = [
         f"WHEN {literal(color)} THEN {payment_label(names)}"
@@ -284,7 +280,8 @@ def kpis_of_periods(trips: Mapping[str, DataFrame], sources: Mapping[TripSpec, s
 def run_periods(
     spark: SparkSession, specs: Sequence[TripSpec], root: str, report_uri: str
 ) -> Run:
-    """The short run for many colours and months; documents land in color=/year=/month= folders.
+    """The short run for many colours and months; documents land in color=/year=/month= folders, and
+    their sections in a columnar table beside them.
 
     Documents of other periods that are there already stay.
     """
@@ -294,4 +291,5 @@ def run_periods(
     own = run_session(spark, list(sources.values()))
     run = kpis_of_periods(trips_of_periods(own, sources), sources)
     write_bundle(run.bundle, report_uri, PERIOD)
+    write_sections(run.bundle, report_uri, PERIOD)
     return run
