@@ -7,10 +7,11 @@ All queries run over whole tables. Trip queries use the trip-shaped table that
 from __future__ import annotations
 
 import importlib
-import importlib.util
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripkpi import fixtures
 from tripkpi.fixtures import GREEN, YELLOW
@@ -18,11 +19,20 @@ from tripkpi.functions import derive
 from tripkpi.operators import feeds, kpis, profile, quality
 from tripkpi.plans import bundle, job
 from tripkpi.session import scratch_uri
-from tripkpi.sources import hash_sample, in_hash_sample, read_trips, reload_clean, write_clean
+from tripkpi.sources import (
+    file_sample,
+    hash_sample,
+    in_hash_sample,
+    read_trips,
+    reload_clean,
+    write_clean,
+)
 from tripkpi.spec import TripSpec
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
+YELLOW_LATER = TripSpec("yellow", 2024, 3)
+
 
 def _trips(spark: SparkSession, sf_dir: str, spec: TripSpec = YELLOW) -> DataFrame:
     return fixtures.trips_from_events(read_trips(spark, f"{sf_dir}/events.parquet"), spec)
@@ -121,10 +131,63 @@ def exact_kpi_by_hour(spark, sf_dir):
     return kpis.kpi_by_hour(kpis.rollup(_odd_clean(spark, sf_dir)))
 
 
+def exact_kpi_vast(spark, sf_dir):
+    """Hours whose totals have values of a few dollars beside 9.1e18 or 1.3e300."""
+    trips = fixtures.vast_amounts(_trips(spark, sf_dir))
+    hours = kpis.kpi_by_hour(kpis.rollup(quality.clean(trips, YELLOW)))
+    return hours.select("pickup_hour", "trips", "revenue", "avg_ticket")
+
+
+def sample_rows(spark, sf_dir):
+    """Bernoulli sample of the events by their place in the file."""
+    return file_sample(read_trips(spark, f"{sf_dir}/events.parquet"))
+
+
+def report_single_file(spark, sf_dir):
+    """What a plain JSON reader finds in the one object that a run publishes."""
+    uri = f"{scratch_uri(spark, 'report')}/kpis.json"
+    bundle.write_bundle(_run(spark, sf_dir).bundle, uri)
+    objects = spark.read.format("binaryFile").load(uri)
+    document = "decode(content, 'UTF-8')"
+    return objects.selectExpr(
+        "count(*) OVER () AS objects",
+        f"get_json_object({document}, '$.metadata.dataset') AS dataset",
+        f"CAST(get_json_object({document}, '$.kpi_resumen[0].total_trips') AS BIGINT) AS total_trips",
+        f"json_array_length(get_json_object({document}, '$.kpi_por_dia')) AS days",
+        f"json_array_length(get_json_object({document}, '$.kpi_calidad')) AS facts",
+        f"get_json_object({document}, '$.kpi_calidad[0].value_text') AS data_source",
+    )
+
+
 def duplicate_summary(spark, sf_dir):
     return profile.duplicate_summary(_trips(spark, sf_dir))
 
 
+def preview_rows(spark, sf_dir):
+    """The first ten trips by id, as one looks at them before cleaning."""
+    ordered = derive(_trips(spark, sf_dir), YELLOW).orderBy("trip_id", "tpep_pickup_datetime")
+    return profile.audit_preview(ordered, n=10)
+
+
+def describe_text(spark, sf_dir):
+    """Spark's own statistics as text, of whole numbers; the standard deviation as a number."""
+    whole = _trips(spark, sf_dir).select("trip_id", "PULocationID")
+    table = profile.describe_numeric(whole)
+    shown = {c: F.expr(f"IF(summary = 'stddev', format_number(CAST({c} AS DOUBLE), 4), {c})") for c in whole.columns}
+    return table.withColumns(shown)
+
+
+def run_stamp(spark, sf_dir):
+    """Whether a document's time is one of UTC, to the microsecond, and of today or later."""
+    stamp = _document(spark, sf_dir).select("metadata.generated_at_utc")
+    pattern = r"^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}\\.\\d{6}\\+00:00$"
+    return stamp.selectExpr(
+        f"generated_at_utc RLIKE '{pattern}' AS is_utc_stamp",
+        "CAST(generated_at_utc AS TIMESTAMP) BETWEEN current_timestamp() - INTERVAL '1' HOUR"
+        " AND current_timestamp() + INTERVAL '1' MINUTE AS is_now",
+    )
+
+
 def duplicate_summary_lineitem(spark, sf_dir):
     return profile.duplicate_summary(read_trips(spark, f"{sf_dir}/lineitem.parquet"))
 
@@ -289,33 +352,62 @@ def run_periods_payment(spark, sf_dir):
     return bundle.section(bundle.read_bundle(spark, report), "kpi_tipo_pago")
 
 
-def _periods_document(spark, sf_dir):
-    """Documents of two periods, written by two runs into one root."""
+def _periods_report(spark, sf_dir):
+    """Where documents of two periods are, written by two runs into one root."""
     root = _stored_trips(spark, sf_dir, YELLOW, GREEN)
     report = f"{root}/kpis"
     for spec in (YELLOW, GREEN):
         job.run_periods(spark, [spec], root, report)
-    return bundle.read_bundle(spark, report)
+    return report
 
 
 def run_periods_twice(spark, sf_dir):
-    return bundle.section(_periods_document(spark, sf_dir), "kpi_tipo_pago")
+    document = bundle.read_bundle(spark, _periods_report(spark, sf_dir))
+    return bundle.section(document, "kpi_tipo_pago")
+
+
+def _periods_section(spark, report, name, periods=None):
+    return bundle.read_section(spark, report, name, job.PERIOD, periods)
 
 
 def dash_top10_zones_periods(spark, sf_dir):
-    zones = bundle.section(_periods_document(spark, sf_dir), "kpi_top_pickup_zones")
-    return feeds.dash_top_zones(zones)
+    report = _periods_report(spark, sf_dir)
+    return feeds.dash_top_zones(_periods_section(spark, report, "kpi_top_pickup_zones"))
 
 
 def dash_run_summary_periods(spark, sf_dir):
-    document = _periods_document(spark, sf_dir)
-    summary, facts = (bundle.section(document, n) for n in ("kpi_resumen", "kpi_calidad"))
+    report = _periods_report(spark, sf_dir)
+    summary, facts = (_periods_section(spark, report, n) for n in ("kpi_resumen", "kpi_calidad"))
     return feeds.dash_run_summary(summary, facts)
 
 
 def dash_daily_series_periods(spark, sf_dir):
-    days = bundle.section(_periods_document(spark, sf_dir), "kpi_por_dia")
-    return feeds.dash_daily_series(days)
+    report = _periods_report(spark, sf_dir)
+    return feeds.dash_daily_series(_periods_section(spark, report, "kpi_por_dia"))
+
+
+def dash_payment_one_period(spark, sf_dir):
+    """One section of one of the periods: a folder of the columnar table."""
+    report = _periods_report(spark, sf_dir)
+    return feeds.dash_payment(
+        _periods_section(spark, report, "kpi_tipo_pago", "color = 'green' AND year = 2025 AND month = 1")
+    )
+
+
+def run_months_of_two_layouts(spark, sf_dir):
+    """January and March, the latter with a further column and with passengers stored as doubles."""
+    root = scratch_uri(spark, "trips")
+    _trips(spark, sf_dir).write.parquet(YELLOW.source_uri(root))
+    later = _trips(spark, sf_dir).selectExpr(
+        "* EXCEPT (passenger_count)",
+        "CAST(passenger_count AS DOUBLE) AS Passenger_Count",
+        "trip_id % 2 AS extra_fee",
+    )
+    moved = {c: F.expr(f"{c} + INTERVAL '60' DAY") for c in (YELLOW.pickup_column, YELLOW.dropoff_column)}
+    later.withColumns(moved).write.parquet(YELLOW_LATER.source_uri(root))
+    report = f"{root}/kpis"
+    job.run_periods(spark, [YELLOW, YELLOW_LATER], root, report)
+    return _periods_section(spark, report, "kpi_resumen")
 
 
 def batch_reports(spark, sf_dir):
@@ -380,6 +472,14 @@ _QUERIES = (
     quality_clashing_names,
     exact_kpi_summary,
     exact_kpi_by_hour,
+    exact_kpi_vast,
+    sample_rows,
+    report_single_file,
+    dash_payment_one_period,
+    run_months_of_two_layouts,
+    preview_rows,
+    describe_text,
+    run_stamp,
 )
 
 
@@ -390,9 +490,11 @@ def entry(spark: SparkSession, sf_dir: str = SMOKE_DIR) -> DataFrame:
 
 def _llm():
     """The text operators' queries and pipeline, or None where these folders are not installed."""
-    if not importlib.util.find_spec("tripkpi.llm") or not importlib.util.find_spec("corpus_pipeline"):
+    try:
+        return importlib.import_module("tripkpi.llm.queries")
+    except ImportError as error:
+        logging.getLogger(__name__).warning("without the text operators: %s", error)
         return None
-    return importlib.import_module("tripkpi.llm.queries")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -630,6 +732,37 @@ _ODD_SUMMARY = f"""SELECT count(*) AS total_trips, {_ODD_REVENUE} AS total_reven
 _ODD_BY_HOUR = f"""SELECT pickup_hour, count(*) AS trips, {_ODD_REVENUE} AS revenue,
   {_odd_mean('total_amount')} AS avg_ticket, {_ODD_LENGTH} FROM clean GROUP BY pickup_hour"""
 
+# The trips with vast totals. What is beyond a bigint is a sum of doubles, here of equal powers of two,
+# which is the same in any order.
+_VAST = _ODD.replace(
+    _ODD[_ODD.index("  SELECT * REPLACE (") : _ODD.index("  FROM even\n")],
+    """  SELECT * REPLACE (CASE WHEN hour(tpep_pickup_datetime) = 3 AND trip_id % 40 = 9 THEN 9.1e18
+    WHEN hour(tpep_pickup_datetime) = 5 AND trip_id % 40 = 9 THEN pow(2, 70)
+    WHEN hour(tpep_pickup_datetime) = 7 AND trip_id % 40 = 9 THEN pow(2, 997)
+    ELSE trip_id % 100000 / CAST(100 AS DOUBLE) END AS total_amount)
+""",
+)
+_EXACT_TOTAL = _nanos("CASE WHEN total_amount < 9.2e18 THEN total_amount ELSE 0 END")
+_VAST_REST = "sum(total_amount) FILTER (total_amount >= 9.2e18)"
+_VAST_BY_HOUR = f"""SELECT pickup_hour, count(*) AS trips,
+  CASE WHEN {_VAST_REST} IS NULL THEN {_away(_EXACT_TOTAL, '1000000000::HUGEINT')}
+    ELSE CAST({_EXACT_TOTAL} AS DOUBLE) / 1000000000 + {_VAST_REST} END AS revenue,
+  CASE WHEN {_VAST_REST} IS NULL
+    THEN {_away(_EXACT_TOTAL, '(count(total_amount)::HUGEINT * 1000000000)')}
+    ELSE (CAST({_EXACT_TOTAL} AS DOUBLE) / 1000000000 + {_VAST_REST}) / count(*) END AS avg_ticket FROM clean GROUP BY pickup_hour"""
+
+_DESCRIBED = " UNION ALL ".join(
+    f"SELECT '{name}' AS summary, " + ", ".join(f"{sql.format(c=c)} AS {c}" for c in ("trip_id", "PULocationID"))
+    + " FROM trips"
+    for name, sql in (
+        ("count", "CAST(count({c}) AS VARCHAR)"),
+        ("mean", "CAST(avg({c}) AS VARCHAR)"),
+        ("stddev", "format('{{:,.4f}}', stddev_samp({c}))"),
+        ("min", "CAST(min({c}) AS VARCHAR)"),
+        ("max", "CAST(max({c}) AS VARCHAR)"),
+    )
+)
+
 # Each trip is there twice, as two rows that cleaning makes one.
 _CLASHING_COUNTS = _COUNTS.replace(
     "(SELECT count(*) FROM trips)", "(SELECT 2 * count(*) FROM trips)"
@@ -753,6 +886,10 @@ def oracle_sql() -> dict[str, str]:
   UNION ALL SELECT 4, 'Calidad', format('{{:.1f}}%', 100 * value), NULL
     FROM ({_QUALITY_NUMBERS}) WHERE metric = 'quality_score')""",
     }
+    on_counts["report_single_file"] = f"""SELECT CAST(1 AS BIGINT) AS objects,
+    'NYC TLC Yellow Taxi - January 2024' AS dataset, count(*) AS total_trips,
+    CAST(count(DISTINCT pickup_date) AS INT) AS days, CAST(7 AS INT) AS facts, 'events' AS data_source
+  FROM clean"""
     llm = _llm()
     single = {
         **{name: _TRIPS + sql for name, sql in on_trips.items()},
@@ -813,6 +950,20 @@ def oracle_sql() -> dict[str, str]:
         + f"SELECT metric, value FROM ({_QUALITY_NUMBERS})",
         "exact_kpi_summary": _ODD + _ODD_SUMMARY,
         "exact_kpi_by_hour": _ODD + _ODD_BY_HOUR,
+        "exact_kpi_vast": _VAST + _VAST_BY_HOUR,
+        "sample_rows": """SELECT * EXCLUDE (place) FROM (
+  SELECT *, row_number() OVER () - 1 AS place FROM events
+) WHERE substr(md5('42:events.parquet:' || place), 1, 8) < '1999999a'""",
+        "dash_payment_one_period": "SELECT 'green' AS color, 2025 AS year, 1 AS month, * FROM ("
+        + for_green(single["dash_payment"]).replace(_payment(6), _payment(5)) + ")",
+        "run_months_of_two_layouts": " UNION ALL ".join(
+            f"SELECT 'yellow' AS color, 2024 AS year, {month} AS month, * FROM ({single['kpi_summary']})"
+            for month in (1, 3)
+        ),
+        "preview_rows": _TRIPS + """SELECT pickup_ts, dropoff_ts, duration_min, passenger_count,
+  trip_distance, fare_amount, total_amount FROM derived ORDER BY trip_id, pickup_ts LIMIT 10""",
+        "describe_text": _TRIPS + _DESCRIBED,
+        "run_stamp": "SELECT true AS is_utc_stamp, true AS is_now",
         **single,
         "numeric_profile_lineitem": _numeric("lineitem", _LINEITEM_NUMBERS),
         "duplicate_summary_lineitem": _duplicates("lineitem"),
