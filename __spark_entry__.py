@@ -93,6 +93,15 @@ def numeric_profile_lineitem(spark, sf_dir):
     return profile.numeric_profile(read_trips(spark, f"{sf_dir}/lineitem.parquet"), digits=4)
 
 
+def numeric_profile_exact(spark, sf_dir):
+    """Means and deviations that are the same to the last digit in every run."""
+    return profile.numeric_profile(_trips(spark, sf_dir), exact=True)
+
+
+def numeric_profile_lineitem_exact(spark, sf_dir):
+    return profile.numeric_profile(read_trips(spark, f"{sf_dir}/lineitem.parquet"), exact=True)
+
+
 def profile_pass(spark, sf_dir):
     """Rows, nulls, statistics and rules from the pass that counts them together."""
     return profile.profile_rows(_trips(spark, sf_dir), quality.rules(YELLOW))
@@ -480,6 +489,8 @@ _QUERIES = (
     preview_rows,
     describe_text,
     run_stamp,
+    numeric_profile_exact,
+    numeric_profile_lineitem_exact,
 )
 
 
@@ -662,6 +673,22 @@ def _numeric(table: str, columns) -> str:
     )
 
 
+def _numeric_exact(table: str, columns) -> str:
+    """The same from whole numbers: billionths of the columns that have fractions."""
+    parts = []
+    for column, unit in columns:
+        parts.append(f"""SELECT '{column}' AS "column", n AS count,
+  (CAST(m AS DOUBLE) + CAST(r AS DOUBLE) / n) / {unit} AS mean,
+  sqrt((CAST(CAST(s2 - m * (s1 + r) AS VARCHAR) AS DOUBLE) - CAST(r AS DOUBLE) * CAST(r AS DOUBLE) / n)
+    / (n - 1)) / {unit} AS stddev, low AS min, high AS max
+FROM (SELECT *, s1 // n AS m, s1 % n AS r FROM (
+  SELECT count(y) AS n, sum(y) AS s1, sum(y * y) AS s2, min(v) AS low, max(v) AS high
+  FROM (SELECT v, CAST(floor(v) * {unit} AS HUGEINT)
+      + CAST(round_even((v - floor(v)) * {unit}, 0) AS HUGEINT) AS y
+    FROM (SELECT CAST({column} AS DOUBLE) AS v FROM {table}))))""")
+    return " UNION ALL ".join(parts)
+
+
 def _duplicates(table: str) -> str:
     return f"""SELECT 'total_rows' AS metric, (SELECT count(*) FROM {table}) AS value
   UNION ALL SELECT 'distinct_rows', (SELECT count(*) FROM (SELECT DISTINCT * FROM {table}))
@@ -967,6 +994,12 @@ def oracle_sql() -> dict[str, str]:
         **single,
         "numeric_profile_lineitem": _numeric("lineitem", _LINEITEM_NUMBERS),
         "duplicate_summary_lineitem": _duplicates("lineitem"),
+        "numeric_profile_exact": _TRIPS + _numeric_exact(
+            "trips", [(c, "1" if t == "bigint" else "1e9") for c, t in _RAW if t in ("bigint", "double")]
+        ),
+        "numeric_profile_lineitem_exact": _numeric_exact(
+            "lineitem", [(c, "1" if c.endswith(("key", "number")) else "1e9") for c in _LINEITEM_NUMBERS]
+        ),
         "clean_trips_green": clean_green,
         "kpi_by_payment_green": _TRIPS_GREEN + _payment(5),
         "run_for_request": _TRIPS_GREEN + _SUMMARY,

@@ -1,5 +1,7 @@
 import math
+import random
 import statistics
+from fractions import Fraction
 
 from tripkpi.operators import profile
 
@@ -84,3 +86,47 @@ def test_equal_digests_of_different_rows_do_no_harm(spark, monkeypatch):
     assert tuple(profile.row_kinds(table, small="id < 5").first()) == (40, 30, 5)
     monkeypatch.setattr(profile, "MOST_DIGESTS", 0)
     assert tuple(profile.row_kinds(table, small="id < 5").first()) == (40, 30, 5)
+
+
+def test_exact_moments_do_not_depend_on_order(spark):
+    random.seed(6)
+    rows = [
+        (random.randint(-10**6, 10**6), random.choice((0.01, 0.1, 19.99, 1e6 + 0.1)), 10.0**8 + i % 2 / 1000)
+        for i in range(3000)
+    ]
+    found = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        table = spark.createDataFrame(rows, "a bigint, b double, c double").repartition(1 + 3 * seed)
+        for one_scan in (False, True):
+            wide = profile.profile_pass(table, one_scan=one_scan, exact=True).first()
+            found.add(tuple(wide[f"{s}_{i}"] for i in range(3) for s in ("mean", "stddev")))
+    assert len(found) == 1
+    for i, (mean, deviation) in enumerate(zip(*[iter(found.pop())] * 2)):
+        values = [Fraction(round(Fraction(r[i]) * 10**9), 10**9) for r in rows]
+        assert math.isclose(mean, float(statistics.mean(values)), rel_tol=1e-15)
+        assert math.isclose(deviation, statistics.stdev(values), rel_tol=1e-14)
+
+
+def test_exact_moments_of_odd_values(spark):
+    nan, inf = float("nan"), float("inf")
+    columns = {
+        "one": [5.25, None, None, None],
+        "same": [5.25] * 4,
+        "nothing": [None] * 4,
+        "tiny": [1e-12, 2e-12, 3e-12, 4e-12],
+        "vast": [1e300, 1.0, 2.0, 3.0],
+        "endless": [inf, 1.0, 2.0, 3.0],
+        "odd": [nan, 1.0, 2.0, 3.0],
+    }
+    table = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns))
+    table = table.selectExpr("*", "CAST(9e18 AS BIGINT) AS long", "CAST(1.5 AS DECIMAL(5, 1)) AS dec", "1Y AS byte")
+    exact = {r["column"]: r for r in profile.numeric_profile(table, exact=True).collect()}
+    for r in profile.numeric_profile(table).collect():
+        got = exact[r["column"]]
+        assert got["count"] == r["count"]
+        for s in ("mean", "stddev"):
+            a, b = got[s], r[s]
+            assert a == b or (a != a and b != b) or math.isclose(a, b, rel_tol=1e-9), (r["column"], s)
+    empty = profile.numeric_profile(table.limit(0), exact=True).collect()
+    assert all(r["mean"] is None and r["stddev"] is None for r in empty)
