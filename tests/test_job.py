@@ -156,6 +156,21 @@ def test_scratch_folder():
         session.shared_folder(_session("yarn", None))
 
 
+def test_scratch_tables_go_with_their_run(spark):
+    kept = session.scratch_uri(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    with pytest.raises(ZeroDivisionError), session.own_scratch(spark):
+        gone = [session.scratch_uri(spark, "gone") for _ in range(3)]
+        spark.range(3).write.parquet(gone[0])
+        spark.range(3).write.parquet(gone[1])
+        assert spark.read.parquet(gone[0]).count() == 3
+        raise ZeroDivisionError
+    for uri in gone:
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(uri)
+    assert spark.read.parquet(kept).count() == 3
+
+
 def test_shuffle_width_follows_the_input_of_each_run(spark, root):
     uris = [YELLOW.source_uri(root)]
     before = spark.conf.get("spark.sql.shuffle.partitions")

@@ -164,12 +164,11 @@ def write_sections(bundle: DataFrame, uri: str, by: Sequence[str]) -> None:
     All sections are one table, with the columns that any of them has. Each section of each period has
     a row without a position too, so a section that has become empty replaces an older one.
     """
-    parts = []
+    names = ", ".join(map(literal, SECTIONS))
+    parts = [bundle.selectExpr(f"explode(array({names})) AS section", *by, "CAST(NULL AS INT) AS position")]
     for name in SECTIONS:
         items = bundle.selectExpr(*by, f"posexplode({name}) AS (position, item)")
-        nothing = f"CAST(NULL AS {_type(SECTIONS[name])}) AS item"
-        filled = items.union(bundle.selectExpr(*by, "CAST(NULL AS INT) AS position", nothing))
-        parts.append(filled.selectExpr(f"{literal(name)} AS section", *by, "position", "item.*"))
+        parts.append(items.selectExpr(f"{literal(name)} AS section", *by, "position", "item.*"))
     table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     keys = ("section", *by)
     writer = table.repartition(*keys).write.mode("overwrite")

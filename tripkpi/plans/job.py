@@ -294,6 +294,7 @@ def run_periods(
         read_trips(spark, uri)  # tells which one is missing
     own = run_session(spark, list(sources.values()))
     run = kpis_of_periods(trips_of_periods(own, sources), sources)
-    write_bundle(run.bundle, report_uri, PERIOD)
-    write_sections(run.bundle, report_uri, PERIOD)
+    documents = settle(run.bundle)
+    write_bundle(documents, report_uri, PERIOD)
+    write_sections(documents, report_uri, PERIOD)
     return run

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 SCAN_BYTES_PER_SHUFFLE_TASK = 128 * 1024 * 1024
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
+_made: list[str] = []
 
 
 def get_spark(app: str = "trip-kpis", conf: Mapping[str, str] | None = None) -> SparkSession:
@@ -44,7 +46,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_uri(spark: SparkSession, name: str) -> str:
     """A fresh location for a written table below the shared folder."""
-    return f"{shared_folder(spark)}/tripkpi/{name}-{uuid.uuid4().hex}"
+    uri = f"{shared_folder(spark)}/tripkpi/{name}-{uuid.uuid4().hex}"
+    _made.append(uri)
+    return uri
+
+
+@contextmanager
+def own_scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the scratch tables that are made inside it, once what was computed has been written.
+
+    Tables between jobs have to outlive lost executors, so Spark does not remove them by itself; runs on
+    large inputs would leave several times their input behind. Results that are still to be computed
+    from them must not be used afterwards.
+    """
+    before = len(_made)
+    try:
+        yield
+    finally:
+        configuration = spark._jsparkSession.sessionState().newHadoopConf()
+        while len(_made) > before:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+            path.getFileSystem(configuration).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:
