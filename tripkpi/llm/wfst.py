@@ -31,7 +31,8 @@ from tripkpi.llm.common import map_rows
 from tripkpi.llm.pieces import BPE, BYTE, NORMAL, SPACE, Model, pre_tokens, read_model
 
 INFINITY = float("inf")
-CACHED_WORDS = 300_000
+# Pre-tokens whose ids are kept, in each of two generations; entries of the other caches.
+CACHED_WORDS = 400_000
 CACHED_PAIRS = 2_000_000
 CACHED_CHARS = 64
 # Characters by which the arcs that leave a position are remembered.
@@ -40,6 +41,29 @@ AHEAD = 6
 UNKNOWN_PENALTY = 10.0
 
 
+class _Words(dict):
+    """Pre-tokens to ids; those that are not there are encoded.
+
+    When a generation is full it becomes the older one, and what is still in use is taken over from there.
+    Emptying everything instead would have frequent pre-tokens encoded again and again.
+    """
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, pre_token: str) -> bytes:
+        ids = self.older.get(pre_token)
+        if ids is None:
+            ids = self.encode(pre_token)
+        if len(pre_token) <= CACHED_CHARS:
+            if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[pre_token] = ids
+        return ids
+
+
 class Transducer:
     """Encoder and decoder of one model."""
 
@@ -67,7 +91,7 @@ class Transducer:
                 self.output[i] = b""
         self.output[model.unknown] = " ⁇ ".encode()
         self.lowest = max(self.rank.values(), default=0.0) + UNKNOWN_PENALTY
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self.word)
         # By the left piece, then the right one.
         self.pairs: dict[str, dict[str, bool]] = {}
         self.n_pairs = 0
@@ -219,19 +243,12 @@ class Transducer:
 
     def word(self, pre_token: str) -> bytes:
         """Ids of a pre-token as 32-bit integers in memory order."""
-        known = self.words.get(pre_token)
-        if known is None:
-            path = self.shortest_path(pre_token)
-            known = array("i", [i for piece in path for i in self.emit(piece)]).tobytes()
-            if len(pre_token) <= CACHED_CHARS:
-                if len(self.words) >= CACHED_WORDS:
-                    self.words.clear()
-                self.words[pre_token] = known
-        return known
+        path = self.shortest_path(pre_token)
+        return array("i", [i for piece in path for i in self.emit(piece)]).tobytes()
 
     def encode(self, text: str) -> array:
         ids = array("i")
-        ids.frombytes(b"".join(map(self.word, pre_tokens(text, self.model))))
+        ids.frombytes(b"".join(map(self.words.__getitem__, pre_tokens(text, self.model))))
         return ids
 
     def decode(self, ids) -> str:
