@@ -24,6 +24,14 @@ def test_ids_are_the_library_s(text):
     assert FST.decode(ids) == text.replace("▁", " ")
 
 
+def test_small_caches_change_nothing():
+    small = wfst.Transducer(read_model(PIECES), 3)
+    for _ in range(2):
+        for text in ("a b a c d e f a b " * 9, LONG[:20_000]):
+            assert list(small.encode(text)) == LIBRARY.encode(text)
+    assert len(small.words) <= 3 and len(small.words.older) <= 3
+
+
 def test_long_words_take_linear_time():
     for text in ("a" * 30_000, "abcdefgh" * 5_000, LONG):
         assert list(FST.encode(text)) == LIBRARY.encode(text)

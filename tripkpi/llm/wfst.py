@@ -31,9 +31,9 @@ from tripkpi.llm.common import map_rows
 from tripkpi.llm.pieces import BPE, BYTE, NORMAL, SPACE, Model, pre_tokens, read_model
 
 INFINITY = float("inf")
-# Pre-tokens whose ids are kept, in each of two generations; entries of the other caches.
+# Pre-tokens whose ids are kept, in each of two generations: some 340 MB for each Python worker.
 CACHED_WORDS = 400_000
-CACHED_PAIRS = 2_000_000
+CACHED_PAIRS = 1_000_000
 CACHED_CHARS = 64
 # Characters by which the arcs that leave a position are remembered.
 AHEAD = 6
@@ -48,16 +48,16 @@ class _Words(dict):
     Emptying everything instead would have frequent pre-tokens encoded again and again.
     """
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode, self.older = encode, {}
+        self.encode, self.most, self.older = encode, most, {}
 
     def __missing__(self, pre_token: str) -> bytes:
         ids = self.older.get(pre_token)
         if ids is None:
             ids = self.encode(pre_token)
         if len(pre_token) <= CACHED_CHARS:
-            if len(self) >= CACHED_WORDS:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[pre_token] = ids
@@ -67,7 +67,7 @@ class _Words(dict):
 class Transducer:
     """Encoder and decoder of one model."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, cached: int = CACHED_WORDS):
         self.model = model
         self.bpe = model.kind == BPE
         self.ids = {p: i for i, p in enumerate(model.pieces) if model.kinds[i] == NORMAL}
@@ -91,7 +91,7 @@ class Transducer:
                 self.output[i] = b""
         self.output[model.unknown] = " ⁇ ".encode()
         self.lowest = max(self.rank.values(), default=0.0) + UNKNOWN_PENALTY
-        self.words = _Words(self.word)
+        self.words = _Words(self.word, cached)
         # By the left piece, then the right one.
         self.pairs: dict[str, dict[str, bool]] = {}
         self.n_pairs = 0
@@ -142,7 +142,7 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         edge = (piece, INFINITY)
         found = ([*first, edge], [*last, edge]) if len(parts) == 1 else None
-        if len(self.edges) >= CACHED_WORDS:
+        if len(self.edges) >= self.words.most:
             self.edges.clear()
         self.edges[piece] = found
         return found
@@ -189,7 +189,7 @@ class Transducer:
         arcs = tuple(reversed(found))
         # Remember what no text after the key has a part in; a short key is a text's end.
         if node is None and end < at + AHEAD or len(text) - at < AHEAD:
-            if len(self.ahead) >= CACHED_WORDS:
+            if len(self.ahead) >= self.words.most:
                 self.ahead.clear()
             self.ahead[key] = arcs
         return arcs
@@ -259,22 +259,23 @@ class Transducer:
 
 
 @lru_cache(maxsize=2)
-def transducer(path: str) -> Transducer:
+def transducer(path: str, cached: int = CACHED_WORDS) -> Transducer:
     """Compiled once per Python worker."""
-    return Transducer(read_model(path))
+    return Transducer(read_model(path), cached)
 
 
-def encode(documents: DataFrame, model_path: str) -> DataFrame:
+def encode(documents: DataFrame, model_path: str, cached: int = CACHED_WORDS) -> DataFrame:
     """doc_id, token_ids, n_tokens, n_bytes and round_trip for every row.
 
     ``round_trip`` says whether decoding gives the text again; it is false only for texts with the
     space mark U+2581 itself, which decodes to a space. A null text counts as empty: no ids, true.
     Each row is encoded on its own and whole, so repeated rows, null ids and further columns,
-    whatever their names, change nothing. An empty table gives an empty result.
+    whatever their names, change nothing. An empty table gives an empty result. ``cached`` trades a
+    worker's memory for time and has no effect on results.
     """
 
     def make():
-        fst = transducer(model_path)
+        fst = transducer(model_path, cached)
 
         def work(part):
             texts = part.column("text")
