@@ -15,6 +15,8 @@ from tripkpi.llm import minhash, mixing, suffixes, toxicity, wfst
 from tripkpi.llm.common import table, written
 
 PIECES = "piece_bpe_32k.model"
+# Workers have done the other stages before and share their memory with them.
+CACHED_PRE_TOKENS = 150_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the mixed texts."""
-    return wfst.encode(docs, public_tokenizers.path(PIECES))
+    return wfst.encode(docs, public_tokenizers.path(PIECES), CACHED_PRE_TOKENS)
 
 
 STAGES = [
