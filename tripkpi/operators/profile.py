@@ -215,7 +215,7 @@ def profile_pass(
     column is read once. If finding a row takes all columns anyway, as in a sample by row content,
     ``one_scan`` makes a row of each value instead and groups them by column.
 
-    ``exact`` means and deviations are the same to the last digit in every run, at some three times the
+    ``exact`` means and deviations are the same to the last digit in every run, at up to three times the
     time of Spark's own.
     """
     rules = rules or {}
