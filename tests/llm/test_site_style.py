@@ -1,6 +1,10 @@
 import html
+import math
 import re
+import time
+from collections import Counter
 
+import numpy as np
 from cases import given
 
 from tripkpi.llm import site_style
@@ -129,3 +133,119 @@ def test_importance_counts_all_pages_that_have_a_branch(spark):
     got = texts(spark, rows)
     assert all(got[i][0] == f"Series {i // 3} begins Part {i}" for i in range(9))
     assert [got[i][0] for i in (20, 21)] == ["Part 0 Menu", "Part 1 Menu"]  # too few to tell
+
+
+def test_names_decide_outside_articles_and_are_a_prior_within(spark):
+    kept = [
+        "<article><div class='entry-header'><h1>T</h1></div></article>", "<article><h1 class='post-header'>T</h1></article>",
+        "<article class=legal><p>T</article>", "<article><div class='search-result'>T</div></article>",
+        "<article><p>T<span class=share> 50%</span></article>", "<article><p>T <math><mi>x</mi></math></article>",
+        "<div class='entry-header'><h1>T</h1></div>", "<article><h2 id=menu>T</h2></article>",
+        "<article><section id='related-work'>T</section></article>",
+    ]
+    gone = [
+        "<article><div class=ad>T</div></article>", "<article><div class='box comments'>T</div></article>",
+        "<main><div class=sidebar>T</div></main>", "<article class=comment>T</article>", "<div class='site-header'>T</div>",
+        "<article><div id=comment-list>T</div></article>", "<article><div class='share-buttons'>T</div></article>",
+    ]
+    rows = [(i, f"http://h{i}.example/", page(form), "x", "x", "x") for i, form in enumerate(kept + gone)]
+    got = texts(spark, rows)
+    expected = ["T"] * 4 + ["T 50%", "T x"] + ["T"] * 3 + [""] * len(gone)
+    assert [got[i][0] for i in range(len(rows))] == expected
+
+
+def test_doubtful_names_within_articles_need_more_importance(spark):
+    def rows_with(name):
+        return [
+            (i, f"http://h.example/{i}", page(
+                f"<article><h1 class=entry-header>Title {i}</h1><p>Story {i}</p><div class={name}>Kind {i // 4}</div></article>"
+            ), "x", "x", "x")
+            for i in range(12)
+        ]
+
+    assert all(t == f"Title {i} Story {i} Kind {i // 4}" for i, (t, _) in texts(spark, rows_with("facts")).items())
+    assert all(t == f"Title {i} Story {i}" for i, (t, _) in texts(spark, rows_with("footer")).items())
+
+
+def brute_low(pages):
+    """Paths below the threshold, from all texts, layouts and pages of a host in memory."""
+    digest = site_style._digest()
+    read = {}
+    for source in pages:
+        found = site_style.Page(source, digest)
+        read[repr([b for b in found.blocks if not b.noise])] = found
+    read = list(read.values())
+    on, layouts, leaves = {}, {}, {}
+    for number, found in enumerate(read):
+        blocks = [b for b in found.blocks if not b.noise]
+        for b in blocks:
+            leaves.setdefault(b.leaf, {}).setdefault(b.text, set()).add(number)
+            for path in found.branches(b.leaf):
+                on.setdefault(path, (set(), set()))[0].add(number)
+                on[path][1].add(b.leaf)
+        for path, layout in set(found.nodes):
+            layouts.setdefault(path, {}).setdefault(layout, set()).add(number)
+    low = set()
+    for path, (where, below) in on.items():
+        shares = [math.log(len(w)) for leaf in below for w in leaves[leaf].values()]
+        importance = 1 - sum(shares) / len(shares) / math.log(max(len(where), 2))
+        if path in layouts:
+            n = [len(w) for w in layouts[path].values()]
+            all_n = sum(n)
+            spread = math.log(all_n) - sum(x * math.log(x) for x in n) / all_n
+            own = spread / math.log(all_n) if all_n > 1 else 0
+            importance = (1 - site_style.GAMMA) * own + site_style.GAMMA * importance
+        if len(where) >= site_style.LEAST_PAGES and importance < site_style.THRESHOLD:
+            low.add(path)
+    return low
+
+
+def test_importance_equals_a_plain_count(spark):
+    random = np.random.default_rng(4)
+    pages = []
+    for i in range(40):
+        parts = [
+            f"<div class=c{j}><p>Text {random.integers(1, 2 + 6 * j)}</p>" + "<ul><li>Item</ul>" * (random.random() < 0.5) + "</div>"
+            for j in range(8) if random.random() < 0.9
+        ]
+        pages.append(page("".join(parts)))
+    rows = [(i, "http://h.example/", source, "x", "x", "x") for i, source in enumerate(pages + pages[:5])]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string, text string, host string, low string")
+    got = {r.path for r in site_style.judged(table).where("low").collect()}
+    assert got == brute_low(pages) and 2 < len(got) < 20
+
+
+def test_masked_names_leave_the_given_articles_to_importance(spark):
+    # No names that give a part away, and one sentence shared by a host's pages in the given footers,
+    # whose own texts differ on every page.
+    def masked(source):
+        source = re.sub(r"<footer>(&copy; \S+).*?(?=</footer>|$)", r"<footer class=z>\1", source, flags=re.DOTALL)
+        source = re.sub(r"<(/?)(?:nav|footer|aside|header|article|main)\b", r"<\1div", source)
+        return re.sub(r"class=\"?ad\"?", "class=x", source)
+
+    pages = given(spark, "pages", "sf0.01").collect()
+    rows = [(r.page_id, r.url, masked(r.html), "x", "x", "x") for r in pages]
+    got = texts(spark, rows)
+    sizes = Counter(site_style.host_of(r.url) for r in pages)
+    judged = 0
+    for r, (_, _, source, *_) in zip(pages, rows, strict=True):
+        inner = re.search(r"<article>(.*?)(?:</article>|<footer>|$)", r.html, re.DOTALL)[1]
+        article = " ".join(html.unescape(re.sub(r"<[^>]+>", " ", re.sub("</?b>", "", inner))).split())
+        text = got[r.page_id][0]
+        assert article in text
+        if sizes[site_style.host_of(r.url)] >= 5 and "class=z" in source:
+            judged += 1
+            assert not text.endswith(site_style.host_of(r.url))
+    assert judged > 50
+
+
+def test_deep_and_unclosed_markup_takes_time_by_length():
+    digest = site_style._digest()
+    for source in ("<div>a" * 50_000, "<div>a<section>b" * 25_000, "<p><b>" * 25_000 + "</i>" * 25_000, "<title>" * 50_000):
+        at = time.process_time()
+        found = site_style.Page(source, digest)
+        for leaf in {b.leaf for b in found.blocks}:
+            found.branches(leaf)
+        found.main_text(frozenset(), frozenset())
+        assert time.process_time() - at < 4
+    assert len(site_style.Page("<div>a" * 50_000, digest).blocks) == 50_000

@@ -16,13 +16,20 @@ that are copies of each other count once. Branches on one or two pages say nothi
 two pages share may as well be an article that was changed a little, and all of it would go.
 What the markup itself names is respected: elements such as ``nav`` or ``footer``, or with a class like
 ``ad``, go on any host. ``article`` and ``main`` shift what importance a leaf needs: on a page that has
-one, leaves outside need a higher importance, and go where nothing is known about them.
+one, leaves outside need a higher importance, and go where nothing is known about them. Inside, only
+classes that name nothing but a foreign part (WITHIN) decide; the others, such as ``entry-header``, are
+a prior: leaves below them need the higher importance too, but stay where nothing is known.
+
+Elements nest MOST_LEVELS deep; those below become siblings, as in browsers, and keep their text. So a
+page takes time in proportion to its length, however deep it is nested.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,25 +38,37 @@ from pyspark.sql import functions as F
 from tripkpi.llm.common import map_rows, written
 
 THRESHOLD = 0.35
-# What a leaf outside article and main needs on a page that has one of them.
+# What a leaf outside article and main needs on a page that has one of them, and a doubtful one within.
 OUTSIDE = 0.8
 GAMMA = 0.9
 # Different pages that a branch has to be on, so that what they share can be told from near copies.
 LEAST_PAGES = 3
+MOST_LEVELS = 512
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math xmp".split())
+RAW = frozenset("script style textarea title noscript template iframe svg xmp".split())
 # Elements that are never part of an article, and words of class, id or role that say the same.
 NOISE_TAGS = frozenset(
     "nav footer aside form dialog button select option head menu object canvas".split()
 )
 NOISE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|menu|nav\w*|breadcrumbs?"
-    r"|footer|header|masthead|cookies?|consent|notice|popup|modal|overlay|newsletter|subscribe"
+    r"|footer|(?<!entry.)(?<!post.)(?<!article.)(?<!story.)header|masthead|cookies?|consent|notice|popup|modal|overlay|newsletter|subscribe"
     r"|share|sharing|social|related|recommended|comments?|replies|disqus|respond|widget|toolbar"
-    r"|login|search|copyright|legal|pagination|pager)(?:$|[\s_-])",
+    r"|login|search(?!.results?\b)|copyright|legal|pagination|pager)(?:$|[\s_-])",
+    re.IGNORECASE,
+)
+# The whole names that say so of a part of an article too, and of an article as a whole.
+WITHIN = re.compile(
+    r"(?<!\S)(?:ads?|advert\w*|ad[_-](?:slot|unit|banner|box|container)|sponsor(?:ed)?|promo(?:tion)?"
+    r"|comments?(?:[_-](?:list|area|section|thread|form|body))?|replies|disqus(?:_thread)?|respond"
+    r"|newsletter(?:[_-](?:signup|form|box))?|subscribe|cookies?(?:[_-](?:notice|banner|bar))?"
+    r"|related(?:[_-](?:posts|articles|stories|links))?|recommended|breadcrumbs?|side-?bar"
+    r"|nav|navbar|navigation|menu|pagination|pager|sharing|share[_-](?:buttons|bar|links)"
+    r"|social[_-](?:links|share|bar)|popup|modal|toolbar)(?!\S)",
     re.IGNORECASE,
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption"
     " figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section"
@@ -98,31 +117,46 @@ def hidden(given: dict[str, str]) -> bool:
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "main", "children")
+    """An open element. ``block`` is the nearest one that is a block, itself included."""
+
+    __slots__ = ("tag", "path", "noise", "main", "doubtful", "block", "children")
 
-    def __init__(self, tag: str, path: int, noise: bool, main: bool):
+    def __init__(self, tag: str, path: int, noise: bool, main: bool, doubtful: bool, block: Node | None):
         self.tag, self.path, self.noise, self.main = tag, path, noise, main
+        self.doubtful, self.block = doubtful, block or self
         self.children: list[str] = []
 
 
+class Block(NamedTuple):
+    """A text with the path of its leaf and what the markup says about it."""
+
+    text: str
+    leaf: int
+    noise: bool
+    main: bool
+    doubtful: bool
+
+
 class Page:
-    """The blocks of a page in order, each with what decides about it, and its inner nodes.
+    """The blocks of a page in order, its inner nodes, and the tree of its paths.
 
-    ``blocks``: (text, paths from the root to its node, noise, main). ``nodes``: (path, layout hash).
+    ``nodes``: (path, layout hash). ``parents``: the path above each path; the root has 0.
     """
 
     def __init__(self, source: str, digest):
         self.digest = digest
-        self.blocks: list[tuple[str, tuple[int, ...], bool, bool]] = []
+        self.blocks: list[Block] = []
         self.nodes: list[tuple[int, int]] = []
+        self.parents: dict[int, int] = {}
         self.has_main = False
-        self.stack = [Node("", 0, False, False)]
+        self.stack = [Node("", 0, False, False, False, None)]
+        self.open: Counter[str] = Counter()
         self.text: list[str] = []
         self._read(source)
 
     def _read(self, source: str) -> None:
         at, size = 0, len(source)
-        match = TOKEN.match
+        match, unclosed = TOKEN.match, set()
         while at < size:
             token = match(source, at)
             at = token.end()
@@ -144,8 +178,11 @@ class Page:
                     self._flush()
                 continue
             if tag in RAW and not rest.endswith("/>"):
+                if tag in unclosed:
+                    continue
                 end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(source, at)
                 if end is None and tag not in ("script", "style"):
+                    unclosed.add(tag)
                     continue  # never closed: what follows is not all inside
                 at = size if end is None else source.find(">", end.start()) + 1 or size
                 continue
@@ -157,43 +194,56 @@ class Page:
     def _open(self, tag: str, rest: str) -> None:
         if tag in BLOCKS:
             self._flush()
-            if any(n.tag == "p" for n in self.stack):
+            if self.open["p"]:
                 self._close_until({"p"}, {"article", "section", "div", "main", "td", "body"})
         if tag in CLOSES:
             self._close_until(*CLOSES[tag])
+        if len(self.stack) > MOST_LEVELS:
+            self._pop()
         parent = self.stack[-1]
         given = attributes(rest) if len(rest) > 1 else {}
         names = " ".join(value for name, value in given.items() if name in ("class", "id", "role"))
         label = f"{tag}.{names}" if names else tag
+        within = parent.main or tag in ("article", "main")
+        named = bool(names) and tag not in ("html", "body")
+        suspect = named and NOISE_NAMES.search(names) is not None
         noise = (
             parent.noise
             or tag in NOISE_TAGS
             or tag == "header" and not parent.main
-            or bool(names) and tag not in ("html", "body") and NOISE_NAMES.search(names) is not None
+            or suspect and not within
+            or named and within and tag not in HEADINGS and WITHIN.search(names) is not None
             or hidden(given)
         )
         # Comments and teasers are articles too, but not what the page is about.
         main = parent.main or tag in ("article", "main") and not noise
+        doubtful = parent.doubtful or suspect and parent.main and tag in BLOCKS
         # Inline elements are not nodes of their own: their text belongs to the block around.
+        block = None
         if tag in BLOCKS:
-            parent = next(n for n in reversed(self.stack) if n.tag in BLOCKS or not n.tag)
-            parent.children.append(label)
-            path = self.digest(f"{parent.path}>{label}")
+            above = parent.block
+            above.children.append(label)
+            path = self.digest(f"{above.path}>{label}")
+            self.parents[path] = above.path
         else:
-            path = parent.path
+            path, block = parent.path, parent.block
             if noise and not parent.noise:
                 self._flush()
-        self.stack.append(Node(tag, path, noise, main))
+        self.stack.append(Node(tag, path, noise, main, doubtful, block))
+        self.open[tag] += 1
 
     def _pop(self) -> None:
         node = self.stack[-1]
         if node.tag in BLOCKS or node.noise and not self.stack[-2].noise:
             self._flush()
         self.stack.pop()
+        self.open[node.tag] -= 1
         if node.tag in BLOCKS and node.children:
             self.nodes.append((node.path, self.digest(" ".join(dict.fromkeys(node.children)))))
 
     def _close(self, tag: str) -> None:
+        if not self.open[tag]:
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             if self.stack[depth].tag == tag:
                 while len(self.stack) > depth:
@@ -218,23 +268,31 @@ class Page:
         self.text = []
         if text:
             node = self.stack[-1]
-            paths = tuple(dict.fromkeys(n.path for n in self.stack[1:]))
-            self.blocks.append((text, paths, node.noise, node.main))
+            self.blocks.append(Block(text, node.path, node.noise, node.main, node.doubtful))
             self.has_main |= node.main and not node.noise
 
-    def outside(self, main: bool) -> bool:
+    def outside(self, block: Block) -> bool:
         """Whether a block is beside the article or main that its page has."""
-        return self.has_main and not main
+        return self.has_main and not block.main
+
+    def branches(self, leaf: int) -> list[int]:
+        """Paths of the leaf and of what it is in, the root left out."""
+        found = []
+        while leaf in self.parents:
+            found.append(leaf)
+            leaf = self.parents[leaf]
+        return found
 
     def main_text(self, low: frozenset[int], own: frozenset[int]) -> list[str]:
         """Blocks that remain, given the paths of branches that are not important, and of leaves that
         are important enough to remain outside article and main."""
+        lost = {0: False}
+        for path, above in self.parents.items():  # parents come first
+            lost[path] = path in low or lost[above]
         return [
-            text
-            for text, paths, noise, main in self.blocks
-            if not noise
-            and not any(p in low for p in paths)
-            and not (self.outside(main) and own.isdisjoint(paths[-1:]))
+            b.text
+            for b in self.blocks
+            if not b.noise and not lost[b.leaf] and not (self.outside(b) and b.leaf not in own)
         ]
 
 
@@ -247,9 +305,9 @@ def _digest():
 def style_rows(pages: DataFrame) -> DataFrame:
     """What the tree is made of: host, page digest, kind, path and feature.
 
-    Kind 0: a text in a leaf, under each branch that it is in. Kind 1: a layout of an inner node. Kind
-    2: that the page has the branch (feature 0), also as a leaf outside its article or main (feature
-    1). Noise is left out, also for telling copies of a page.
+    Kind 0: a text in a leaf. Kind 1: a layout of an inner node. Kind 2: that the page has the branch
+    (feature 0), also as a leaf outside its article or main (1) or as a doubtful leaf within (2). Kind
+    3: a leaf, as the feature, below the branch. Noise is left out, also for telling copies of a page.
     """
 
     def make():
@@ -264,16 +322,16 @@ def style_rows(pages: DataFrame) -> DataFrame:
                 if host is None or not source:
                     continue
                 page = Page(source, digest)
-                blocks = [
-                    (digest(text), paths, page.outside(main))
-                    for text, paths, noise, main in page.blocks
-                    if not noise
-                ]
-                name = digest(repr(blocks))
-                rows = {(0, p, text) for text, paths, _ in blocks for p in paths}
+                blocks = [b for b in page.blocks if not b.noise]
+                rows = {(0, b.leaf, digest(b.text)) for b in blocks}
                 rows |= {(1, p, layout) for p, layout in page.nodes}
-                rows |= {(2, p, 0) for _, paths, _ in blocks for p in paths}
-                rows |= {(2, p, 1) for _, paths, outside in blocks if outside for p in paths[-1:]}
+                rows |= {(2, b.leaf, 1) for b in blocks if page.outside(b)}
+                rows |= {(2, b.leaf, 2) for b in blocks if b.doubtful}
+                name = digest(repr([(b.text, b.leaf, page.outside(b)) for b in blocks]))
+                for leaf in {b.leaf for b in blocks}:
+                    above = page.branches(leaf)
+                    rows |= {(2, p, 0) for p in above}
+                    rows |= {(3, p, leaf) for p in above}
                 for kind, path, feature in rows:
                     for column, value in zip(out, (host, name, kind, path, feature), strict=True):
                         column.append(value)
@@ -295,31 +353,33 @@ def judged(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .groupBy("host", "kind", "path", "feature")
         .agg(F.count("*").alias("n"))
     )
-    nodes = (
-        counts.groupBy("host", "path", "kind")
-        .agg(
-            F.max(F.expr("IF(feature = 0, n, NULL)")).alias("m"),
-            F.max("feature").alias("feature"),
-            F.avg(F.log("n")).alias("spread"),
-            F.sum("n").alias("all"),
-            F.sum(F.expr("n * ln(n)")).alias("n_ln_n"),
-        )
+    counts = written(counts, "style")
+    # Sums over the texts of a leaf go to all branches above it; one row for each such branch and leaf.
+    texts = counts.where("kind = 0").groupBy("host", "path")
+    texts = texts.agg(F.sum(F.log("n")).alias("spread"), F.count("*").alias("texts"))
+    below = counts.where("kind = 3").select("host", F.col("path").alias("branch"), F.col("feature").alias("path"))
+    content = below.join(texts, ["host", "path"]).groupBy("host", "branch")
+    content = content.agg(F.sum("spread").alias("spread"), F.sum("texts").alias("texts"))
+    styles = (
+        counts.where("kind IN (1, 2)")
         .groupBy("host", "path")
         .agg(
-            F.max(F.expr("IF(kind = 2, m, NULL)")).alias("m"),
-            F.max(F.expr("IF(kind = 0, spread, NULL)")).alias("spread"),
-            F.max(F.expr("IF(kind = 1, ln(all) - n_ln_n / all, NULL)")).alias("layouts"),
-            F.max(F.expr("IF(kind = 1, all, NULL)")).alias("layout_pages"),
+            F.max(F.expr("IF(kind = 2 AND feature = 0, n, NULL)")).alias("m"),
+            F.sum(F.expr("IF(kind = 1, n, NULL)")).alias("layout_pages"),
+            F.sum(F.expr("IF(kind = 1, n * ln(n), NULL)")).alias("n_ln_n"),
             F.max(F.expr("kind = 2 AND feature = 1")).alias("outside"),
+            F.max(F.expr("kind = 2 AND feature = 2")).alias("doubtful"),
         )
+        .withColumn("layouts", F.expr("ln(layout_pages) - n_ln_n / layout_pages"))
     )
-    content = "1 - spread / ln(greatest(m, 2))"
+    nodes = styles.join(content.withColumnRenamed("branch", "path"), ["host", "path"])
+    content = "1 - spread / texts / ln(greatest(m, 2))"
     layout = "IF(layout_pages > 1, layouts / ln(layout_pages), 0)"
     importance = (
         f"CASE WHEN layouts IS NULL THEN {content}"
         f" ELSE {1 - GAMMA} * ({layout}) + {GAMMA} * ({content}) END"
     )
-    low = f"{importance} < {threshold}"
+    low = f"{importance} < IF(doubtful, {OUTSIDE}, {threshold})"
     return nodes.where(
         f"m >= {LEAST_PAGES} AND ({low} OR outside AND {importance} >= {OUTSIDE})"
     ).selectExpr("host", "path", f"{low} AS low")
@@ -338,6 +398,7 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.collect_set(F.expr("IF(low, path, NULL)")).alias("low"),
         F.collect_set(F.expr("IF(low, NULL, path)")).alias("own"),
     )
+    lists = written(lists, "lists")  # so that a join with a large host's pages can be split
     host = F.lower(F.regexp_extract(F.trim("url"), r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     rows = pages.select("page_id", "url", "html", host.alias("page_host"))
     rows = rows.join(lists, rows.page_host == lists.host, "left").drop("host", "page_host")
