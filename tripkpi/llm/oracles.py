@@ -8,19 +8,18 @@ _WORD = "[^\\x20\\x09-\\x0D]+"
 _WORDS = f"regexp_extract_all(coalesce(text, ''), '{_WORD}')"
 
 NEAREST = """WITH v AS (
-  SELECT vec_id, min(embedding) AS e FROM embeddings
+  SELECT row_number() OVER () AS k, vec_id, embedding AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-  GROUP BY vec_id
 ), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.k, q.vec_id AS query_id, c.vec_id AS vec_id,
     sqrt(list_reduce(list_transform(range(1, len(q.e) + 1), lambda i:
       (CAST(q.e[i] AS DOUBLE) - CAST(c.e[i] AS DOUBLE))
       * (CAST(q.e[i] AS DOUBLE) - CAST(c.e[i] AS DOUBLE))), lambda x, y: x + y)) AS score
-  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.k <> c.k AND len(q.e) = len(c.e)
 ), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INT) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY k ORDER BY score, vec_id) AS INT) AS rank
   FROM pairs
 ) SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
