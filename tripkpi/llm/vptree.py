@@ -24,7 +24,9 @@ from tripkpi.llm.common import map_rows, written
 
 SHARD_ROWS = 8_192
 BLOCK_QUERIES = 16_384
-LEAF_ROWS = 64
+LEAF_ROWS = 256
+# Queries that are compared with a leaf at a time.
+COMPARED = 2_048
 # Pivots are broadcast, so they are a bounded number; cells with more rows have more shards.
 MOST_PIVOTS = 1_024
 NO_ID = np.iinfo(np.int64).max
@@ -38,6 +40,11 @@ def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    """Euclidean lengths, for bounds that leave room for rounding."""
+    return np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+
+
 class Tree:
     """A vantage-point tree over the rows of ``vectors``. Equal rows are told apart by ``serials``."""
 
@@ -45,26 +52,20 @@ class Tree:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors, self.leaf_rows = ids[order], vectors[order], leaf_rows
         self.serials = np.zeros(len(ids), int) if serials is None else serials[order]
+        self.squares = _lengths(self.vectors) ** 2
         self.root = self._build(np.arange(len(ids)))
 
     def _build(self, rows: np.ndarray):
-        """A leaf is its rows; a node is (vantage row, inner, inner radius, outer, outer radius)."""
+        """A leaf is its rows; a node is (vantage point, inner, inner radius, outer, outer radius)."""
         if len(rows) <= self.leaf_rows:
             return rows
         # The row farthest from the middle splits better than any; equal vectors split by id.
-        middle = self.vectors[rows].mean(axis=0, keepdims=True)
-        vantage = rows[np.argmax(distances(middle, self.vectors[rows])[0])]
-        rest = rows[rows != vantage]
-        far = distances(self.vectors[vantage : vantage + 1], self.vectors[rest])[0]
+        found = self.vectors[rows]
+        vantage = found[np.argmax(_lengths(found - found.mean(axis=0)))]
+        far = _lengths(found - vantage)
         order = np.argsort(far, kind="stable")
-        rest, far, half = rest[order], far[order], len(rest) // 2
-        return (
-            vantage,
-            self._build(rest[:half]),
-            far[half - 1],
-            self._build(rest[half:]),
-            far[half],
-        )
+        rows, far, half = rows[order], far[order], len(rows) // 2
+        return vantage, self._build(rows[:half]), far[half - 1], self._build(rows[half:]), far[half]
 
     def search(self, query_ids, queries, k: int, relax: float = 1.0, bounds=None):
         """Ids and distances of the k nearest rows of each query but itself, as far as they are within
@@ -72,47 +73,69 @@ class Tree:
         self.best_ids = np.full((len(queries), k), NO_ID)
         self.best = np.full((len(queries), k), np.inf)
         self.query_ids, self.queries, self.relax = query_ids, queries, relax
+        self.query_squares = _lengths(queries) ** 2 if len(queries) else np.empty(0)
         self.bounds = np.full(len(queries), np.inf) if bounds is None else bounds
         if len(self.ids) and len(queries):
-            self._walk(self.root, np.arange(len(queries)))
+            with np.errstate(over="ignore", invalid="ignore"):
+                self._walk(self.root, np.arange(len(queries)))
         return self.best_ids, self.best
 
-    def _offer(self, rows: np.ndarray, which: np.ndarray, far: np.ndarray) -> None:
-        ids = np.broadcast_to(self.ids[rows], far.shape)
-        own = (ids == self.query_ids[which, None]) & (self.serials[rows] == 0)
-        far = far.copy()
-        for i, j in zip(*np.nonzero(own), strict=True):
-            if np.array_equal(self.queries[which[i]], self.vectors[rows[j]]):
-                far[i, j] = np.inf
-        all_far = np.hstack([self.best[which], far])
-        all_ids = np.hstack([self.best_ids[which], np.where(np.isinf(far), NO_ID, ids)])
-        order = np.lexsort((all_ids, all_far), axis=1)[:, : self.best.shape[1]]
-        self.best[which] = np.take_along_axis(all_far, order, axis=1)
-        self.best_ids[which] = np.take_along_axis(all_ids, order, axis=1)
-
     def _reach(self, which: np.ndarray) -> np.ndarray:
         return np.minimum(self.best[which, -1], self.bounds[which])
 
+    def _offer(self, rows: np.ndarray, which: np.ndarray) -> None:
+        """Puts what is near among a leaf's rows into the lists of some queries.
+
+        Squares of distances from a product of matrices tell, within what rounding may change, which
+        pairs can matter; only these get their distance by ``distances``.
+        """
+        k, queries, vectors = self.best.shape[1], self.queries[which], self.vectors[rows]
+        sums = self.query_squares[which, None] + self.squares[rows]
+        squares = sums - 2 * (queries @ vectors.T)
+        slack = sums * (1e-14 * (vectors.shape[1] + 8))
+        limit = self._reach(which) ** 2 * (1 + 1e-12)
+        if len(rows) > k:  # one more than k, as the query itself may be among them
+            limit = np.minimum(limit, np.partition(squares + slack, k, axis=1)[:, k])
+        i, j = np.nonzero(~(squares - slack > limit[:, None]))
+        ids, asked = self.ids[rows[j]], which[i]
+        total = np.zeros(len(i))
+        for c in range(vectors.shape[1]):
+            total += (queries[i, c] - vectors[j, c]) ** 2
+        far = np.sqrt(total)
+        own = (ids == self.query_ids[asked]) & (self.serials[rows[j]] == 0)
+        for pair in np.flatnonzero(own):
+            own[pair] = np.array_equal(queries[i[pair]], vectors[j[pair]])
+        there = ~own & (far <= self._reach(asked)) & ~np.isinf(far)
+        far, ids, asked = far[there], ids[there], asked[there]
+        changed = np.unique(asked)
+        owner = np.concatenate([np.repeat(changed, k), asked])
+        far = np.concatenate([self.best[changed].reshape(-1), far])
+        ids = np.concatenate([self.best_ids[changed].reshape(-1), ids])
+        order = np.lexsort((ids, far, owner))
+        starts = np.searchsorted(owner[order], changed)
+        taken = order[starts[:, None] + np.arange(k)]
+        self.best[changed], self.best_ids[changed] = far[taken], ids[taken]
+
     def _walk(self, node, which: np.ndarray) -> None:
         if not len(which):
             return
         if isinstance(node, np.ndarray):
-            self._offer(node, which, distances(self.queries[which], self.vectors[node]))
+            for at in range(0, len(which), COMPARED):
+                self._offer(node, which[at : at + COMPARED])
             return
         vantage, inner, inner_radius, outer, outer_radius = node
-        rows = np.array([vantage])
-        far = distances(self.queries[which], self.vectors[rows])
-        self._offer(rows, which, far)
-        far = far[:, 0]
+        far = _lengths(self.queries[which] - vantage)
         slack = 1e-9 * (far + outer_radius)  # for rounding
         low_inner, low_outer = far - inner_radius - slack, outer_radius - far - slack
         near = low_inner <= low_outer
-        reach = self._reach(which)
-        self._walk(inner, which[near & (low_inner * self.relax <= reach)])
-        self._walk(outer, which[~near & (low_outer * self.relax <= reach)])
-        reach = self._reach(which)
-        self._walk(outer, which[near & (low_outer * self.relax <= reach)])
-        self._walk(inner, which[~near & (low_inner * self.relax <= reach)])
+
+        def open_(low: np.ndarray) -> np.ndarray:
+            return ~(low * self.relax > self._reach(which))
+
+        # The nearer side first; both kinds of queries share the walk of the outer one.
+        self._walk(inner, which[near & open_(low_inner)])
+        self._walk(outer, which[open_(low_outer)])
+        self._walk(inner, which[~near & open_(low_inner)])
 
 
 def usable(vectors: DataFrame) -> DataFrame:
