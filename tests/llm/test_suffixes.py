@@ -53,6 +53,46 @@ def test_shifted_and_periodic_passages(spark, monkeypatch, frequent):
     assert got == brute([(r[0], r[1]) for r in rows])
 
 
+def near_copies(n):
+    """Texts that differ in two words each."""
+    random.seed(5)
+    words = ["".join(random.choice("abcdefgh") for _ in range(6)) for _ in range(120)]
+    rows = []
+    for i in range(n):
+        mine = list(words)
+        mine[random.randrange(120)], mine[random.randrange(120)] = f"x{i}y", f"z{i}w"
+        rows.append((i, " ".join(mine), "en", "s"))
+    return rows
+
+
+def test_strings_of_near_copies_are_made_once_and_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "FREQUENT", 2)
+    plain, made, there = suffixes.map_rows, [], []
+
+    def counted(df, ddl, function, text=None):
+        if function.__name__ not in ("groups", "strings"):
+            return plain(df, ddl, function, text=text)
+        total = spark.sparkContext.accumulator(0)
+        there.append(plain(df, ddl, function).count())
+        made.append(total)
+
+        def work(part):
+            columns = function(part)
+            total.add(len(columns[0]))
+            return columns
+
+        return plain(df, ddl, work)
+
+    monkeypatch.setattr(suffixes, "map_rows", counted)
+    for n in (40, 160):
+        rows = near_copies(n)
+        got = sorted(tuple(r) for r in suffixes.repeats(documents(spark, rows)).collect())
+        assert got == brute([(r[0], r[1]) for r in rows])
+    assert len(there) == 4 and min(there) > 0
+    assert [total.value for total in made] == there  # once, not again for the join
+    assert there[2] < 4.5 * there[0] and there[3] < 4.5 * there[1]
+
+
 def test_extension_is_found_and_collisions_are_noticed():
     contexts = [b"abcdefgh" * 20, b"abcdefgh" * 12 + b"X" * 64, b"zzz"]
     sorter = suffixes.Sorter(contexts, np.zeros(3, np.int64))

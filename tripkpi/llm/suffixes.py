@@ -384,17 +384,21 @@ def _two_hashes(data: np.ndarray, start: np.ndarray, length) -> tuple[np.ndarray
 def _by_string(rows: DataFrame, keys: list[str], span: str) -> tuple[DataFrame, DataFrame]:
     """First occurrences of equal ``keys`` with all columns, and the spans of the others.
 
-    First ones are written, so that the join shuffles both of its sides and Spark can split a key
-    that is frequent; it cannot where one side is the aggregate itself.
+    Rows are written, as both the aggregate and the join read them and would make each one anew. First
+    ones are written, so that the join shuffles both of its sides and Spark can split a key that is
+    frequent; it cannot where one side is the aggregate itself.
     """
+    rows = written(rows, "strings")
     others = [c for c in rows.columns if c not in keys]
     first = rows.groupBy(*keys).agg(F.min(F.struct(*others)).alias("first"))
     first = written(first, "first-strings")
     named = first.select(*[F.col(k).alias(f"{k}_f") for k in keys], "first.ord", "first.start")
     named = named.toDF(*[f"{k}_f" for k in keys], "ord_f", "start_f")
     same = [F.col(k) == F.col(f"{k}_f") for k in keys]
-    later = rows.join(named, same).where("NOT (ord = ord_f AND start = start_f)")
-    return first.select(*keys, "first.*"), later.selectExpr("ord", "start", f"{span} AS stop")
+    # Where a string ends is worked out before the join, which need not carry its bytes then.
+    ends = rows.selectExpr(*keys, "ord", "start", f"{span} AS stop")
+    later = ends.join(named, same).where("NOT (ord = ord_f AND start = start_f)")
+    return first.select(*keys, "first.*"), later.select("ord", "start", "stop")
 
 
 def frequent_edges(contexts: DataFrame) -> DataFrame:
