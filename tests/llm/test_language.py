@@ -94,6 +94,38 @@ def test_calibrating_texts_count_for_the_models_that_predict_only(spark):
     assert all(whole[g] == rest.get(g, 0) + only.get(g, 0) for g in whole)
 
 
+def test_all_texts_calibrate_the_score_whatever_their_number(spark, monkeypatch):
+    """The fit over each text of the table, judged by models of the folds that it is not in."""
+    table = given(spark, "documents", "sf0.1").select("doc_id", "text", "lang")
+    judged, kept = language._judged, []
+    monkeypatch.setattr(language, "_judged", lambda *a: kept.append(judged(*a)) or kept[0])
+    fitted = language.fit(table)
+    rows = kept[0].toPandas()
+    letters = [t for t in language.learned_from(table).toPandas()["text"] if language.units(t)]
+    assert len(rows) == len(letters) > 3_000
+    assert abs(fitted.usual - np.quantile(rows["least"], language.USUAL)) < 1e-12
+    x = np.column_stack([np.r_[rows["margin"], 1.0, 0.0], np.ones(len(rows) + 2)])
+    y, w = np.r_[rows["right"], 1.0, 0.0], np.array([fitted.slope, fitted.offset])
+    gradient = x.T @ (y - 1 / (1 + np.exp(-x @ w))) - 1e-3 * w
+    assert np.abs(gradient).max() < 1e-6 and rows["right"].mean() > 0.99
+
+
+def test_no_text_is_judged_by_a_model_that_has_seen_it(spark):
+    table = given(spark, "documents")
+    counts = language.gram_counts(table)
+    for fold, rest in enumerate(language._rests()):
+        others = language.gram_counts(table.where(f"{language.FOLD} <> {fold}")).select("lang", "gram", "n")
+        kept = counts.where(f"{rest} > 0").selectExpr("lang", "gram", f"{rest} AS n")
+        assert others.count() == kept.count() and kept.exceptAll(others).isEmpty()
+
+
+def test_quantile_is_exact(spark):
+    for values in ([3.0], [1.0] * 5, [2.0, -1.0], [1e300, -1e300, 0.0], [i * i / 7 for i in range(5_000)]):
+        frame = spark.createDataFrame([(v,) for v in values], "value double")
+        for share in (0.0, 0.5, 0.999, 1.0):
+            assert np.isclose(language._quantile(frame, share), np.quantile(values, share), rtol=1e-12)
+
+
 def test_entropies_equal_a_plain_scorer(spark):
     """Each text's letters one by one, against the table's results."""
     table = given(spark, "documents")
